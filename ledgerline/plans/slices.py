@@ -1,0 +1,39 @@
+"""Ingest of a large frame slice by slice of event time."""
+
+from pyspark.sql import functions as F
+
+from ledgerline.functions.casts import to_event_timestamp, to_feature
+from ledgerline.functions import named
+from ledgerline.operators.checks import check_rows
+from ledgerline.operators.names import check_names
+from ledgerline.session import scratch_dir
+
+SLICE = "time_slice"
+
+
+def ingest_by_time(store, df, group, unit="day", target_stores=None):
+    """Ingest ``df`` one ``unit`` of event time after the other; returns the slices.
+
+    The input is checked as a whole first, so an invalid row refuses all of it as in one
+    ingest. It is then written once, partitioned by slice, and each ingest reads only
+    its own directory: two passes over the input however many slices there are.
+    """
+    group = store.group(group)
+    check_names(df.columns, group)
+    check_rows(df, group)
+    declared = group.feature_types[group.event_time]
+    source = df.schema[group.event_time].dataType
+    event_time = to_event_timestamp(
+        to_feature(named(group.event_time), source, declared), declared
+    )
+    sliced = df.withColumn(
+        SLICE, F.date_format(F.date_trunc(unit, event_time), "yyyy-MM-dd-HH-mm")
+    )
+    path = scratch_dir(store.spark, "slices")
+    sliced.hint("rebalance", SLICE).write.partitionBy(SLICE).parquet(path)
+    staged = store.spark.read.schema(sliced.schema).parquet(path)
+    # One short text per day or hour of the data, read from directory names only.
+    slices = sorted(row[0] for row in staged.select(SLICE).distinct().collect())
+    for value in slices:
+        store.ingest(staged.filter(F.col(SLICE) == value).drop(SLICE), group, target_stores)
+    return slices

@@ -1,0 +1,134 @@
+"""The cast expressions against Spark's own cast with ANSI mode off."""
+
+import random
+import struct
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerline.errors import ValidationError
+from ledgerline.functions.casts import (
+    check_castable,
+    is_nan,
+    to_event_timestamp,
+    to_feature,
+)
+
+EDGE_TEXTS = [
+    "3.7", "12.", ".5", ".", "-.5", "+.", " 42 ", "\t42\n", "1e3", "abc", "", "-", "+",
+    "1.2.3", "9223372036854775808", "9223372036854775807", "-9223372036854775808",
+    "-9223372036854775809", "1.5d", "NaN", "nan", "-NaN", "+NaN", "-nan", " NaN ", "NaNd",
+    "Infinity", "-inf", "8 .", "0x10", "١٢", "\x7f5\x7f", " 5", "1_000",
+    "2021-05-06T05:12:14Z", "2021-05-06", "2021", "1631091971", "not-a-time", "T12", None,
+]
+
+
+def random_texts(n, seed):
+    rng = random.Random(seed)
+    alphabet = "0123456789+-.eEdDfF NnaAiIty\t\n\x00\x1f\x7f "
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 7))) for _ in range(n)]
+    numbers = [
+        rng.choice(["", " ", "\t"]) + rng.choice(["", "+", "-"])
+        + str(rng.randint(0, 10 ** rng.randint(1, 21))) + rng.choice(["", ".", ".25", " .5"])
+        for _ in range(n)
+    ]
+    return texts + numbers
+
+
+def compare(spark, conf, df, ours, theirs):
+    """Both columns computed in ANSI mode and in legacy mode, compared as texts."""
+    conf("spark.sql.ansi.enabled", "false")
+    legacy = [tuple(r) for r in df.select("i", theirs).orderBy("i").collect()]
+    conf("spark.sql.ansi.enabled", "true")
+    found = [tuple(r) for r in df.select("i", ours).orderBy("i").collect()]
+    pairs = [(a, b) for a, b in zip(found, legacy) if repr(a) != repr(b)]
+    assert not pairs, pairs[:5]
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rows = list(enumerate(EDGE_TEXTS + random_texts(8000, 7)))
+    return spark.createDataFrame(rows, "i int, x string").repartition(4).cache()
+
+
+@pytest.mark.parametrize(
+    "feature_type, cast", [("Integral", "bigint"), ("Fractional", "double")]
+)
+def test_texts_cast_as_in_legacy_mode(spark, conf, texts, feature_type, cast):
+    ours = to_feature(F.col("x"), T.StringType(), feature_type)
+    compare(spark, conf, texts, ours, F.expr(f"cast(x as {cast})"))
+
+
+def test_texts_to_event_time_as_in_legacy_mode(spark, conf, texts):
+    ours = to_event_timestamp(F.col("x"), "String")
+    # Times without a date are on today's date in both.
+    compare(spark, conf, texts, F.unix_micros(ours), F.expr("unix_micros(cast(x as timestamp))"))
+
+
+def test_nan_texts_are_those_that_isnan_accepts(spark, conf, texts):
+    compare(spark, conf, texts, is_nan(F.col("x"), T.StringType()), F.expr("isnan(x)"))
+
+
+DOUBLES = [
+    3.99, -3.99, 0.0, -0.0, 1e20, -1e20, 2.0**63, -(2.0**63), 2.0**62, 9.2e18,
+    float("inf"), float("-inf"), float("nan"), 1631091971.5, 1e30, -1e30, 9.3e12, 1e-7, None,
+]
+
+
+def random_doubles(n, seed):
+    rng = random.Random(seed)
+    return [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(n)]
+
+
+@pytest.mark.parametrize("type_name", ["double", "float"])
+@pytest.mark.parametrize(
+    "feature_type, cast",
+    [("Integral", "bigint"), ("Fractional", "double"), ("String", "string")],
+)
+def test_doubles_cast_as_in_legacy_mode(spark, conf, type_name, feature_type, cast):
+    rows = list(enumerate(DOUBLES + random_doubles(1500, 3)))
+    df = spark.createDataFrame(rows, "i int, x double").withColumn("x", F.col("x").cast(type_name))
+    ours = to_feature(F.col("x"), df.schema["x"].dataType, feature_type)
+    compare(spark, conf, df, ours, F.expr(f"cast(x as {cast})"))
+
+
+def test_doubles_to_event_time_as_in_legacy_mode(spark, conf):
+    rows = list(enumerate(DOUBLES + random_doubles(1500, 5)))
+    df = spark.createDataFrame(rows, "i int, x double")
+    ours = F.unix_micros(to_event_timestamp(F.col("x"), "Fractional"))
+    compare(spark, conf, df, ours, F.expr("unix_micros(cast(x as timestamp))"))
+
+
+def test_longs_to_event_time_as_in_legacy_mode(spark, conf):
+    values = [0, -1, 1631091971, 2**62, -(2**62), 2**63 - 1, -(2**63), None]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, x bigint")
+    ours = F.unix_micros(to_event_timestamp(F.col("x"), "Integral"))
+    compare(spark, conf, df, ours, F.expr("unix_micros(cast(x as timestamp))"))
+
+
+def test_decimals_to_long_as_in_legacy_mode(spark, conf):
+    values = [
+        "3.99", "-3.99", "99999999999999999999", "-99999999999999999999", "18446744073709551616",
+        "9223372036854775807", "9223372036854775808", "-9223372036854775809", "0.5", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, x string").withColumn(
+        "x", F.col("x").cast("decimal(30,4)")
+    )
+    ours = to_feature(F.col("x"), df.schema["x"].dataType, "Integral")
+    compare(spark, conf, df, ours, F.expr("cast(x as bigint)"))
+
+
+def test_strict_is_try_cast(spark):
+    df = spark.createDataFrame([("3.7",), ("4",)], "x string")
+    strict = to_feature(F.col("x"), T.StringType(), "Integral", strict=True)
+    assert [r[0] for r in df.select(strict).collect()] == [None, 4]
+
+
+@pytest.mark.parametrize(
+    "data_type",
+    [T.BooleanType(), T.DateType(), T.TimestampType(), T.ArrayType(T.LongType()), T.BinaryType()],
+)
+def test_other_types_cannot_be_checked(data_type):
+    with pytest.raises(ValidationError, match="unsupported data type"):
+        check_castable(data_type)
