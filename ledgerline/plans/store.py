@@ -3,6 +3,7 @@
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -33,6 +34,14 @@ from ledgerline.sources.catalog import catalog_frame, find_group
 from ledgerline.sources.history import in_catalog, read_dates, read_hours, read_table
 
 
+def _failures_seen(seen):
+    try:
+        return seen.get["failed"] > 0
+    except Py4JJavaError:
+        # The optimizer proved that no row is accepted and dropped the observation.
+        return True
+
+
 class FeatureStore:
     """Ingests DataFrames into feature groups kept below ``root``.
 
@@ -148,7 +157,7 @@ class FeatureStore:
                 group,
                 self.history_path(group),
             )
-        if seen.get["failed"]:
+        if _failures_seen(seen):
             self._keep_failures(failed_records(outcomes), group)
 
     def _put_external(self, df, group, with_history, strict):

@@ -1,5 +1,9 @@
 """Reading the history back."""
 
+from functools import reduce
+from operator import and_
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,9 +57,16 @@ def read_hour(spark, group, path, year, month, day, hour):
     """One hour by its directory, so that no other directory is even listed."""
     values = dict(zip(HOUR_COLUMNS, (year, month, day, hour)))
     folder = "/".join([path.rstrip("/"), *(f"{k}={v}" for k, v in values.items())])
-    return (
-        spark.read.schema(history_schema(group)).option("basePath", path).parquet(folder)
-    )
+    try:
+        return (
+            spark.read.schema(history_schema(group)).option("basePath", path).parquet(folder)
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # Nothing in that hour; a missing history still raises here.
+        wanted = [F.col(k) == v for k, v in values.items()]
+        return read_hours(spark, group, path).filter(reduce(and_, wanted))
 
 
 def read_dates(spark, group, path):

@@ -1,0 +1,137 @@
+import pytest
+
+from ledgerline import FeatureGroup, ValidationError, feature_definitions
+from ledgerline.groups import check_created, check_target_stores
+from ledgerline.operators.definitions import definition_report
+from ledgerline.sources.catalog import (
+    catalog_frame,
+    find_group,
+    usable_groups,
+    with_group_flags,
+)
+from groups_for_tests import MIXED, minimal
+
+
+def test_definitions_follow_the_schema(spark):
+    schema = (
+        "a string, b double, c float, d tinyint, e smallint, f int, `feature-long` bigint"
+    )
+    assert feature_definitions(spark.createDataFrame([], schema)) == [
+        {"FeatureName": "a", "FeatureType": "String"},
+        {"FeatureName": "b", "FeatureType": "Fractional"},
+        {"FeatureName": "c", "FeatureType": "Fractional"},
+        {"FeatureName": "d", "FeatureType": "Integral"},
+        {"FeatureName": "e", "FeatureType": "Integral"},
+        {"FeatureName": "f", "FeatureType": "Integral"},
+        {"FeatureName": "feature-long", "FeatureType": "Integral"},
+    ]
+
+
+@pytest.mark.parametrize(
+    "data_type",
+    ["boolean", "date", "timestamp", "timestamp_ntz", "decimal(10,2)", "binary",
+     "array<float>", "map<string,int>", "struct<x:int>", "void"],
+)
+def test_other_types_have_no_definition(spark, data_type):
+    df = spark.sql(f"select 1 as ok, cast(null as {data_type}) as x")
+    with pytest.raises(ValidationError, match="Found unsupported data type from schema"):
+        feature_definitions(df)
+
+
+def test_definition_report_counts_values(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, `dotted.name` string")
+    assert [tuple(r) for r in definition_report(df).orderBy("position").collect()] == [
+        (0, "k", "Integral", 2),
+        (1, "dotted.name", "String", 1),
+    ]
+
+
+@pytest.mark.parametrize(
+    "stores", [None, ["OnlineStore"], ["OfflineStore"], ["OfflineStore", "OnlineStore"]]
+)
+def test_enabled_stores_may_be_requested(stores):
+    assert check_target_stores(minimal(), stores) == stores
+
+
+@pytest.mark.parametrize(
+    "group, stores, message",
+    [
+        (minimal(), ["invalid"], "Found unknown target store, the valid values are "
+                                 "[OnlineStore, OfflineStore]."),
+        (minimal(), [None], "Found unknown target store"),
+        (minimal(), ["OnlineStore", "OnlineStore", "x"], "Found unknown target store"),
+        (minimal(), ["OnlineStore", "OnlineStore"], "Found duplicate target store"),
+        (minimal(), [], "Target stores cannot be empty"),
+        (minimal(online=None), ["OnlineStore"], "[OnlineStore] of FeatureGroup: 'minimal' "
+         "are not enabled, however they are specified in target store."),
+        (minimal(online=False), ["OnlineStore"], "[OnlineStore] of FeatureGroup"),
+        (minimal(offline=False), ["OfflineStore"], "[OfflineStore] of FeatureGroup"),
+        (minimal(online=None, offline=False), ["OfflineStore", "OnlineStore"],
+         "[OnlineStore,OfflineStore] of FeatureGroup"),
+    ],
+)
+def test_bad_requests_are_refused(group, stores, message):
+    with pytest.raises(ValidationError) as caught:
+        check_target_stores(group, stores)
+    assert message in str(caught.value)
+
+
+def test_only_created_groups_accept_data():
+    check_created(minimal())
+    waiting = FeatureGroup(
+        "g", "id", "at", (("id", "String"), ("at", "String")), status="Creating"
+    )
+    with pytest.raises(ValidationError) as caught:
+        check_created(waiting)
+    assert str(caught.value) == (
+        "Feature group 'g' is in 'Creating' status, however status must be in "
+        "'Created' instead."
+    )
+
+
+@pytest.mark.parametrize(
+    "features",
+    [
+        (("id", "String"),),
+        (("id", "String"), ("at", "Text")),
+        (("id", "String"), ("at", "String"), ("id", "Integral")),
+    ],
+)
+def test_bad_declarations_are_refused(features):
+    with pytest.raises(ValidationError):
+        FeatureGroup("g", "id", "at", features)
+
+
+def test_catalogue_round_trip(spark, tmp_path):
+    groups = [MIXED, minimal(table_format=None), minimal(online=None, offline=False)]
+    groups[2] = FeatureGroup("third", "a", "b", (("a", "String"), ("b", "Integral")))
+    path = str(tmp_path / "catalog")
+    catalog_frame(spark, groups).write.parquet(path)
+    catalog = spark.read.parquet(path)
+    assert [find_group(catalog, g.name) for g in groups] == groups
+    with pytest.raises(ValidationError, match="not in the catalogue"):
+        find_group(catalog, "absent")
+    with pytest.raises(ValidationError, match="more than once"):
+        find_group(catalog.unionAll(catalog), "mixed")
+
+
+def test_catalogue_flags(spark):
+    groups = [
+        minimal(table_format="Iceberg"),
+        minimal(online=False, table_format="Hive"),
+        minimal(online=None, table_format=None),
+        minimal(offline=False),
+        minimal(online=None, offline=False),
+    ]
+    rows = with_group_flags(catalog_frame(spark, groups).coalesce(1)).select(
+        "target_stores", "is_hour_table", "is_v2_table", "is_created"
+    )
+    assert [tuple(r) for r in rows.collect()] == [
+        (["OnlineStore", "OfflineStore"], False, True, True),
+        (["OfflineStore"], True, False, True),
+        (["OfflineStore"], False, False, True),
+        (["OnlineStore"], False, False, True),
+        ([], False, False, True),
+    ]
+    assert usable_groups(catalog_frame(spark, groups)).count() == 4
+    assert [g.enabled_stores for g in groups] == [list(r[0]) for r in rows.collect()]

@@ -1,0 +1,153 @@
+"""Time slices, streaming, catalogue lookups by identifier."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline import FeatureGroup, FeatureStore, OfflineStore, ValidationError
+from ledgerline.functions.history import AUDIT_COLUMNS
+from ledgerline.functions.resource_ids import ResourceIdFormat, parse_resource_ids
+from ledgerline.plans.slices import ingest_by_time
+from ledgerline.sinks.keyed import KeyedTable
+from ledgerline.sources.delimited import read_csv
+from ledgerline.sources.history import read_hours
+from ledgerline.streaming.ingest import ingest_stream, merge_stream
+
+GROUP = FeatureGroup(
+    "g", "id", "at", (("id", "Integral"), ("at", "String"), ("v", "Fractional")),
+    online=True, offline=OfflineStore(),
+)
+RAW = "id string, at string, v string"
+
+
+def rows(start, n):
+    return [
+        (str(i), f"2024-01-0{1 + i % 3}T0{i % 5}:00:00Z", "bad" if i % 7 == 3 else f"{i}.5")
+        for i in range(start, start + n)
+    ]
+
+
+def test_slices_equal_one_ingest(spark, tmp_path):
+    df = spark.createDataFrame([r for r in rows(0, 60) if r[2] != "bad"], RAW)
+    whole = FeatureStore(spark, str(tmp_path / "whole"))
+    whole.ingest(df, GROUP, ["OfflineStore"])
+    sliced = FeatureStore(spark, str(tmp_path / "sliced"))
+    assert len(ingest_by_time(sliced, df, GROUP, "day", ["OfflineStore"])) == 3
+    a = whole.history(GROUP).drop(*AUDIT_COLUMNS)
+    b = sliced.history(GROUP).drop(*AUDIT_COLUMNS)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_slices_refuse_invalid_input_as_a_whole(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path))
+    with pytest.raises(ValidationError):
+        ingest_by_time(store, spark.createDataFrame(rows(0, 20), RAW), GROUP)
+    assert not (tmp_path / "offline").exists()
+
+
+def test_stream_splits_valid_and_faulty_rows_once(spark, tmp_path):
+    source = str(tmp_path / "in")
+    paths = [str(tmp_path / p) for p in ("history", "quarantine", "checkpoint")]
+
+    def run():
+        stream = spark.readStream.schema(RAW).parquet(source)
+        for query in ingest_stream(stream, GROUP, *paths):
+            query.awaitTermination()
+
+    total = []
+    for start in (0, 30):
+        total += rows(start, 30)
+        spark.createDataFrame(rows(start, 30), RAW).write.mode("append").parquet(source)
+        run()
+    run()
+    good = [r for r in total if r[2] != "bad"]
+    history = read_hours(spark, GROUP, paths[0])
+    assert sorted((str(r["id"]), r["at"], str(r["v"])) for r in history.collect()) == sorted(good)
+    assert history.filter("is_deleted or write_time != api_invocation_time").count() == 0
+    first = history.filter("id = 0").first()
+    assert (first["year"], first["month"], first["day"], first["hour"]) == ("2024", "01", "01", "00")
+    quarantine = spark.read.parquet(paths[1])
+    assert quarantine.count() == 60 - len(good)
+    assert {r[0] for r in quarantine.select("dataTypeValidationErrors").collect()} == {"v not valid"}
+
+
+def test_stream_refuses_bad_names(spark, tmp_path):
+    stream = spark.readStream.schema("id string, hour string").parquet(str(tmp_path))
+    with pytest.raises(ValidationError, match="reserved"):
+        ingest_stream(stream, GROUP, "h", "q", "c")
+
+
+def test_stream_merges_into_the_keyed_table(spark, tmp_path):
+    source = str(tmp_path / "in")
+    table = KeyedTable(spark, str(tmp_path / "t"), GROUP, buckets=4)
+    updates = [
+        [("1", "2024-01-01T00:00:00Z", "1"), ("2", "2024-01-02T00:00:00Z", "1")],
+        [("1", "2024-01-03T00:00:00Z", "2"), ("2", "2024-01-01T00:00:00Z", "2"),
+         ("3", "never", "2")],
+    ]
+    for batch in updates:
+        spark.createDataFrame(batch, RAW).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(RAW).parquet(source)
+        merge_stream(stream, table, str(tmp_path / "c")).awaitTermination()
+    assert {(r["id"], r["v"]) for r in table.read().collect()} == {(1, 2.0), (2, 1.0)}
+
+
+IDS = ResourceIdFormat(partition="cloud", service="features")
+
+
+@pytest.mark.parametrize(
+    "resource_id, expected",
+    [
+        ("arn:cloud:features:us-west-2:123456789012:feature-group/test-group",
+         (True, "test-group", "us-west-2", "123456789012", "cloud")),
+        ("arn:cloud-cn:features:cn-north-1:123456789012:feature-group/a/b",
+         (True, "a", "cn-north-1", "123456789012", "cloud-cn")),
+        ("arn:cloud-us-gov:features::123456789012:feature-group/x:y",
+         (True, "x:y", "", "123456789012", "cloud-us-gov")),
+        ("arn:cloud:features:r:123456789012:feature-group/",
+         (True, None, "r", "123456789012", "cloud")),
+        ("arn:cloud:features:r:123456789012:feature-group//x",
+         (True, "", "r", "123456789012", "cloud")),
+        ("arn:cloud:features:r:12345:feature-group/x", (False, None, None, None, None)),
+        ("arn:cloud:other:r:123456789012:feature-group/x", (False, None, None, None, None)),
+        (" arn:cloud:features:r:123456789012:feature-group/x", (False, None, None, None, None)),
+        ("arn:cloud:features:r:123456789012:feature-group/x\n", (False, None, None, None, None)),
+        ("invalid", (False, None, None, None, None)),
+        (None, (False, None, None, None, None)),
+    ],
+)
+def test_resource_ids(spark, resource_id, expected):
+    df = spark.createDataFrame([(resource_id,)], "rid string")
+    assert tuple(parse_resource_ids(df, "rid", IDS).first())[1:] == expected
+
+
+def test_groups_are_found_by_name_and_identifier(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path), id_format=IDS)
+    store.register(GROUP)
+    assert store.group("g") == store.group(GROUP) == GROUP
+    assert store.group("arn:cloud:features:r:123456789012:feature-group/g") == GROUP
+    for bad in ("arn:cloud:features:r:12:feature-group/g",
+                "arn:cloud:features:r:123456789012:feature-group/"):
+        with pytest.raises(ValidationError, match="Provided feature group arn is not valid."):
+            store.group(bad)
+    df = spark.createDataFrame([("1", "2024-01-01", "1")], RAW)
+    store.ingest(df, "g", ["OfflineStore"])
+    assert store.history("g").count() == 1
+
+
+def test_csv_types_are_inferred_unless_given(spark, tmp_path):
+    path = str(tmp_path / "in.csv")
+    with open(path, "w") as f:
+        f.write("TransactionID,score,name\n1,0.5,a\n2,1,b\n3,2,\n")
+    inferred = read_csv(spark, path, limit=2)
+    assert [t for _, t in inferred.dtypes] == ["int", "double", "string"]
+    assert inferred.count() == 2
+    assert read_csv(spark, path, "id bigint, score string, name string").count() == 3
+
+
+def test_session_zone_does_not_matter(spark, conf, tmp_path):
+    conf("spark.sql.session.timeZone", "Asia/Tokyo")
+    store = FeatureStore(spark, str(tmp_path))
+    df = spark.createDataFrame([("1", "2024-01-01T23:00:00Z", "1")], RAW)
+    store.ingest(df, GROUP, ["OfflineStore"])
+    row = store.history(GROUP).first()
+    assert (row["day"], row["hour"]) == ("01", "23")
