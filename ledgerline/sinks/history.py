@@ -26,6 +26,7 @@ _REBALANCE_FLAGS = (
     "spark.sql.adaptive.enabled",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled",
 )
+_STREAM_FLAG = "spark.sql.adaptive.streaming.stateless.enabled"
 
 
 def cluster_by(df, columns):
@@ -34,11 +35,14 @@ def cluster_by(df, columns):
     REBALANCE shuffles by the columns once; AQE then cuts partitions above the advisory
     size into several tasks and merges small ones, so an hour with a third of all rows
     becomes many files of normal size. Without AQE the rows of each value go to a fixed
-    number of tasks, chosen by a hash of the whole row.
+    number of tasks, chosen by a hash of the whole row; a stream is then left as it is.
     """
     conf = df.sparkSession.conf
-    if all(conf.get(flag).lower() == "true" for flag in _REBALANCE_FLAGS):
+    flags = _REBALANCE_FLAGS + ((_STREAM_FLAG,) if df.isStreaming else ())
+    if all(conf.get(flag, "false").lower() == "true" for flag in flags):
         return df.hint("rebalance", *columns)
+    if df.isStreaming:
+        return df
     salt = F.pmod(F.xxhash64(*[named(c) for c in df.columns]), F.lit(STATIC_SPREAD))
     return df.repartition(*columns, salt)
 

@@ -9,7 +9,7 @@ from ledgerline.functions.history import (
 )
 from ledgerline.operators.checks import cast_features, invalid_rows, valid_rows
 from ledgerline.operators.names import check_names
-from ledgerline.sinks.history import WRITE_OPTIONS
+from ledgerline.sinks.history import WRITE_OPTIONS, cluster_by
 
 
 def _file_query(df, path, checkpoint, partition_columns=(), trigger=None):
@@ -29,8 +29,8 @@ def ingest_stream(stream, group, history, quarantine, checkpoint, trigger=None,
 
     Every step is a column expression of the batch path. Each query has a file sink with
     its own checkpoint, so each writes every row exactly once, also after a restart; the
-    sinks' folders must not be shared with batch writers. Rows are not shuffled: a stream
-    mostly holds the current hour, and one task per hour would be one task.
+    sinks' folders must not be shared with batch writers. The rows of an hour are brought
+    together as in a batch, so a micro-batch does not leave one file per task and hour.
     """
     check_names(stream.columns, group)
     valid = with_hour_columns(
@@ -38,7 +38,7 @@ def ingest_stream(stream, group, history, quarantine, checkpoint, trigger=None,
         group,
     )
     return (
-        _file_query(valid, history, f"{checkpoint}/history", HOUR_COLUMNS, trigger),
+        _file_query(cluster_by(valid, HOUR_COLUMNS), history, f"{checkpoint}/history", HOUR_COLUMNS, trigger),
         _file_query(
             invalid_rows(stream, group, strict),
             quarantine,
