@@ -55,6 +55,20 @@ ORDERS = FeatureGroup(
     ),
     offline=OfflineStore(HOUR_FORMAT),
 )
+PARTS = FeatureGroup(
+    name="parts",
+    record_identifier="l_partkey",
+    event_time="event_time",
+    features=(
+        ("l_partkey", "Integral"),
+        ("event_time", "Fractional"),
+        ("line", "Integral"),
+        ("l_quantity", "Fractional"),
+        ("l_extendedprice", "Fractional"),
+        ("l_returnflag", "String"),
+    ),
+    online=True,
+)
 
 
 def table(spark, sf_dir, name):
@@ -131,6 +145,33 @@ def orders(spark, sf_dir):
     )
 
 
+def parts(spark, sf_dir):
+    """Order lines keyed by part, with the shipping day in seconds since the epoch."""
+    return table(spark, sf_dir, "lineitem").select(
+        "l_partkey",
+        F.unix_seconds(F.col("l_shipdate").cast("timestamp")).cast("double").alias("event_time"),
+        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("line"),
+        "l_quantity",
+        "l_extendedprice",
+        "l_returnflag",
+    )
+
+
+def raw_parts(spark, sf_dir):
+    """Order lines as texts; some quantities have no digits, some prices are NaN."""
+    key = F.col("line")
+    return parts(spark, sf_dir).select(
+        F.col("l_partkey").cast("string").alias("l_partkey"),
+        F.col("event_time").cast("bigint").cast("string").alias("event_time"),
+        key.cast("string").alias("line"),
+        F.when(key % 37 == 0, "none")
+        .otherwise(F.col("l_quantity").cast("bigint").cast("string"))
+        .alias("l_quantity"),
+        F.when(key % 41 == 0, "NaN").otherwise(F.lit("1.5")).alias("l_extendedprice"),
+        "l_returnflag",
+    )
+
+
 def lossy_orders(df):
     """Orders as a faulty copy would hold them: some lost, changed, added, repeated."""
     key = F.col("o_orderkey")

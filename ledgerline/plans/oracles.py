@@ -74,6 +74,13 @@ latest AS (
     WHERE rn = 1
 )"""
 
+_PARTS = """
+parts_in AS (
+    SELECT l_partkey, CAST(epoch(l_shipdate) AS DOUBLE) AS event_time,
+           l_orderkey * 100 + l_linenumber AS line, l_quantity, l_extendedprice, l_returnflag
+    FROM lineitem
+)"""
+
 _HISTORY = f"WITH {_EVENTS} SELECT *, {_HOUR_COLUMNS} FROM events_in"
 _BY_DATE = f"WITH {_EVENTS} SELECT *, left(event_time, 10) AS event_time_trunc FROM events_in"
 _OUTCOMES = """
@@ -268,4 +275,38 @@ ORACLES = {
                c_mktsegment
         FROM customer
     """,
+    "lineitem_row_errors": """
+        SELECT concat_ws(',',
+                   CASE WHEN line % 37 = 0 THEN 'l_quantity not valid' END,
+                   CASE WHEN line % 41 = 0 THEN 'l_extendedprice not valid' END
+               ) AS "dataTypeValidationErrors",
+               count(*) AS n_rows
+        FROM (SELECT l_orderkey * 100 + l_linenumber AS line FROM lineitem)
+        GROUP BY 1
+    """,
+    "lineitem_latest": f"WITH {_PARTS} SELECT * EXCLUDE (rn) FROM (" """
+        SELECT *, row_number() OVER (
+            PARTITION BY l_partkey ORDER BY event_time DESC, line DESC, l_quantity DESC,
+                l_extendedprice DESC, l_returnflag DESC) AS rn
+        FROM parts_in)
+        WHERE rn = 1
+    """,
+    "lineitem_reconciliation": f"WITH {_PARTS}," """
+        stored AS (SELECT * FROM parts_in WHERE l_returnflag <> 'R')
+        SELECT (SELECT count(*) FROM parts_in) AS n_sent,
+               (SELECT count(*) FROM stored) AS n_stored,
+               (SELECT count(*) FROM (SELECT l_partkey FROM parts_in
+                    EXCEPT SELECT l_partkey FROM stored)) AS n_missing,
+               CAST(0 AS BIGINT) AS n_extra,
+               (SELECT count(*) FROM (SELECT l_partkey FROM stored
+                    GROUP BY l_partkey HAVING count(*) > 1)) AS n_duplicate,
+               (SELECT count(DISTINCT l_partkey) FROM (
+                    SELECT * FROM parts_in EXCEPT ALL SELECT * FROM stored)
+                WHERE l_partkey IN (SELECT l_partkey FROM stored)) AS n_changed
+    """,
+    "accepted_history": f"SELECT * FROM ({_HISTORY}) WHERE event_id % 100 <> 0",
+    "online_merge": f"WITH {_LATEST} SELECT * FROM latest",
+    "streaming_merge": f"""
+        WITH {_RAW} SELECT {_CAST_COLUMNS} FROM checked WHERE "dataTypeValidationErrors" = ''
+    """,
 }

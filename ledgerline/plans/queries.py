@@ -18,15 +18,16 @@ from ledgerline.operators.names import schema_name_report as name_report
 from ledgerline.operators.partitions import bounded_repartition as bounded
 from ledgerline.operators.reconcile import reconcile
 from ledgerline.plans import inputs
-from ledgerline.plans.inputs import EVENTS, EVENTS_BY_DATE, ORDERS, USERS
+from ledgerline.plans.inputs import EVENTS, EVENTS_BY_DATE, ORDERS, PARTS, USERS
 from ledgerline.plans.slices import ingest_by_time
 from ledgerline.plans.store import FeatureStore
 from ledgerline.session import scratch_dir
 from ledgerline.sinks.history import append_hours
+from ledgerline.sinks.keyed import KeyedTable
 from ledgerline.sources.catalog import usable_groups
 from ledgerline.sources.delimited import read_csv
 from ledgerline.sources.history import read_date, read_hour, read_hours
-from ledgerline.streaming.ingest import ingest_stream
+from ledgerline.streaming.ingest import ingest_stream, merge_stream
 
 LOOKUP_BUCKETS = 16
 
@@ -102,6 +103,12 @@ def orders_validated_cast(spark, sf_dir):
     return checks.validated_cast(inputs.orders(spark, sf_dir), ORDERS)
 
 
+def lineitem_row_errors(spark, sf_dir):
+    """Number of order lines per error text."""
+    errors = checks.row_validation_errors(inputs.raw_parts(spark, sf_dir), PARTS)
+    return errors.groupBy("dataTypeValidationErrors").agg(F.count("*").alias("n_rows"))
+
+
 # History ---------------------------------------------------------------------
 
 
@@ -196,6 +203,30 @@ def online_ingest(spark, sf_dir):
     return stored.unionByName(kept).unionByName(failed)
 
 
+def accepted_history(spark, sf_dir):
+    """Both stores with an external put: the history holds what the put accepted."""
+    store = _store(spark, "accepted_history", put=_fails_on_hundreds(EVENTS))
+    try:
+        store.ingest(inputs.events(spark, sf_dir), EVENTS)
+    except RecordIngestionError:
+        pass
+    return store.history(EVENTS).drop(*AUDIT_COLUMNS)
+
+
+def online_merge(spark, sf_dir):
+    """Two puts that overlap in users, then one row per user after a rewrite."""
+    keyed = _store(spark, "online_merge").online(USERS)
+    rows = inputs.users(spark, sf_dir)
+    for part in (rows.filter("event_type = 'click'"), rows.filter("event_type <> 'click'")):
+        keyed.put(part, sequence="event_id")
+    keyed.compact()
+    return keyed.read()
+
+
+def lineitem_latest(spark, sf_dir):
+    return latest_per_record(inputs.parts(spark, sf_dir), PARTS, sequence="line")
+
+
 def latest_records(spark, sf_dir):
     return latest_per_record(inputs.users(spark, sf_dir), USERS, sequence="event_id")
 
@@ -224,6 +255,12 @@ def ingest_reconciliation(spark, sf_dir):
     return reconcile(sent, inputs.lossy_orders(sent), "o_orderkey")
 
 
+def lineitem_reconciliation(spark, sf_dir):
+    """Order lines against a copy without the returned ones, by part."""
+    sent = inputs.parts(spark, sf_dir)
+    return reconcile(sent, sent.filter("l_returnflag <> 'R'"), PARTS.record_identifier)
+
+
 def stored_reconciliation(spark, sf_dir):
     """What the history holds after an ingest, against what was sent."""
     store = _store(spark, "stored_reconciliation")
@@ -252,6 +289,15 @@ def streaming_quarantine(spark, sf_dir):
     return spark.read.parquet(quarantine)
 
 
+def streaming_merge(spark, sf_dir):
+    """The raw event stream into a keyed table of events."""
+    base = scratch_dir(spark, "streaming_merge")
+    keyed = KeyedTable(spark, f"{base}/table", EVENTS, LOOKUP_BUCKETS)
+    stream = inputs.raw_event_stream(spark, sf_dir)
+    merge_stream(stream, keyed, f"{base}/checkpoint").awaitTermination()
+    return _shown(keyed.read())
+
+
 def csv_inferred_source(spark, sf_dir):
     path = scratch_dir(spark, "csv_inferred_source")
     inputs.table(spark, sf_dir, "customer").write.option("header", True).csv(path)
@@ -294,4 +340,10 @@ QUERIES = {
     "streaming_ingest": streaming_ingest,
     "streaming_quarantine": streaming_quarantine,
     "csv_inferred_source": csv_inferred_source,
+    "lineitem_row_errors": lineitem_row_errors,
+    "lineitem_latest": lineitem_latest,
+    "lineitem_reconciliation": lineitem_reconciliation,
+    "accepted_history": accepted_history,
+    "online_merge": online_merge,
+    "streaming_merge": streaming_merge,
 }

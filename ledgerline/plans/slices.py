@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from ledgerline.functions.casts import to_event_timestamp, to_feature
 from ledgerline.functions import named
+from ledgerline.functions.casts import to_event_timestamp, to_feature
 from ledgerline.operators.checks import check_rows
 from ledgerline.operators.names import check_names
 from ledgerline.session import scratch_dir
+from ledgerline.sinks.history import cluster_by
 
 SLICE = "time_slice"
 
@@ -30,10 +31,11 @@ def ingest_by_time(store, df, group, unit="day", target_stores=None):
         SLICE, F.date_format(F.date_trunc(unit, event_time), "yyyy-MM-dd-HH-mm")
     )
     path = scratch_dir(store.spark, "slices")
-    sliced.hint("rebalance", SLICE).write.partitionBy(SLICE).parquet(path)
+    cluster_by(sliced, [SLICE]).write.partitionBy(SLICE).parquet(path)
     staged = store.spark.read.schema(sliced.schema).parquet(path)
     # One short text per day or hour of the data, read from directory names only.
     slices = sorted(row[0] for row in staged.select(SLICE).distinct().collect())
     for value in slices:
-        store.ingest(staged.filter(F.col(SLICE) == value).drop(SLICE), group, target_stores)
+        rows = staged.filter(F.col(SLICE) == value).drop(SLICE)
+        store.ingest(rows, group, target_stores, rows_checked=True)
     return slices

@@ -13,6 +13,8 @@ from ledgerline.errors import (
     RecordIngestionError,
     ValidationError,
 )
+from ledgerline.functions import named
+from ledgerline.functions.casts import CHECKED_TYPES
 from ledgerline.functions.resource_ids import ResourceIdFormat
 from ledgerline.groups import (
     OFFLINE_STORE,
@@ -42,6 +44,18 @@ def _failures_seen(seen):
         return True
 
 
+def _with_castable_columns(df):
+    """Values other than texts and numbers as the text that a record would hold."""
+    return df.select(
+        *[
+            named(f.name)
+            if isinstance(f.dataType, CHECKED_TYPES)
+            else named(f.name).cast("string").alias(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
 class FeatureStore:
     """Ingests DataFrames into feature groups kept below ``root``.
 
@@ -93,7 +107,9 @@ class FeatureStore:
 
     # Ingest -----------------------------------------------------------------
 
-    def ingest(self, df, group, target_stores=None, strict=False, stage_input=False):
+    def ingest(
+        self, df, group, target_stores=None, strict=False, stage_input=False, rows_checked=False
+    ):
         """Check ``df`` against the group and write it to the target stores.
 
         ``None`` means all enabled stores. Offline only: one invalid row refuses the
@@ -102,7 +118,8 @@ class FeatureStore:
         :class:`RecordIngestionError` after all others are stored.
 
         The input is evaluated more than once; ``stage_input=True`` writes it to the
-        shared checkpoint folder first, for inputs that are costly or not repeatable.
+        shared checkpoint folder first, for inputs that are costly (joins, groupings) or
+        not repeatable. ``rows_checked=True`` says that :func:`check_rows` has passed.
         """
         group = self.group(group)
         check_created(group)
@@ -116,15 +133,16 @@ class FeatureStore:
         if ONLINE_STORE in stores:
             self._ingest_records(df, group, OFFLINE_STORE in stores, strict)
         else:
-            self._ingest_history(df, group, strict)
+            self._ingest_history(df, group, strict, rows_checked)
 
     def _stage(self, df):
         path = scratch_dir(self.spark, "staged-input")
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _ingest_history(self, df, group, strict):
-        check_rows(df, group, strict)
+    def _ingest_history(self, df, group, strict, rows_checked):
+        if not rows_checked:
+            check_rows(df, group, strict)
         if not group.offline_enabled:
             raise ValidationError(OFFLINE_NOT_ENABLED.format(group=group.name))
         append_history(cast_features(df, group, strict), group, self.history_path(group))
@@ -143,6 +161,7 @@ class FeatureStore:
         Faults are counted while the keyed table is written; the pass that keeps the
         failed rows runs only if there are any.
         """
+        df = _with_castable_columns(df)
         outcomes = df.withColumn(
             ERROR_COLUMN, F.nullif(row_errors(df, group, strict), F.lit(""))
         )
@@ -159,10 +178,12 @@ class FeatureStore:
             )
         if _failures_seen(seen):
             self._keep_failures(failed_records(outcomes), group)
+        else:
+            self._failures = outcomes.limit(0)
 
     def _put_external(self, df, group, with_history, strict):
         """One put per row; outcomes are written once, so that nothing is put again."""
-        spread = bounded_repartition(df)
+        spread = bounded_repartition(_with_castable_columns(df) if with_history else df)
         # The external store judges values, unless the history needs them castable.
         precheck = (
             F.nullif(row_errors(spread, group, strict), F.lit("")) if with_history else None
@@ -188,8 +209,7 @@ class FeatureStore:
     def failed_records(self):
         """Rows the last online ingest could not store, with their error.
 
-        None before any ingest and after one that was offline only; empty or None when
-        every record was stored.
+        None before any ingest and after one that was offline only.
         """
         return self._failures
 

@@ -1,7 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline import FeatureGroup, FeatureStore, OfflineStore, RecordIngestionError
+from ledgerline import (
+    FeatureGroup,
+    FeatureStore,
+    OfflineStore,
+    RecordIngestionError,
+    ValidationError,
+)
 from ledgerline.functions.records import exploded_records, record_column
 from ledgerline.operators.outcomes import failed_record_count, put_outcomes
 from ledgerline.operators.partitions import bounded_repartition, parallelism
@@ -144,6 +150,25 @@ def test_keyed_table_takes_valid_rows_and_keeps_the_others(spark, tmp_path):
     assert store.failed_records() is None
 
 
+def test_nothing_failed(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path), buckets=4)
+    store.ingest(people(spark), GROUP, ["OnlineStore"])
+    assert store.failed_records().count() == 0
+    assert "online_ingestion_error" in store.failed_records().columns
+
+
+def test_other_types_go_online_as_texts(spark, tmp_path):
+    """A record holds texts, so only the offline path refuses a type as such."""
+    group = FeatureGroup("f", "id", "at", (("id", "Integral"), ("at", "String"), ("b", "String")),
+                         online=True, offline=OfflineStore())
+    df = spark.sql("select 1 as id, date'2024-01-02' as at, true as b")
+    store = FeatureStore(spark, str(tmp_path), buckets=4)
+    store.ingest(df, group)
+    assert tuple(store.online(group).read().first()) == (1, "2024-01-02", "true")
+    with pytest.raises(ValidationError, match="unsupported data type"):
+        store.ingest(df, group, ["OfflineStore"])
+
+
 def test_every_row_faulty(spark, tmp_path):
     store = FeatureStore(spark, str(tmp_path), buckets=4)
     df = people(spark).withColumn("at", F.lit("never"))
