@@ -11,6 +11,7 @@ WRITE_TIME = "write_time"
 IS_DELETED = "is_deleted"
 AUDIT_COLUMNS = (API_INVOCATION_TIME, WRITE_TIME, IS_DELETED)
 HOUR_COLUMNS = ("year", "month", "day", "hour")
+HOUR_PATTERNS = ("yyyy", "MM", "dd", "HH")
 DATE_COLUMN = "event_time_trunc"
 
 
@@ -31,24 +32,8 @@ def event_timestamp(group):
 
 
 def hour_columns(ts):
-    """``yyyy``, ``MM``, ``dd`` and ``HH`` of a timestamp, as texts.
-
-    Number functions and padding generate tighter code than four formatters; years
-    that do not fit four digits go through the formatter.
-    """
-    year = F.year(ts)
-    return {
-        "year": F.when(year.between(1, 9999), _padded(year, 4)).otherwise(
-            F.date_format(ts, "yyyy")
-        ),
-        "month": _padded(F.month(ts), 2),
-        "day": _padded(F.dayofmonth(ts), 2),
-        "hour": _padded(F.hour(ts), 2),
-    }
-
-
-def _padded(number, width):
-    return F.lpad(number.cast("string"), width, "0")
+    """Year, month, day and hour of a timestamp, as texts."""
+    return {name: F.date_format(ts, p) for name, p in zip(HOUR_COLUMNS, HOUR_PATTERNS)}
 
 
 def with_hour_columns(df, group):

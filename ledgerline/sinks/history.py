@@ -20,8 +20,6 @@ WRITE_OPTIONS = {
     "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
     "parquet.summary.metadata.level": "NONE",
 }
-# How many tasks one partition value is spread over when AQE cannot split it.
-STATIC_SPREAD = 32
 _REBALANCE_FLAGS = (
     "spark.sql.adaptive.enabled",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled",
@@ -34,17 +32,17 @@ def cluster_by(df, columns):
 
     REBALANCE shuffles by the columns once; AQE then cuts partitions above the advisory
     size into several tasks and merges small ones, so an hour with a third of all rows
-    becomes many files of normal size. Without AQE the rows of each value go to a fixed
-    number of tasks, chosen by a hash of the whole row; a stream is then left as it is.
+    becomes many files of normal size. Without AQE a range partitioning over the columns
+    and a hash of the row does the same from a sample of the data, at the price of the
+    sampling pass; a stream, which cannot be sampled, is then left as it is.
     """
     conf = df.sparkSession.conf
     flags = _REBALANCE_FLAGS + ((_STREAM_FLAG,) if df.isStreaming else ())
-    if all(conf.get(flag, "false").lower() == "true" for flag in flags):
+    if all(conf.get(flag).lower() == "true" for flag in flags):
         return df.hint("rebalance", *columns)
     if df.isStreaming:
         return df
-    salt = F.pmod(F.xxhash64(*[named(c) for c in df.columns]), F.lit(STATIC_SPREAD))
-    return df.repartition(*columns, salt)
+    return df.repartitionByRange(*columns, F.xxhash64(*[named(c) for c in df.columns]))
 
 
 def append_hours(df, group, path):

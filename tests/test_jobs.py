@@ -89,6 +89,18 @@ def test_stream_splits_a_hot_hour(spark, conf, tmp_path, adaptive):
     assert len([f for f in stored.inputFiles() if "hour=04" in f]) > 1
 
 
+def test_stream_leaves_one_file_per_small_hour(spark, tmp_path):
+    source = str(tmp_path / "in")
+    good = [r for r in rows(0, 60) if r[2] != "bad"]
+    spark.createDataFrame(good, RAW).repartition(8).write.parquet(source)
+    paths = [str(tmp_path / p) for p in ("history", "quarantine", "checkpoint")]
+    for query in ingest_stream(spark.readStream.schema(RAW).parquet(source), GROUP, *paths):
+        query.awaitTermination()
+    stored = read_hours(spark, GROUP, paths[0])
+    hours = stored.select("year", "month", "day", "hour").distinct().count()
+    assert len(stored.inputFiles()) == hours
+
+
 def test_stream_refuses_bad_names(spark, tmp_path):
     stream = spark.readStream.schema("id string, hour string").parquet(str(tmp_path))
     with pytest.raises(ValidationError, match="reserved"):
