@@ -61,3 +61,8 @@ class ValidationError(FeatureStoreError):
 
 class RecordIngestionError(FeatureStoreError):
     """Some records of an online ingest failed; the others are stored."""
+
+
+def unsupported_type(data_type):
+    """Text for a Spark type that no feature type stands for, e.g. ``BooleanType``."""
+    return UNSUPPORTED_TYPE.format(type=str(data_type).replace("()", ""))

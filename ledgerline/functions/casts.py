@@ -8,7 +8,7 @@ never throw. ``strict=True`` gives ``try_cast`` instead.
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.errors import UNSUPPORTED_TYPE, ValidationError
+from ledgerline.errors import ValidationError, unsupported_type
 
 LONG_MAX = 2**63 - 1
 LONG_MIN = -(2**63)
@@ -29,7 +29,7 @@ CHECKED_TYPES = (T.StringType, T.DecimalType) + _WHOLE_TYPES + _FLOAT_TYPES
 def check_castable(data_type):
     """Only texts and numbers can be checked; other input types are refused."""
     if not isinstance(data_type, CHECKED_TYPES):
-        raise ValidationError(UNSUPPORTED_TYPE.format(type=data_type.simpleString()))
+        raise ValidationError(unsupported_type(data_type))
 
 
 def to_feature(c, source, feature_type, strict=False):

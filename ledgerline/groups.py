@@ -10,8 +10,8 @@ from ledgerline.errors import (
     NOT_CREATED,
     STORE_NOT_ENABLED,
     UNKNOWN_STORE,
-    UNSUPPORTED_TYPE,
     ValidationError,
+    unsupported_type,
 )
 
 # Feature types and the Spark types they are stored as.
@@ -111,9 +111,7 @@ def feature_type_of(data_type):
     try:
         return INFERRED_TYPES[type(data_type)]
     except KeyError:
-        raise ValidationError(
-            UNSUPPORTED_TYPE.format(type=data_type.simpleString())
-        ) from None
+        raise ValidationError(unsupported_type(data_type)) from None
 
 
 def feature_definitions(df):

@@ -19,7 +19,6 @@ from ledgerline.operators.partitions import bounded_repartition as bounded
 from ledgerline.operators.reconcile import reconcile
 from ledgerline.plans import inputs
 from ledgerline.plans.inputs import EVENTS, EVENTS_BY_DATE, ORDERS, PARTS, USERS
-from ledgerline.plans.slices import ingest_by_time
 from ledgerline.plans.store import FeatureStore
 from ledgerline.session import scratch_dir
 from ledgerline.sinks.history import append_hours
@@ -159,7 +158,7 @@ def offline_date_read(spark, sf_dir):
 
 def time_sliced_ingest(spark, sf_dir):
     store = _store(spark, "time_sliced_ingest")
-    ingest_by_time(store, inputs.events(spark, sf_dir), EVENTS, "week", ["OfflineStore"])
+    store.ingest_by_time(inputs.events(spark, sf_dir), EVENTS, "week", ["OfflineStore"])
     return store.history(EVENTS).drop(*AUDIT_COLUMNS)
 
 

@@ -2,9 +2,11 @@
 
 import time
 import uuid
+from contextlib import contextmanager
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerline.errors import (
@@ -29,8 +31,9 @@ from ledgerline.operators.checks import cast_features, check_rows, row_errors
 from ledgerline.operators.names import ERROR_COLUMN, check_names
 from ledgerline.operators.outcomes import failed_records, put_outcomes, stored_records
 from ledgerline.operators.partitions import bounded_repartition
-from ledgerline.session import pin_utc, scratch_dir
-from ledgerline.sinks.history import append_history, check_format
+from ledgerline.operators.slices import SLICE, with_time_slice
+from ledgerline.session import pin_utc, remove_scratch, scratch_dir
+from ledgerline.sinks.history import append_history, check_format, cluster_by
 from ledgerline.sinks.keyed import KeyedTable
 from ledgerline.sources.catalog import catalog_frame, find_group
 from ledgerline.sources.history import in_catalog, read_dates, read_hours, read_table
@@ -119,8 +122,46 @@ class FeatureStore:
 
         The input is evaluated more than once; ``stage_input=True`` writes it to the
         shared checkpoint folder first, for inputs that are costly (joins, groupings) or
-        not repeatable. ``rows_checked=True`` says that :func:`check_rows` has passed.
+        not repeatable. ``rows_checked=True`` says that ``check_rows`` has passed.
         """
+        group, stores = self._admit(df, group, target_stores)
+        with self._staged_if(stage_input, df) as rows:
+            if ONLINE_STORE in stores:
+                self._ingest_records(rows, group, OFFLINE_STORE in stores, strict)
+            else:
+                self._ingest_history(rows, group, strict, rows_checked)
+
+    def ingest_by_time(self, df, group, unit="day", target_stores=None, strict=False):
+        """Ingest ``df`` one ``unit`` of event time after the other; returns the slices.
+
+        The outcome is that of one ingest. Offline only, the input is checked as a whole
+        first. It is written once, partitioned by slice, and each ingest reads only its
+        own directory: two passes over the input however many slices there are.
+        """
+        group, stores = self._admit(df, group, target_stores)
+        offline_only = ONLINE_STORE not in stores
+        if offline_only:
+            check_rows(df, group, strict)
+        sliced = with_time_slice(_with_castable_columns(df), group, unit)
+        path = scratch_dir(self.spark, "slices")
+        cluster_by(sliced, [SLICE]).write.partitionBy(SLICE).parquet(path)
+        staged = self.spark.read.schema(sliced.schema).parquet(path)
+        # One short text per unit of time, taken from directory names.
+        slices = [row[0] for row in staged.select(SLICE).distinct().orderBy(SLICE).collect()]
+        failures = []
+        for value in slices:
+            rows = staged.filter(F.col(SLICE).eqNullSafe(value)).drop(SLICE)
+            try:
+                self.ingest(rows, group, stores or None, strict, rows_checked=offline_only)
+            except RecordIngestionError:
+                failures.append(self._failures)
+        remove_scratch(self.spark, path)
+        if failures:
+            self._report_failures(reduce(DataFrame.unionByName, failures))
+        return slices
+
+    def _admit(self, df, group, target_stores):
+        """The group and its target stores, after all checks that need no rows."""
         group = self.group(group)
         check_created(group)
         stores = check_target_stores(group, target_stores)
@@ -128,17 +169,20 @@ class FeatureStore:
             stores = group.enabled_stores
         self._failures = None
         check_names(df.columns, group)
-        if stage_input:
-            df = self._stage(df)
-        if ONLINE_STORE in stores:
-            self._ingest_records(df, group, OFFLINE_STORE in stores, strict)
-        else:
-            self._ingest_history(df, group, strict, rows_checked)
-
-    def _stage(self, df):
-        path = scratch_dir(self.spark, "staged-input")
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return group, stores
+
+    @contextmanager
+    def _staged_if(self, wanted, df):
+        """``df``, or its rows written to the shared scratch folder for the time being."""
+        if not wanted:
+            yield df
+            return
+        path = scratch_dir(self.spark, "staged")
+        try:
+            df.write.parquet(path)
+            yield self.spark.read.schema(df.schema).parquet(path)
+        finally:
+            remove_scratch(self.spark, path)
 
     def _ingest_history(self, df, group, strict, rows_checked):
         if not rows_checked:
@@ -177,9 +221,9 @@ class FeatureStore:
                 self.history_path(group),
             )
         if _failures_seen(seen):
-            self._keep_failures(failed_records(outcomes), group)
+            self._report_failures(self._write_failures(failed_records(outcomes), group))
         else:
-            self._failures = outcomes.limit(0)
+            self._failures = self.spark.createDataFrame([], outcomes.schema)
 
     def _put_external(self, df, group, with_history, strict):
         """One put per row; outcomes are written once, so that nothing is put again."""
@@ -189,20 +233,24 @@ class FeatureStore:
             F.nullif(row_errors(spread, group, strict), F.lit("")) if with_history else None
         )
         outcomes = put_outcomes(spread, self._put, self._open_client, precheck)
-        if with_history:
-            outcomes = self._stage(outcomes)
-            append_history(
-                cast_features(stored_records(outcomes), group, strict),
-                group,
-                self.history_path(group),
-            )
-        self._keep_failures(failed_records(outcomes), group)
-
-    def _keep_failures(self, failures, group):
+        with self._staged_if(with_history, outcomes) as done:
+            if with_history:
+                append_history(
+                    cast_features(stored_records(done), group, strict),
+                    group,
+                    self.history_path(group),
+                )
+            kept = self._write_failures(failed_records(done), group)
+        self._report_failures(kept)
+
+    def _write_failures(self, failures, group):
         path = f"{self.root}/failures/{group.name}/{uuid.uuid4().hex}"
         failures.write.parquet(path)
-        self._failures = self.spark.read.schema(failures.schema).parquet(path)
-        count = self._failures.count()
+        return self.spark.read.schema(failures.schema).parquet(path)
+
+    def _report_failures(self, failures):
+        self._failures = failures
+        count = failures.count()
         if count:
             raise RecordIngestionError(FAILED_RECORDS.format(count=count))
 

@@ -5,6 +5,7 @@ import uuid
 
 TIME_ZONE = "spark.sql.session.timeZone"
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SCRATCH = "ledgerline"
 
 
 def pin_utc(spark):
@@ -25,4 +26,12 @@ def scratch_dir(spark, purpose):
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"Set {CHECKPOINT_DIR} to a folder all executors share.")
         base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/ledgerline/{purpose}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{SCRATCH}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark, path):
+    """Delete a folder made by :func:`scratch_dir` once nothing reads it any more."""
+    if f"/{SCRATCH}/" not in path:
+        raise ValueError(f"Not a scratch folder: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

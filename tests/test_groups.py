@@ -38,6 +38,15 @@ def test_other_types_have_no_definition(spark, data_type):
         feature_definitions(df)
 
 
+def test_unsupported_type_is_named(spark):
+    with pytest.raises(ValidationError) as caught:
+        feature_definitions(spark.sql("select true as flag"))
+    assert str(caught.value) == (
+        "Found unsupported data type from schema 'BooleanType' which cannot be converted "
+        "to a corresponding feature type."
+    )
+
+
 def test_definition_report_counts_values(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "k int, `dotted.name` string")
     assert [tuple(r) for r in definition_report(df).orderBy("position").collect()] == [

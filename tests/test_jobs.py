@@ -3,10 +3,16 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline import FeatureGroup, FeatureStore, OfflineStore, ValidationError
+from ledgerline import (
+    FeatureGroup,
+    FeatureStore,
+    OfflineStore,
+    RecordIngestionError,
+    ValidationError,
+)
 from ledgerline.functions.history import AUDIT_COLUMNS
 from ledgerline.functions.resource_ids import ResourceIdFormat, parse_resource_ids
-from ledgerline.plans.slices import ingest_by_time
+from ledgerline.session import remove_scratch
 from ledgerline.sinks.keyed import KeyedTable
 from ledgerline.sources.delimited import read_csv
 from ledgerline.sources.history import read_hours
@@ -31,7 +37,7 @@ def test_slices_equal_one_ingest(spark, tmp_path):
     whole = FeatureStore(spark, str(tmp_path / "whole"))
     whole.ingest(df, GROUP, ["OfflineStore"])
     sliced = FeatureStore(spark, str(tmp_path / "sliced"))
-    assert len(ingest_by_time(sliced, df, GROUP, "day", ["OfflineStore"])) == 3
+    assert len(sliced.ingest_by_time(df, GROUP, "day", ["OfflineStore"])) == 3
     a = whole.history(GROUP).drop(*AUDIT_COLUMNS)
     b = sliced.history(GROUP).drop(*AUDIT_COLUMNS)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
@@ -40,10 +46,43 @@ def test_slices_equal_one_ingest(spark, tmp_path):
 def test_slices_refuse_invalid_input_as_a_whole(spark, tmp_path):
     store = FeatureStore(spark, str(tmp_path))
     with pytest.raises(ValidationError):
-        ingest_by_time(store, spark.createDataFrame(rows(0, 20), RAW), GROUP)
+        store.ingest_by_time(
+            spark.createDataFrame(rows(0, 20), RAW), GROUP, target_stores=["OfflineStore"]
+        )
     assert not (tmp_path / "offline").exists()
 
 
+def test_slices_go_on_after_failed_records(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path), buckets=4)
+    given = [*rows(0, 30), ("77", "never", "1"), ("78", None, "1")]
+    bad = {r[0] for r in given if r[2] == "bad"} | {"77", "78"}
+    with pytest.raises(RecordIngestionError, match=f"{len(bad)} records failed"):
+        store.ingest_by_time(spark.createDataFrame(given, RAW), GROUP)
+    assert {r["id"] for r in store.failed_records().collect()} == bad
+    stored = {str(r["id"]) for r in store.online(GROUP).read().collect()}
+    assert stored == {r[0] for r in given} - bad
+    assert store.history(GROUP).count() == len(stored)
+
+
+def test_scratch_folders_are_removed(spark, monkeypatch, tmp_path):
+    shared = tmp_path / "shared" / "ledgerline"
+    made = []
+
+    def scratch_dir(spark, purpose):
+        made.append(str(shared / f"{purpose}-{len(made)}"))
+        return made[-1]
+
+    monkeypatch.setattr("ledgerline.plans.store.scratch_dir", scratch_dir)
+    store = FeatureStore(spark, str(tmp_path / "store"), put=lambda _, record: None)
+    df = spark.createDataFrame([r for r in rows(0, 20) if r[2] != "bad"], RAW)
+    store.ingest(df, GROUP, stage_input=True)
+    store.ingest_by_time(df, GROUP, target_stores=["OfflineStore"])
+    assert len(made) == 3 and list(shared.iterdir()) == []
+    assert store.history(GROUP).count() == 2 * df.count()
+    with pytest.raises(ValueError):
+        remove_scratch(spark, str(tmp_path))
+
+
 def test_stream_splits_valid_and_faulty_rows_once(spark, tmp_path):
     source = str(tmp_path / "in")
     paths = [str(tmp_path / p) for p in ("history", "quarantine", "checkpoint")]
