@@ -72,13 +72,16 @@ def name_problems(names, group):
         F.array_except(text_array(group.required), names),
         lambda n: problem(n, F.lit("missing")),
     )
+    lowered = F.transform(names, F.lower)
+    distinct = F.array_distinct(lowered)
     repeated = F.transform(
-        F.filter(
-            F.array_distinct(F.transform(names, F.lower)),
-            lambda n: F.size(F.filter(names, lambda m: F.lower(m) == n)) > 1,
-        ),
+        F.filter(distinct, lambda n: F.size(F.filter(lowered, lambda m: m == n)) > 1),
         lambda n: problem(n, F.lit("repeated")),
     )
+    # The quadratic search runs only where a name does repeat.
+    repeated = F.when(F.size(distinct) < F.size(names), repeated).otherwise(
+        F.array().cast("array<struct<name: string, rule: string>>")
+    )
     return F.concat(present, missing, repeated)
 
 

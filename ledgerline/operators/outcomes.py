@@ -21,13 +21,14 @@ def put_outcomes(df, put, open_client=None, precheck=None):
     Arrow, so integers with nulls keep their type. A retried task repeats its puts;
     ``put`` has to treat the same identifier and event time as the same record.
     """
-    out_schema = T.StructType(
-        df.schema.fields + [T.StructField(ERROR_COLUMN, T.StringType(), True)]
-    )
     prechecked = F.lit(None).cast("string") if precheck is None else precheck
     sent = df.select(
         "*", record_column(df.columns).alias(_RECORD), prechecked.alias(ERROR_COLUMN)
     )
+    # mapInArrow resolves names itself, and not all of them: numbers stand in.
+    sent = sent.toDF(*[str(i) for i in range(len(sent.columns))])
+    fields = [T.StructField(str(i), f.dataType) for i, f in enumerate(df.schema.fields)]
+    out_schema = T.StructType([*fields, T.StructField(sent.columns[-1], T.StringType())])
 
     def run(batches):
         import pyarrow as pa
@@ -51,7 +52,7 @@ def put_outcomes(df, put, open_client=None, precheck=None):
             if hasattr(client, "close"):
                 client.close()
 
-    return sent.mapInArrow(run, out_schema)
+    return sent.mapInArrow(run, out_schema).toDF(*df.columns, ERROR_COLUMN)
 
 
 def failed_records(outcomes):
