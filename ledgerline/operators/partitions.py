@@ -1,6 +1,5 @@
 """Number of partitions for record-wise work."""
 
-PARALLELISM = "spark.default.parallelism"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
