@@ -12,7 +12,7 @@ IS_DELETED = "is_deleted"
 AUDIT_COLUMNS = (API_INVOCATION_TIME, WRITE_TIME, IS_DELETED)
 HOUR_COLUMNS = ("year", "month", "day", "hour")
 HOUR_PATTERNS = ("yyyy", "MM", "dd", "HH")
-DATE_COLUMN = "event_time_trunc"
+DATE_SUFFIX = "_trunc"
 
 
 def with_audit_columns(df):
@@ -47,5 +47,10 @@ def event_date(group):
     return F.date_format(event_timestamp(group), "yyyy-MM-dd")
 
 
+def date_column(group):
+    """Name of the partition column of the date layout."""
+    return group.event_time + DATE_SUFFIX
+
+
 def with_event_date(df, group):
-    return df.withColumn(DATE_COLUMN, event_date(group))
+    return df.withColumn(date_column(group), event_date(group))

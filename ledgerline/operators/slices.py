@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import named
 from ledgerline.functions.casts import to_event_timestamp, to_feature
 
-SLICE = "time_slice"
+SLICE = "ledgerline_slice"
 
 
 def with_time_slice(df, group, unit):

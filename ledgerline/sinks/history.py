@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from ledgerline.errors import INVALID_FORMAT
+from ledgerline.errors import INVALID_FORMAT, RESERVED_NAME, ValidationError
 from ledgerline.functions import named
 from ledgerline.functions.history import (
-    DATE_COLUMN,
     HOUR_COLUMNS,
+    date_column,
     with_audit_columns,
     with_event_date,
     with_hour_columns,
@@ -36,13 +36,14 @@ def cluster_by(df, columns):
     and a hash of the row does the same from a sample of the data, at the price of the
     sampling pass; a stream, which cannot be sampled, is then left as it is.
     """
+    keys = [named(c) for c in columns]
     conf = df.sparkSession.conf
     flags = _REBALANCE_FLAGS + ((_STREAM_FLAG,) if df.isStreaming else ())
     if all(conf.get(flag).lower() == "true" for flag in flags):
-        return df.hint("rebalance", *columns)
+        return df.hint("rebalance", *keys)
     if df.isStreaming:
         return df
-    return df.repartitionByRange(*columns, F.xxhash64(*[named(c) for c in df.columns]))
+    return df.repartitionByRange(*keys, F.xxhash64(*[named(c) for c in df.columns]))
 
 
 def append_hours(df, group, path):
@@ -58,15 +59,16 @@ def append_hours(df, group, path):
 
 
 def append_dates(df, group, path):
-    """Append cast rows below ``event_time_trunc=``, sorted by event time in each file.
+    """Append cast rows below ``<event time>_trunc=``, sorted by event time in each file.
 
     The sort starts with the partition column, so the writer needs no sort of its own.
     """
+    date = date_column(group)
     rows = with_event_date(with_audit_columns(df), group)
     (
-        cluster_by(rows, [DATE_COLUMN])
-        .sortWithinPartitions(DATE_COLUMN, named(group.event_time))
-        .write.partitionBy(DATE_COLUMN)
+        cluster_by(rows, [date])
+        .sortWithinPartitions(named(date), named(group.event_time))
+        .write.partitionBy(date)
         .options(**WRITE_OPTIONS)
         .mode("append")
         .parquet(path)
@@ -95,9 +97,13 @@ _WRITERS = {None: append_hours, HOUR_FORMAT: append_hours, TABLE_FORMAT: _append
 
 
 def check_format(group):
+    """Raise if the history of the group could not be written."""
     if group.offline.table_format not in _WRITERS:
         valid = ", ".join(f for f in _WRITERS if f)
         raise ValueError(INVALID_FORMAT.format(format=group.offline.table_format, valid=valid))
+    dated = group.offline.table_format == TABLE_FORMAT
+    if dated and date_column(group) in group.feature_types:
+        raise ValidationError(RESERVED_NAME.format(name=date_column(group)))
 
 
 def append_history(df, group, path):

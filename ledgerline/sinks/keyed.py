@@ -7,8 +7,9 @@ from ledgerline.functions import named
 from ledgerline.operators.latest import latest_per_record
 from ledgerline.sinks.history import cluster_by
 
-BUCKET = "id_bucket"
-SEQUENCE = "put_sequence"
+# Stored beside the features, so they must not be names of features.
+BUCKET = "ledgerline_bucket"
+SEQUENCE = "ledgerline_sequence"
 VERSION_SCHEMA = "version bigint"
 
 
@@ -17,7 +18,7 @@ class KeyedTable:
 
     A put costs as much as its batch, however large the table is, and replaying one
     changes nothing: the same record wins again. Identifiers are spread over
-    ``id_bucket=`` directories by hash; a lookup of given identifiers opens only theirs.
+    ``ledgerline_bucket=`` directories by hash; a lookup of given identifiers opens only theirs.
     :meth:`compact` rewrites the table to one row per identifier in a new version
     folder and then points to it; it must not run beside a put.
     """

@@ -7,12 +7,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions import named
 from ledgerline.functions.history import (
     API_INVOCATION_TIME,
-    DATE_COLUMN,
     HOUR_COLUMNS,
     IS_DELETED,
     WRITE_TIME,
+    date_column,
 )
 from ledgerline.groups import TABLE_FORMAT
 
@@ -71,8 +72,8 @@ def read_hour(spark, group, path, year, month, day, hour):
 
 def read_dates(spark, group, path):
     """The date-partitioned history."""
-    return spark.read.schema(history_schema(group, (DATE_COLUMN,))).parquet(path)
+    return spark.read.schema(history_schema(group, (date_column(group),))).parquet(path)
 
 
 def read_date(spark, group, path, date):
-    return read_dates(spark, group, path).filter(F.col(DATE_COLUMN) == date)
+    return read_dates(spark, group, path).filter(named(date_column(group)) == date)

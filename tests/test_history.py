@@ -56,7 +56,7 @@ def test_date_layout_and_append(spark, tmp_path, points):
     sink.append_dates(points, GROUP, path)
     sink.append_dates(points.filter("id < 10"), GROUP, path)
     assert sorted(d for d in os.listdir(path) if "=" in d) == [
-        "event_time_trunc=2024-01-02", "event_time_trunc=2024-01-03"
+        "at_trunc=2024-01-02", "at_trunc=2024-01-03"
     ]
     assert read_dates(spark, GROUP, path).count() == 20010
     day = read_date(spark, GROUP, path, "2024-01-03")
@@ -71,7 +71,7 @@ def test_date_of_a_numeric_event_time(spark, tmp_path):
                          offline=OfflineStore("Iceberg"))
     store = FeatureStore(spark, str(tmp_path))
     store.ingest(spark.createDataFrame([(1, 1631091971.5)], "id bigint, at double"), group)
-    assert store.history(group).first()["event_time_trunc"] == "2021-09-08"
+    assert store.history(group).first()["at_trunc"] == "2021-09-08"
 
 
 def test_files_are_plain_and_unmarked(spark, tmp_path, points):
@@ -110,7 +110,7 @@ def test_date_layout_splits_a_hot_date(spark, conf, tmp_path, points):
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "40KB")
     path = str(tmp_path / "h")
     sink.append_dates(points, GROUP, path)
-    assert len(files(f"{path}/event_time_trunc=2024-01-02")) > 1
+    assert len(files(f"{path}/at_trunc=2024-01-02")) > 1
     assert read_dates(spark, GROUP, path).count() == 20000
 
 
@@ -153,6 +153,14 @@ def test_unknown_table_format_is_refused(spark, tmp_path):
             store.ingest(df, minimal(table_format="Other"), stores)
 
 
+def test_date_column_may_not_be_a_feature(spark, tmp_path):
+    group = FeatureGroup("g", "id", "at", (("id", "String"), ("at", "String"), ("at_trunc", "String")),
+                         offline=OfflineStore("Iceberg"))
+    df = spark.createDataFrame([("1", "2024-01-01")], "id string, at string")
+    with pytest.raises(ValidationError, match="reserved feature name 'at_trunc'"):
+        FeatureStore(spark, str(tmp_path)).ingest(df, group)
+
+
 def test_offline_store_has_to_be_enabled(spark, tmp_path):
     store = FeatureStore(spark, str(tmp_path))
     df = spark.createDataFrame(ONE_RECORD, MINIMAL_SCHEMA)

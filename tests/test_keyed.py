@@ -87,7 +87,7 @@ def test_lookups(spark, tmp_path, plan):
     expected = brute_force(rows)
     one = table.get(7)
     assert {tuple(r) for r in one.collect()} == {r for r in expected if r[0] == 7}
-    assert "id_bucket" in plan(one).split("PartitionFilters:")[1].split("]")[0]
+    assert "ledgerline_bucket" in plan(one).split("PartitionFilters:")[1].split("]")[0]
     ids = spark.createDataFrame([(i,) for i in (1, 1, 2, 500)], "wanted bigint")
     found = {tuple(r) for r in table.lookup(ids).collect()}
     assert found == {r for r in expected if r[0] in (1, 2)}

@@ -1,5 +1,7 @@
 """Wide groups and awkward names through all stores."""
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from ledgerline import FeatureGroup, FeatureStore, OfflineStore
@@ -30,6 +32,9 @@ def test_awkward_names(spark, tmp_path):
     stored = store.history(AWKWARD).select(*[f"`{c.replace('`', '``')}`" for c in df.columns])
     sent = store.online(AWKWARD).read()
     assert tuple(reconcile(sent, stored, "the.id").first()) == (50, 50, 0, 0, 0, 0)
+    dated = dataclasses.replace(AWKWARD, name="dated", offline=OfflineStore("Iceberg"))
+    store.ingest(df, dated, ["OfflineStore"])
+    assert store.history(dated).first()["event time_trunc"] == "2024-01-01"
     assert len(store.ingest_by_time(df, AWKWARD, "day", ["OfflineStore"])) == 1
 
 
