@@ -173,9 +173,14 @@ def raw_parts(spark, sf_dir):
 
 
 def lossy_orders(df):
-    """Orders as a faulty copy would hold them: some lost, changed, added, repeated."""
+    """Orders as a faulty copy would hold them.
+
+    Cheap pending ones are lost; some others are changed, repeated, or there under a key
+    that was never sent.
+    """
     key = F.col("o_orderkey")
-    copied = df.filter(key % 50 != 0).withColumn(
+    lost = (F.col("o_orderstatus") == "P") & (F.col("o_totalprice") < 50000)
+    copied = df.filter(~lost).withColumn(
         "o_totalprice",
         F.when(key % 90 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
     )

@@ -237,7 +237,7 @@ ORACLES = {
             SELECT o_orderkey, event_time, o_custkey, o_orderstatus,
                    CASE WHEN o_orderkey % 90 = 1 THEN o_totalprice + 1
                         ELSE o_totalprice END AS o_totalprice
-            FROM orders_in WHERE o_orderkey % 50 <> 0),
+            FROM orders_in WHERE NOT (o_orderstatus = 'P' AND o_totalprice < 50000)),
         stored AS (
             SELECT * FROM copied
             UNION ALL SELECT * FROM copied WHERE o_orderkey % 70 = 2

@@ -38,7 +38,13 @@ def ingest_stream(stream, group, history, quarantine, checkpoint, trigger=None,
         group,
     )
     return (
-        _file_query(cluster_by(valid, HOUR_COLUMNS), history, f"{checkpoint}/history", HOUR_COLUMNS, trigger),
+        _file_query(
+            cluster_by(valid, HOUR_COLUMNS),
+            history,
+            f"{checkpoint}/history",
+            HOUR_COLUMNS,
+            trigger,
+        ),
         _file_query(
             invalid_rows(stream, group, strict),
             quarantine,
