@@ -35,7 +35,7 @@ from ledgerline.operators.slices import SLICE, with_time_slice
 from ledgerline.session import pin_utc, remove_scratch, scratch_dir
 from ledgerline.sinks.history import append_history, check_format, cluster_by
 from ledgerline.sinks.keyed import KeyedTable
-from ledgerline.sources.catalog import catalog_frame, find_group
+from ledgerline.sources.catalog import CATALOG_SCHEMA, catalog_frame, find_group
 from ledgerline.sources.history import in_catalog, read_dates, read_hours, read_table
 
 
@@ -95,7 +95,7 @@ class FeatureStore:
         )
 
     def catalog(self):
-        return self.spark.read.parquet(self._catalog_path)
+        return self.spark.read.schema(CATALOG_SCHEMA).parquet(self._catalog_path)
 
     def group(self, group):
         """A group itself, or the one a name or resource identifier stands for."""
@@ -111,7 +111,14 @@ class FeatureStore:
     # Ingest -----------------------------------------------------------------
 
     def ingest(
-        self, df, group, target_stores=None, strict=False, stage_input=False, rows_checked=False
+        self,
+        df,
+        group,
+        target_stores=None,
+        strict=False,
+        stage_input=False,
+        rows_checked=False,
+        clustered=False,
     ):
         """Check ``df`` against the group and write it to the target stores.
 
@@ -122,21 +129,24 @@ class FeatureStore:
 
         The input is evaluated more than once; ``stage_input=True`` writes it to the
         shared checkpoint folder first, for inputs that are costly (joins, groupings) or
-        not repeatable. ``rows_checked=True`` says that ``check_rows`` has passed.
+        not repeatable. ``rows_checked=True`` says that ``check_rows`` has passed,
+        ``clustered=True`` that the tasks of the input hold few hours (or dates) each, so
+        that the history is written without a shuffle.
         """
         group, stores = self._admit(df, group, target_stores)
         with self._staged_if(stage_input, df) as rows:
             if ONLINE_STORE in stores:
-                self._ingest_records(rows, group, OFFLINE_STORE in stores, strict)
+                self._ingest_records(rows, group, OFFLINE_STORE in stores, strict, clustered)
             else:
-                self._ingest_history(rows, group, strict, rows_checked)
+                self._ingest_history(rows, group, strict, rows_checked, clustered)
 
     def ingest_by_time(self, df, group, unit="day", target_stores=None, strict=False):
         """Ingest ``df`` one ``unit`` of event time after the other; returns the slices.
 
         The outcome is that of one ingest. Offline only, the input is checked as a whole
         first. It is written once, partitioned by slice, and each ingest reads only its
-        own directory: two passes over the input however many slices there are.
+        own directory: two passes over the input however many slices there are. A slice
+        no wider than a directory of the history is not shuffled again.
         """
         group, stores = self._admit(df, group, target_stores)
         offline_only = ONLINE_STORE not in stores
@@ -148,11 +158,20 @@ class FeatureStore:
         staged = self.spark.read.schema(sliced.schema).parquet(path)
         # One short text per unit of time, taken from directory names.
         slices = [row[0] for row in staged.select(SLICE).distinct().orderBy(SLICE).collect()]
+        by_date = group.offline_enabled and group.offline.table_format == TABLE_FORMAT
+        narrow = ("hour", "day") if by_date else ("hour",)
         failures = []
         for value in slices:
             rows = staged.filter(F.col(SLICE).eqNullSafe(value)).drop(SLICE)
             try:
-                self.ingest(rows, group, stores or None, strict, rows_checked=offline_only)
+                self.ingest(
+                    rows,
+                    group,
+                    stores or None,
+                    strict,
+                    rows_checked=offline_only,
+                    clustered=unit in narrow,
+                )
             except RecordIngestionError:
                 failures.append(self._failures)
         remove_scratch(self.spark, path)
@@ -184,22 +203,27 @@ class FeatureStore:
         finally:
             remove_scratch(self.spark, path)
 
-    def _ingest_history(self, df, group, strict, rows_checked):
+    def _append(self, df, group, strict, clustered):
+        append_history(
+            cast_features(df, group, strict), group, self.history_path(group), clustered
+        )
+
+    def _ingest_history(self, df, group, strict, rows_checked, clustered):
         if not rows_checked:
             check_rows(df, group, strict)
         if not group.offline_enabled:
             raise ValidationError(OFFLINE_NOT_ENABLED.format(group=group.name))
-        append_history(cast_features(df, group, strict), group, self.history_path(group))
+        self._append(df, group, strict, clustered)
 
-    def _ingest_records(self, df, group, with_history, strict):
+    def _ingest_records(self, df, group, with_history, strict, clustered):
         if with_history:
             check_format(group)
         if self._put is None:
-            self._put_keyed(df, group, with_history, strict)
+            self._put_keyed(df, group, with_history, strict, clustered)
         else:
-            self._put_external(df, group, with_history, strict)
+            self._put_external(df, group, with_history, strict, clustered)
 
-    def _put_keyed(self, df, group, with_history, strict):
+    def _put_keyed(self, df, group, with_history, strict, clustered):
         """Rows with faults fail, the others go to the keyed table and the history.
 
         Faults are counted while the keyed table is written; the pass that keeps the
@@ -215,17 +239,13 @@ class FeatureStore:
         )
         self.online(group).put(cast_features(accepted, group, strict), time.time_ns())
         if with_history:
-            append_history(
-                cast_features(stored_records(outcomes), group, strict),
-                group,
-                self.history_path(group),
-            )
+            self._append(stored_records(outcomes), group, strict, clustered)
         if _failures_seen(seen):
             self._report_failures(self._write_failures(failed_records(outcomes), group))
         else:
             self._failures = self.spark.createDataFrame([], outcomes.schema)
 
-    def _put_external(self, df, group, with_history, strict):
+    def _put_external(self, df, group, with_history, strict, clustered):
         """One put per row; outcomes are written once, so that nothing is put again."""
         spread = bounded_repartition(_with_castable_columns(df) if with_history else df)
         # The external store judges values, unless the history needs them castable.
@@ -235,11 +255,7 @@ class FeatureStore:
         outcomes = put_outcomes(spread, self._put, self._open_client, precheck)
         with self._staged_if(with_history, outcomes) as done:
             if with_history:
-                append_history(
-                    cast_features(stored_records(done), group, strict),
-                    group,
-                    self.history_path(group),
-                )
+                self._append(stored_records(done), group, strict, clustered)
             kept = self._write_failures(failed_records(done), group)
         self._report_failures(kept)
 

@@ -46,11 +46,15 @@ def cluster_by(df, columns):
     return df.repartitionByRange(*keys, F.xxhash64(*[named(c) for c in df.columns]))
 
 
-def append_hours(df, group, path):
-    """Append cast rows below ``year=/month=/day=/hour=``, with audit columns."""
+def append_hours(df, group, path, clustered=False):
+    """Append cast rows below ``year=/month=/day=/hour=``, with audit columns.
+
+    ``clustered=True`` says that each task's rows lie in few hours already, as when the
+    input is read from hourly files; then nothing is shuffled.
+    """
     rows = with_hour_columns(with_audit_columns(df), group)
     (
-        cluster_by(rows, HOUR_COLUMNS)
+        (rows if clustered else cluster_by(rows, HOUR_COLUMNS))
         .write.partitionBy(*HOUR_COLUMNS)
         .options(**WRITE_OPTIONS)
         .mode("append")
@@ -58,15 +62,16 @@ def append_hours(df, group, path):
     )
 
 
-def append_dates(df, group, path):
+def append_dates(df, group, path, clustered=False):
     """Append cast rows below ``<event time>_trunc=``, sorted by event time in each file.
 
     The sort starts with the partition column, so the writer needs no sort of its own.
+    ``clustered=True``, as above, is for input whose tasks hold few dates each.
     """
     date = date_column(group)
     rows = with_event_date(with_audit_columns(df), group)
     (
-        cluster_by(rows, [date])
+        (rows if clustered else cluster_by(rows, [date]))
         .sortWithinPartitions(named(date), named(group.event_time))
         .write.partitionBy(date)
         .options(**WRITE_OPTIONS)
@@ -86,11 +91,11 @@ def append_table(df, group):
     )
 
 
-def _append_dated(df, group, path):
+def _append_dated(df, group, path, clustered):
     if in_catalog(df.sparkSession, group):
         append_table(df, group)
     else:
-        append_dates(df, group, path)
+        append_dates(df, group, path, clustered)
 
 
 _WRITERS = {None: append_hours, HOUR_FORMAT: append_hours, TABLE_FORMAT: _append_dated}
@@ -106,7 +111,7 @@ def check_format(group):
         raise ValidationError(RESERVED_NAME.format(name=date_column(group)))
 
 
-def append_history(df, group, path):
+def append_history(df, group, path, clustered=False):
     """Append cast rows in the layout of the group's table format."""
     check_format(group)
-    _WRITERS[group.offline.table_format](df, group, path)
+    _WRITERS[group.offline.table_format](df, group, path, clustered)

@@ -32,12 +32,13 @@ def rows(start, n):
     ]
 
 
-def test_slices_equal_one_ingest(spark, tmp_path):
+@pytest.mark.parametrize("unit, n_slices", [("day", 3), ("hour", 15)])
+def test_slices_equal_one_ingest(spark, tmp_path, unit, n_slices):
     df = spark.createDataFrame([r for r in rows(0, 60) if r[2] != "bad"], RAW)
     whole = FeatureStore(spark, str(tmp_path / "whole"))
     whole.ingest(df, GROUP, ["OfflineStore"])
     sliced = FeatureStore(spark, str(tmp_path / "sliced"))
-    assert len(sliced.ingest_by_time(df, GROUP, "day", ["OfflineStore"])) == 3
+    assert len(sliced.ingest_by_time(df, GROUP, unit, ["OfflineStore"])) == n_slices
     a = whole.history(GROUP).drop(*AUDIT_COLUMNS)
     b = sliced.history(GROUP).drop(*AUDIT_COLUMNS)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
