@@ -1,5 +1,6 @@
 """One registered query per corpus operator, over its whole table."""
 
+from ledgerline.llm.decontaminate import contaminated
 from ledgerline.llm.near_dedup import near_duplicates
 from ledgerline.llm.quality import score_quality
 from ledgerline.llm.shared import table
@@ -9,12 +10,17 @@ def op2_quality_classifier(spark, sf_dir):
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_benchmark_decontamination(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 

@@ -88,3 +88,19 @@ def signed_bit_votes(keys, term, weight):
 def hex16(column):
     """A long as 16 lower-case hexadecimal digits."""
     return F.lpad(F.lower(F.hex(column)), 16, "0")
+
+
+def broadcast_if_small(df, rows):
+    """``df``, marked for broadcast if it has at most ``rows`` rows; counts it.
+
+    Beyond that bound Spark shuffles both sides of the join, whose result is the same.
+    """
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def word_shingles(words, width, item):
+    """Array of ``item(list of width word columns, first position)`` over all positions."""
+    starts = F.slice(words, 1, F.greatest(F.size(words) - (width - 1), F.lit(0)))
+    return F.transform(
+        starts, lambda w, i: item([w, *[F.get(words, i + k) for k in range(1, width)]], i)
+    )
