@@ -2,10 +2,15 @@
 
 from ledgerline.llm.decontaminate import contaminated
 from ledgerline.llm.near_dedup import near_duplicates
+from ledgerline.llm.pii import personal_data
 from ledgerline.llm.quality import score_quality
 from ledgerline.llm.shared import table
 
 
+def op1_personal_data(spark, sf_dir):
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark, sf_dir):
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -19,6 +24,7 @@ def op10_simhash_near_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_personal_data": op1_personal_data,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
