@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ledgerline.llm.components import connected_components
-from ledgerline.llm.shared import LOWER, SPACE, UPPER, hex16, written
+from ledgerline.llm.shared import LOWER, SPACE, UPPER, hex16, map_in_arrow, written
 
 SHINGLE = 3
 RADIUS = 2
@@ -61,9 +61,8 @@ def fingerprints(docs, shingle=SHINGLE):
                 [batch.column(0), pa.array(made, pa.int64())], ["doc_id", "fp"]
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        each, "doc_id long, fp long"
-    )
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return map_in_arrow(rows, each, "doc_id long, fp long")
 
 
 def _masks(radius):
@@ -155,12 +154,12 @@ def fingerprint_links(distinct, radius=RADIUS):
                     [pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"]
                 )
 
-    return (
+    lists = (
         postings.select("kind", "shared", "fp")
         .repartition(F.col("kind"), F.col("shared"))
         .sortWithinPartitions("kind", "shared")
-        .mapInArrow(links, "u long, v long")
     )
+    return map_in_arrow(lists, links, "u long, v long")
 
 
 def near_duplicates(docs, shingle=SHINGLE, radius=RADIUS):

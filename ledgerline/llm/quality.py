@@ -13,7 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ledgerline.llm.shared import written
+from ledgerline.llm.shared import map_in_arrow, map_in_pandas, written
 
 HELD_OUT_OF, HELD_OUT = 4, 2
 FOLDS = 4
@@ -113,9 +113,8 @@ def document_statistics(docs):
             stats = pa.array(made, pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), stats], ["doc_id", "stats"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        each, "doc_id long, stats array<double>"
-    )
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return map_in_arrow(rows, each, "doc_id long, stats array<double>")
 
 
 def is_held_out(doc_id):
@@ -164,7 +163,7 @@ def _normal_equations(train, model):
         return pd.DataFrame({"fold": frame["fold"][:1], "line": frame["line"][:1], "sums": [sums]})
 
     schema = "fold int, line int, sums array<double>"
-    summed = train.mapInPandas(part, schema).groupBy("fold", "line").applyInPandas(add, schema)
+    summed = map_in_pandas(train, part, schema).groupBy("fold", "line").applyInPandas(add, schema)
     total = np.zeros((FOLDS, size, size + 2))
     for row in summed.collect():  # FOLDS * size rows, whatever the input
         total[row["fold"], row["line"]] = row["sums"]
@@ -239,7 +238,7 @@ def fit(stats, labels, settings=None):
             yield pd.DataFrame({"bin": at, "label": frame["label"]})
 
     steps = (
-        train.mapInPandas(out_of_fold, "bin int, label double")
+        map_in_pandas(train, out_of_fold, "bin int, label double")
         .groupBy("bin")
         .agg(F.count("*").alias("n"), F.sum("label").alias("label"))
         .orderBy("bin")
@@ -268,8 +267,9 @@ def scored(stats, model):
                 ["doc_id", "held_out", "score", "predicted"],
             )
 
-    return stats.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "stats").mapInArrow(
-        each, "doc_id long, held_out boolean, score double, predicted int"
+    rows = stats.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "stats")
+    return map_in_arrow(
+        rows, each, "doc_id long, held_out boolean, score double, predicted int"
     )
 
 

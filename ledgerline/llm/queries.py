@@ -1,10 +1,15 @@
 """One registered query per corpus operator, over its whole table."""
 
+import public_tokenizers
+
 from ledgerline.llm.decontaminate import contaminated
 from ledgerline.llm.near_dedup import near_duplicates
 from ledgerline.llm.pii import personal_data
 from ledgerline.llm.quality import score_quality
 from ledgerline.llm.shared import table
+from ledgerline.llm.word_bpe import digest, encode_decode
+
+WORD_BPE = "word_bpe_49k.json"
 
 
 def op1_personal_data(spark, sf_dir):
@@ -19,6 +24,11 @@ def op3_benchmark_decontamination(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_word_bpe(spark, sf_dir):
+    path = public_tokenizers.path(WORD_BPE)
+    return digest(encode_decode(table(spark, sf_dir, "documents"), path))
+
+
 def op10_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -27,6 +37,7 @@ QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op9_word_bpe": op9_word_bpe,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 

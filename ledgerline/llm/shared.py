@@ -1,5 +1,7 @@
 """What the corpus operators share: inputs, written intermediate tables, native word terms."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from ledgerline.session import scratch_dir
@@ -31,6 +33,28 @@ def written(df, purpose):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def find_package_on_workers(spark):
+    """Python workers find this package where the driver does, if it lies there for them too.
+
+    Elsewhere it must be installed on the executors or shipped with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
+def map_in_arrow(df, each, schema):
+    find_package_on_workers(df.sparkSession)
+    return df.mapInArrow(each, schema)
+
+
+def map_in_pandas(df, each, schema):
+    find_package_on_workers(df.sparkSession)
+    return df.mapInPandas(each, schema)
+
+
 def ascii_lower(column):
     return F.translate(column, UPPER, LOWER)
 
