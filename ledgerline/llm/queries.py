@@ -3,6 +3,7 @@
 import public_tokenizers
 
 from ledgerline.llm.decontaminate import contaminated
+from ledgerline.llm.fingerprints import document_fingerprints
 from ledgerline.llm.near_dedup import near_duplicates
 from ledgerline.llm.pii import personal_data
 from ledgerline.llm.quality import score_quality
@@ -24,6 +25,10 @@ def op3_benchmark_decontamination(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_document_fingerprints(spark, sf_dir):
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_word_bpe(spark, sf_dir):
     path = public_tokenizers.path(WORD_BPE)
     return digest(encode_decode(table(spark, sf_dir, "documents"), path))
@@ -37,6 +42,7 @@ QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op9_word_bpe": op9_word_bpe,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }

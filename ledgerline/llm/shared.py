@@ -75,9 +75,11 @@ def plain_words(column):
     )
 
 
-def signed_bit_votes(keys, term, weight):
+def signed_bit_votes(keys, term, weight, carried=()):
     """Aggregates one row per ``keys``: the fingerprint of weighted 64-bit term hashes.
 
+    Columns ``carried`` have one value per key and come along.
+
     Every term votes with its weight for its set bits and against the others; a bit of
     the fingerprint is set if the votes for it are over half of all. ``df`` rows whose
     term is null (a text without terms) give zero. The counters of bits i and i + 32
@@ -91,7 +93,9 @@ def signed_bit_votes(keys, term, weight):
             for i in range(32)
         ]
         votes = df.groupBy(*keys).agg(
-            *spread, F.sum(F.when(term.isNotNull(), weight)).alias("_all")
+            *spread,
+            F.sum(F.when(term.isNotNull(), weight)).alias("_all"),
+            *[F.max(c).alias(c) for c in carried],
         )
         bits = F.lit(0).cast("long")
         for i in range(64):
@@ -104,7 +108,7 @@ def signed_bit_votes(keys, term, weight):
             bits = bits.bitwiseOR(
                 F.when(counted * 2 > F.col("_all"), F.lit(one)).otherwise(F.lit(0)).cast("long")
             )
-        return votes.select(*keys, bits.alias("fingerprint"))
+        return votes.select(*keys, *carried, bits.alias("fingerprint"))
 
     return fingerprint
 
