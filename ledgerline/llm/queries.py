@@ -8,8 +8,10 @@ from ledgerline.llm.near_dedup import near_duplicates
 from ledgerline.llm.pii import personal_data
 from ledgerline.llm.quality import score_quality
 from ledgerline.llm.shared import table
+from ledgerline.llm.token_files import token_index
 from ledgerline.llm.word_bpe import digest, encode_decode
 
+BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 
@@ -29,6 +31,10 @@ def op5_document_fingerprints(spark, sf_dir):
     return document_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark, sf_dir):
+    return token_index(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 def op9_word_bpe(spark, sf_dir):
     path = public_tokenizers.path(WORD_BPE)
     return digest(encode_decode(table(spark, sf_dir, "documents"), path))
@@ -43,6 +49,7 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_document_fingerprints": op5_document_fingerprints,
+    "op6_token_files": op6_token_files,
     "op9_word_bpe": op9_word_bpe,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
