@@ -9,6 +9,7 @@ from ledgerline.llm.pii import personal_data
 from ledgerline.llm.quality import score_quality
 from ledgerline.llm.shared import table
 from ledgerline.llm.token_files import token_index
+from ledgerline.llm.warc import archived_pages
 from ledgerline.llm.word_bpe import digest, encode_decode
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -35,6 +36,10 @@ def op6_token_files(spark, sf_dir):
     return token_index(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op7_warc(spark, sf_dir):
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_word_bpe(spark, sf_dir):
     path = public_tokenizers.path(WORD_BPE)
     return digest(encode_decode(table(spark, sf_dir, "documents"), path))
@@ -50,6 +55,7 @@ QUERIES = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_token_files": op6_token_files,
+    "op7_warc": op7_warc,
     "op9_word_bpe": op9_word_bpe,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
