@@ -4,6 +4,8 @@ import public_tokenizers
 
 from ledgerline.llm.decontaminate import contaminated
 from ledgerline.llm.fingerprints import document_fingerprints
+from ledgerline.llm.licenses import oracle as licenses_oracle
+from ledgerline.llm.licenses import scan_licenses
 from ledgerline.llm.near_dedup import near_duplicates
 from ledgerline.llm.pii import personal_data
 from ledgerline.llm.quality import score_quality
@@ -40,6 +42,10 @@ def op7_warc(spark, sf_dir):
     return archived_pages(table(spark, sf_dir, "pages"))
 
 
+def op8_license_scan(spark, sf_dir):
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_word_bpe(spark, sf_dir):
     path = public_tokenizers.path(WORD_BPE)
     return digest(encode_decode(table(spark, sf_dir, "documents"), path))
@@ -56,8 +62,9 @@ QUERIES = {
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_token_files": op6_token_files,
     "op7_warc": op7_warc,
+    "op8_license_scan": op8_license_scan,
     "op9_word_bpe": op9_word_bpe,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLES = {}
+ORACLES = {"op8_license_scan": licenses_oracle()}
