@@ -2,6 +2,7 @@
 
 import public_tokenizers
 
+from ledgerline.llm.class_lm import score_documents
 from ledgerline.llm.decontaminate import contaminated
 from ledgerline.llm.fingerprints import document_fingerprints
 from ledgerline.llm.licenses import oracle as licenses_oracle
@@ -30,6 +31,10 @@ def op3_benchmark_decontamination(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_class_lm(spark, sf_dir):
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_document_fingerprints(spark, sf_dir):
     return document_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_class_lm": op4_class_lm,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_token_files": op6_token_files,
     "op7_warc": op7_warc,
