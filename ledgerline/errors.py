@@ -40,6 +40,13 @@ INVALID_RESOURCE_ID = "Provided feature group arn is not valid."
 INVALID_FORMAT = "Table format '{format}' is not supported; use one of {valid}."
 DUPLICATE_COLUMN = "Cannot proceed. Column '{name}' occurs more than once in schema."
 NO_SUCH_GROUP = "Feature group '{group}' is not in the catalogue."
+NO_SUCH_CATALOGUE = (
+    "The history of '{group}' is a table of catalogue '{catalog}', which this session "
+    "does not configure."
+)
+BUCKETS_DIFFER = "The table at '{path}' has {stored} buckets, not {given}."
+TABLE_BUSY = "The table at '{path}' is busy: {what}."
+REPEATED_GROUP = "Group '{group}' is registered twice at once."
 AMBIGUOUS_GROUP = "Feature group '{group}' is in the catalogue more than once."
 
 
@@ -50,13 +57,13 @@ class FeatureStoreError(RuntimeError):
 class ValidationError(FeatureStoreError):
     """The input, the group or the request breaks a rule; nothing was written.
 
-    ``report`` holds the lowest twenty offending identifiers with their error
-    strings when rows were at fault, else it is empty.
+    When rows were at fault, ``report`` holds the lowest offending identifiers with their
+    error strings and ``total`` the number of all faulty rows; else they are empty and 0.
     """
 
-    def __init__(self, message, report=()):
+    def __init__(self, message, report=(), total=0):
         super().__init__(message)
-        self.report = list(report)
+        self.report, self.total = list(report), total
 
 
 class RecordIngestionError(FeatureStoreError):

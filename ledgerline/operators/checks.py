@@ -13,6 +13,7 @@ from ledgerline.functions.casts import (
 )
 from ledgerline.operators.names import ROW_ERRORS_COLUMN, check_names
 
+# Rows of a report; ``invalid_rows`` gives them all.
 REPORT_ROWS = 20
 
 
@@ -60,13 +61,13 @@ def invalid_rows(df, group, strict=False):
     )
 
 
-def invalid_row_report(df, group, strict=False):
-    """The twenty lowest identifiers among the invalid rows, with their errors."""
+def invalid_row_report(df, group, strict=False, rows=REPORT_ROWS):
+    """The lowest identifiers among the invalid rows, with their errors: ``rows`` of them."""
     return (
         row_validation_errors(df, group, strict)
         .filter(F.col(ROW_ERRORS_COLUMN) != "")
         .orderBy(named(group.record_identifier), ROW_ERRORS_COLUMN)
-        .limit(REPORT_ROWS)
+        .limit(rows)
     )
 
 
@@ -85,15 +86,15 @@ def cast_features(df, group, strict=False):
     )
 
 
-def check_rows(df, group, strict=False):
-    """Raise if any row is invalid.
+def check_rows(df, group, strict=False, rows=REPORT_ROWS):
+    """Raise if any row is invalid, with the first ``rows`` of them and their number.
 
-    One job that keeps at most twenty rows per partition; it reads only the columns
-    that are checked and moves nothing but those rows.
+    One job that keeps at most that many rows per partition; it reads only the columns
+    that are checked and moves nothing but those rows. A second counts what is refused.
     """
-    report = invalid_row_report(df, group, strict).collect()
+    report = invalid_row_report(df, group, strict, rows).collect()
     if report:
-        raise ValidationError(INVALID_VALUES, report)
+        raise ValidationError(INVALID_VALUES, report, invalid_rows(df, group, strict).count())
 
 
 def validated_cast(df, group, strict=False):

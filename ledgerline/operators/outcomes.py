@@ -9,12 +9,19 @@ from ledgerline.operators.names import ERROR_COLUMN
 _RECORD = "__record"
 
 
-def put_outcomes(df, put, open_client=None, precheck=None):
-    """Send every row through ``put(client, record)`` and add its error, null if none.
+def put_target(group=None, target_stores=None):
+    """What a put is for: the group's name, and the target stores, None if none were given."""
+    stores = None if target_stores is None else list(target_stores)
+    return {"group": group, "target_stores": stores}
+
+
+def put_outcomes(df, put, open_client=None, precheck=None, target=None):
+    """Send every row through ``put(client, record, target)`` and add its error, null if none.
 
     ``open_client()`` runs once per partition on the executor; a ``close()`` method of
     its result is called at the end. ``record`` is a list of
-    ``{"feature_name", "value_as_string"}`` without nulls. A row whose ``precheck``
+    ``{"feature_name", "value_as_string"}`` without nulls, ``target`` a dictionary as
+    :func:`put_target` makes it. A row whose ``precheck``
     column is not null is not put; that text becomes its error.
 
     Values become texts before they reach Python, and the input columns pass through as
@@ -30,6 +37,9 @@ def put_outcomes(df, put, open_client=None, precheck=None):
     fields = [T.StructField(str(i), f.dataType) for i, f in enumerate(df.schema.fields)]
     out_schema = T.StructType([*fields, T.StructField(sent.columns[-1], T.StringType())])
 
+    # A plain dictionary, since executors need not have this package.
+    goal = target or put_target()
+
     def run(batches):
         import pyarrow as pa
 
@@ -41,7 +51,7 @@ def put_outcomes(df, put, open_client=None, precheck=None):
                 for i, record in enumerate(records):
                     if errors[i] is None:
                         try:
-                            put(client, record)
+                            put(client, record, goal)
                         except Exception as error:
                             errors[i] = str(error) or type(error).__name__
                 names = batch.schema.names[:-2] + [batch.schema.names[-1]]

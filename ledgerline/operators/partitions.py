@@ -8,6 +8,20 @@ def parallelism(spark):
     return spark.sparkContext.defaultParallelism
 
 
+def spread_for_puts(df):
+    """``df`` in at least as many partitions as the cluster works on at once.
+
+    Only an input that is read in few partitions is spread; many are left as they are, so
+    a retried task repeats few puts. Behind a shuffle or a cached table nothing is
+    counted, since counting would run what is above it; AQE has sized those partitions.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "InMemoryTableScan" in plan:
+        return df
+    wanted = parallelism(df.sparkSession)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def bounded_repartition(df, num_partitions=None):
     """Bring the partitions to the parallelism, if too few or too many for it.
 

@@ -17,19 +17,28 @@ def _row_key(columns):
     }
 
 
+def _common_types(sent, stored, columns):
+    """Column types that hold the values of both sides, as a union would choose them."""
+    names = [named(c) for c in columns]
+    return sent.select(*names).unionByName(stored.select(*names)).schema
+
+
 def compare_by_identifier(sent, stored, identifier, exact=False):
     """Per identifier: rows sent, rows stored, and whether their contents differ.
 
     Both sides go through one union and one grouping instead of two anti-joins and a
     difference of sets. The first grouping counts equal rows, the second folds them per
     identifier; both combine on the map side, so a hot identifier spreads over its
-    distinct rows first and then costs one row per map task. Rows are grouped by a
-    128-bit key, or by all their columns with ``exact=True``.
+    distinct rows first and then costs one row per map task. Both sides are cast to their
+    common types first, so an int that was stored as a long is unchanged. Rows are grouped
+    by a 128-bit key, so it is hashes that are compared, or by all their columns with
+    ``exact=True``.
     """
     columns = sent.columns
+    common = _common_types(sent, stored, columns)
 
     def side(df, n_sent, n_stored):
-        rows = df.select(*[named(c) for c in columns])
+        rows = df.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in common.fields])
         if not exact:
             rows = rows.select(named(identifier), *[
                 c.alias(name) for name, c in _row_key(columns).items()

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from ledgerline.groups import HOUR_FORMAT, TABLE_FORMAT, FeatureGroup, OfflineStore
 from ledgerline.session import pin_utc
 
+# Prices above it are given as a word in ``raw_parts``.
+DEAR = 50000
 ISO_TIME = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 EVENTS = FeatureGroup(
@@ -117,11 +119,18 @@ def raw_events(spark, sf_dir):
     return as_raw_events(table(spark, sf_dir, "events"))
 
 
-def raw_event_stream(spark, sf_dir):
-    """The same as a stream. The glob lets one file and a folder of files both do."""
+def _stream_of_events(spark, sf_dir):
+    """The events table as a stream. The glob lets one file and a folder of files both do."""
     schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
-    return as_raw_events(stream)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
+
+
+def event_stream(spark, sf_dir):
+    return as_events(_stream_of_events(spark, sf_dir))
+
+
+def raw_event_stream(spark, sf_dir):
+    return as_raw_events(_stream_of_events(spark, sf_dir))
 
 
 def users(spark, sf_dir):
@@ -145,6 +154,17 @@ def orders(spark, sf_dir):
     )
 
 
+def narrow_orders(spark, sf_dir):
+    """Orders in types that widen when they are stored: int to long, float to double."""
+    return orders(spark, sf_dir).withColumns(
+        {
+            "o_orderkey": F.col("o_orderkey").cast("int"),
+            "o_custkey": F.col("o_custkey").cast("int"),
+            "o_totalprice": F.col("o_totalprice").cast("float"),
+        }
+    )
+
+
 def parts(spark, sf_dir):
     """Order lines keyed by part, with the shipping day in seconds since the epoch."""
     return table(spark, sf_dir, "lineitem").select(
@@ -158,16 +178,19 @@ def parts(spark, sf_dir):
 
 
 def raw_parts(spark, sf_dir):
-    """Order lines as texts; some quantities have no digits, some prices are NaN."""
+    """Order lines as texts; some quantities have no digits, some prices are NaN or a word."""
     key = F.col("line")
     return parts(spark, sf_dir).select(
         F.col("l_partkey").cast("string").alias("l_partkey"),
         F.col("event_time").cast("bigint").cast("string").alias("event_time"),
         key.cast("string").alias("line"),
         F.when(key % 37 == 0, "none")
-        .otherwise(F.col("l_quantity").cast("bigint").cast("string"))
+        .otherwise(F.col("l_quantity").cast("string"))
         .alias("l_quantity"),
-        F.when(key % 41 == 0, "NaN").otherwise(F.lit("1.5")).alias("l_extendedprice"),
+        F.when(key % 41 == 0, "NaN")
+        .when(F.col("l_extendedprice") > DEAR, "dear")
+        .otherwise(F.col("l_extendedprice").cast("string"))
+        .alias("l_extendedprice"),
         "l_returnflag",
     )
 

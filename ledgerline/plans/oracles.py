@@ -45,7 +45,7 @@ checked AS (
 
 _CAST_COLUMNS = """
     CAST(event_id AS BIGINT) AS event_id, event_time,
-    CAST(coalesce(trunc(CAST(user_id AS DOUBLE)), -1) AS BIGINT) AS user_id, event_type,
+    CAST(CAST(trunc(CAST(user_id AS DOUBLE)) AS BIGINT) AS VARCHAR) AS user_id, event_type,
     CAST(value AS DOUBLE) AS value, props"""
 
 _HOUR_COLUMNS = """
@@ -278,10 +278,11 @@ ORACLES = {
     "lineitem_row_errors": """
         SELECT concat_ws(',',
                    CASE WHEN line % 37 = 0 THEN 'l_quantity not valid' END,
-                   CASE WHEN line % 41 = 0 THEN 'l_extendedprice not valid' END
+                   CASE WHEN line % 41 = 0 OR l_extendedprice > 50000
+                        THEN 'l_extendedprice not valid' END
                ) AS "dataTypeValidationErrors",
                count(*) AS n_rows
-        FROM (SELECT l_orderkey * 100 + l_linenumber AS line FROM lineitem)
+        FROM (SELECT l_orderkey * 100 + l_linenumber AS line, l_extendedprice FROM lineitem)
         GROUP BY 1
     """,
     "lineitem_latest": f"WITH {_PARTS} SELECT * EXCLUDE (rn) FROM (" """
@@ -309,4 +310,15 @@ ORACLES = {
     "streaming_merge": f"""
         WITH {_RAW} SELECT {_CAST_COLUMNS} FROM checked WHERE "dataTypeValidationErrors" = ''
     """,
+    "streaming_merge_quarantine": f"""
+        WITH {_RAW} SELECT event_id, "dataTypeValidationErrors" AS error FROM checked
+    """,
+    "streaming_date_ingest": _BY_DATE,
+    "widened_reconciliation": """
+        SELECT count(*) AS n_sent, count(*) FILTER (WHERE o_orderkey % 50 <> 7) AS n_stored,
+               count(*) FILTER (WHERE o_orderkey % 50 = 7) AS n_missing,
+               CAST(0 AS BIGINT) AS n_extra, CAST(0 AS BIGINT) AS n_duplicate,
+               CAST(0 AS BIGINT) AS n_changed
+        FROM orders
+    """,
 }

@@ -36,15 +36,15 @@ def _store(spark, purpose, **options):
 
 
 def _shown(df):
-    """Absent user ids as -1: a nullable long turns to floats in some result readers."""
-    return df.withColumn("user_id", F.coalesce("user_id", F.lit(-1)))
+    """User ids as texts: a nullable long turns to floats in some result readers."""
+    return df.withColumn("user_id", F.col("user_id").cast("string"))
 
 
 def _fails_on_hundreds(group):
     """A put that refuses every identifier divisible by one hundred."""
     identifier = group.record_identifier
 
-    def put(_, record):
+    def put(_, record, target):
         for value in record:
             if value["feature_name"] == identifier and int(value["value_as_string"]) % 100 == 0:
                 raise ValueError("refused " + value["value_as_string"])
@@ -216,7 +216,8 @@ def online_merge(spark, sf_dir):
     """Two puts that overlap in users, then one row per user after a rewrite."""
     keyed = _store(spark, "online_merge").online(USERS)
     rows = inputs.users(spark, sf_dir)
-    for part in (rows.filter("event_type = 'click'"), rows.filter("event_type <> 'click'")):
+    clicks = F.col("event_type").eqNullSafe("click")
+    for part in (rows.filter(clicks), rows.filter(~clicks)):
         keyed.put(part, sequence="event_id")
     keyed.compact()
     return keyed.read()
@@ -288,15 +289,53 @@ def streaming_quarantine(spark, sf_dir):
     return spark.read.parquet(quarantine)
 
 
-def streaming_merge(spark, sf_dir):
-    """The raw event stream into a keyed table of events."""
-    base = scratch_dir(spark, "streaming_merge")
+def _merged(spark, sf_dir, purpose):
+    """The raw event stream into a keyed table of events, and its quarantine."""
+    base = scratch_dir(spark, purpose)
     keyed = KeyedTable(spark, f"{base}/table", EVENTS, LOOKUP_BUCKETS)
     stream = inputs.raw_event_stream(spark, sf_dir)
-    merge_stream(stream, keyed, f"{base}/checkpoint").awaitTermination()
+    for query in merge_stream(stream, keyed, f"{base}/quarantine", f"{base}/checkpoint"):
+        query.awaitTermination()
+    return keyed, f"{base}/quarantine"
+
+
+def streaming_merge(spark, sf_dir):
+    keyed, _ = _merged(spark, sf_dir, "streaming_merge")
     return _shown(keyed.read())
 
 
+def streaming_merge_quarantine(spark, sf_dir):
+    """Every event of the stream: stored, or kept with its error."""
+    keyed, quarantine = _merged(spark, sf_dir, "streaming_merge_quarantine")
+    stored = keyed.read().select(
+        F.col("event_id").cast("string").alias("event_id"), F.lit("").alias("error")
+    )
+    faulty = spark.read.parquet(quarantine).select(
+        "event_id", F.col("dataTypeValidationErrors").alias("error")
+    )
+    return stored.unionByName(faulty)
+
+
+def streaming_date_ingest(spark, sf_dir):
+    """Half of the events in a batch, half as a stream, into one history by date."""
+    store = _store(spark, "streaming_date_ingest")
+    even = F.col("event_id") % 2 == 0
+    store.ingest(inputs.events(spark, sf_dir).filter(even), EVENTS_BY_DATE)
+    stream = inputs.event_stream(spark, sf_dir).filter(~F.coalesce(even, F.lit(False)))
+    for query in store.ingest_stream(stream, EVENTS_BY_DATE):
+        query.awaitTermination()
+    return store.history(EVENTS_BY_DATE).drop(*AUDIT_COLUMNS)
+
+
+def widened_reconciliation(spark, sf_dir):
+    """Orders with int keys and float prices against the longs and doubles stored of them."""
+    store = _store(spark, "widened_reconciliation")
+    sent = inputs.narrow_orders(spark, sf_dir)
+    store.ingest(sent.filter("o_orderkey % 50 <> 7"), ORDERS)
+    stored = store.history(ORDERS).select(*[named(c) for c in sent.columns])
+    return reconcile(sent, stored, "o_orderkey")
+
+
 def csv_inferred_source(spark, sf_dir):
     path = scratch_dir(spark, "csv_inferred_source")
     inputs.table(spark, sf_dir, "customer").write.option("header", True).csv(path)
@@ -345,4 +384,7 @@ QUERIES = {
     "accepted_history": accepted_history,
     "online_merge": online_merge,
     "streaming_merge": streaming_merge,
+    "streaming_merge_quarantine": streaming_merge_quarantine,
+    "streaming_date_ingest": streaming_date_ingest,
+    "widened_reconciliation": widened_reconciliation,
 }

@@ -5,13 +5,13 @@ import uuid
 from contextlib import contextmanager
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.errors import (
     FAILED_RECORDS,
     OFFLINE_NOT_ENABLED,
+    REPEATED_GROUP,
     RecordIngestionError,
     ValidationError,
 )
@@ -29,22 +29,28 @@ from ledgerline.groups import (
 )
 from ledgerline.operators.checks import cast_features, check_rows, row_errors
 from ledgerline.operators.names import ERROR_COLUMN, check_names
-from ledgerline.operators.outcomes import failed_records, put_outcomes, stored_records
-from ledgerline.operators.partitions import bounded_repartition
+from ledgerline.operators.outcomes import (
+    failed_records,
+    put_outcomes,
+    put_target,
+    stored_records,
+)
+from ledgerline.operators.partitions import spread_for_puts
 from ledgerline.operators.slices import SLICE, with_time_slice
 from ledgerline.session import pin_utc, remove_scratch, scratch_dir
 from ledgerline.sinks.history import append_history, check_format, cluster_by
 from ledgerline.sinks.keyed import KeyedTable
-from ledgerline.sources.catalog import CATALOG_SCHEMA, catalog_frame, find_group
+from ledgerline.sources.catalog import (
+    CATALOG_SCHEMA,
+    catalog_frame,
+    current_groups,
+    find_group,
+)
 from ledgerline.sources.history import in_catalog, read_dates, read_hours, read_table
+from ledgerline.streaming.ingest import ingest_stream, merge_stream
 
-
-def _failures_seen(seen):
-    try:
-        return seen.get["failed"] > 0
-    except Py4JJavaError:
-        # The optimizer proved that no row is accepted and dropped the observation.
-        return True
+# How the writer names the directory of a null partition value.
+NO_SLICE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _with_castable_columns(df):
@@ -62,9 +68,10 @@ def _with_castable_columns(df):
 class FeatureStore:
     """Ingests DataFrames into feature groups kept below ``root``.
 
-    ``root`` is a folder all executors share. ``put(client, record)``, with
-    ``open_client()`` once per partition, plugs in an external online store; without
-    it online records go to a keyed Spark table.
+    ``root`` is a folder all executors share. ``put(client, record, target)``, with
+    ``open_client()`` once per partition, plugs in an external online store; ``target``
+    is a dictionary with the group's name and the target stores, see ``put_target``. Without it
+    online records go to a keyed Spark table, of ``buckets`` buckets where it is new.
     """
 
     def __init__(
@@ -74,7 +81,7 @@ class FeatureStore:
         put=None,
         open_client=None,
         id_format=ResourceIdFormat(),
-        buckets=64,
+        buckets=None,
     ):
         self.spark = pin_utc(spark)
         self.root = root.rstrip("/")
@@ -89,13 +96,18 @@ class FeatureStore:
         return f"{self.root}/catalog"
 
     def register(self, *groups):
-        """Add groups to the catalogue."""
-        catalog_frame(self.spark, groups).coalesce(1).write.mode("append").parquet(
-            self._catalog_path
-        )
+        """Add groups to the catalogue; a name that is there already is replaced."""
+        names = [g.name for g in groups]
+        for name in names:
+            if names.count(name) > 1:
+                raise ValidationError(REPEATED_GROUP.format(group=name))
+        frame = catalog_frame(self.spark, groups, time.time_ns())
+        frame.coalesce(1).write.mode("append").parquet(self._catalog_path)
 
     def catalog(self):
-        return self.spark.read.schema(CATALOG_SCHEMA).parquet(self._catalog_path)
+        """The groups as they were registered last."""
+        rows = self.spark.read.schema(CATALOG_SCHEMA).parquet(self._catalog_path)
+        return current_groups(rows)
 
     def group(self, group):
         """A group itself, or the one a name or resource identifier stands for."""
@@ -119,6 +131,8 @@ class FeatureStore:
         stage_input=False,
         rows_checked=False,
         clustered=False,
+        check_records=False,
+        sequence=None,
     ):
         """Check ``df`` against the group and write it to the target stores.
 
@@ -127,16 +141,24 @@ class FeatureStore:
         one by one: failed ones are kept for :meth:`failed_records` and reported by a
         :class:`RecordIngestionError` after all others are stored.
 
-        The input is evaluated more than once; ``stage_input=True`` writes it to the
+        Offline only, the input is evaluated twice; ``stage_input=True`` writes it to the
         shared checkpoint folder first, for inputs that are costly (joins, groupings) or
-        not repeatable. ``rows_checked=True`` says that ``check_rows`` has passed,
-        ``clustered=True`` that the tasks of the input hold few hours (or dates) each, so
-        that the history is written without a shuffle.
+        not repeatable. With the online store it is evaluated once and its outcomes are
+        written before anything else reads them. ``rows_checked=True`` says that
+        ``check_rows`` has passed, ``clustered=True`` that the tasks of the input hold few
+        hours (or dates) each, so that the history is written without a shuffle.
+        ``check_records=True`` has rows checked before an external put also where no
+        history is written. ``sequence`` decides between equal event times in the keyed
+        table; it is the time of the ingest unless given, as it should be for a replay.
         """
         group, stores = self._admit(df, group, target_stores)
-        with self._staged_if(stage_input, df) as rows:
+        with self._staged_if(stage_input and ONLINE_STORE not in stores, df) as rows:
             if ONLINE_STORE in stores:
-                self._ingest_records(rows, group, OFFLINE_STORE in stores, strict, clustered)
+                with self._failures_in(group) as kept:
+                    self._ingest_records(
+                        rows, group, stores, target_stores, strict, clustered, check_records,
+                        sequence, kept,
+                    )
             else:
                 self._ingest_history(rows, group, strict, rows_checked, clustered)
 
@@ -153,32 +175,37 @@ class FeatureStore:
         if offline_only:
             check_rows(df, group, strict)
         sliced = with_time_slice(_with_castable_columns(df), group, unit)
-        path = scratch_dir(self.spark, "slices")
-        cluster_by(sliced, [SLICE]).write.partitionBy(SLICE).parquet(path)
-        staged = self.spark.read.schema(sliced.schema).parquet(path)
-        # One short text per unit of time, taken from directory names.
-        slices = [row[0] for row in staged.select(SLICE).distinct().orderBy(SLICE).collect()]
         by_date = group.offline_enabled and group.offline.table_format == TABLE_FORMAT
-        narrow = ("hour", "day") if by_date else ("hour",)
-        failures = []
-        for value in slices:
-            rows = staged.filter(F.col(SLICE).eqNullSafe(value)).drop(SLICE)
-            try:
-                self.ingest(
-                    rows,
-                    group,
-                    stores or None,
-                    strict,
-                    rows_checked=offline_only,
-                    clustered=unit in narrow,
-                )
-            except RecordIngestionError:
-                failures.append(self._failures)
-        remove_scratch(self.spark, path)
-        if failures:
-            self._report_failures(reduce(DataFrame.unionByName, failures))
+        clustered = unit in (("hour", "day") if by_date else ("hour",))
+        path = scratch_dir(self.spark, "slices")
+        try:
+            cluster_by(sliced, [SLICE]).write.partitionBy(SLICE).parquet(path)
+            staged = self.spark.read.schema(sliced.schema).parquet(path)
+            slices = self._slice_names(path)
+            if offline_only:
+                for value in slices:
+                    rows = staged.filter(F.col(SLICE).eqNullSafe(value)).drop(SLICE)
+                    self._ingest_history(rows, group, strict, True, clustered)
+                return slices
+            # One folder takes the failures of all slices.
+            with self._failures_in(group) as kept:
+                for value in slices:
+                    rows = staged.filter(F.col(SLICE).eqNullSafe(value)).drop(SLICE)
+                    self._ingest_records(
+                        rows, group, stores, target_stores, strict, clustered, False, None, kept
+                    )
+        finally:
+            remove_scratch(self.spark, path)
         return slices
 
+    def _slice_names(self, path):
+        """Slices in ascending order, the one without a time first: names of directories."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [status.getPath().getName() for status in system.listStatus(folder)]
+        values = [n.removeprefix(f"{SLICE}=") for n in names if n.startswith(f"{SLICE}=")]
+        return [None] * (NO_SLICE in values) + sorted(v for v in values if v != NO_SLICE)
+
     def _admit(self, df, group, target_stores):
         """The group and its target stores, after all checks that need no rows."""
         group = self.group(group)
@@ -187,6 +214,10 @@ class FeatureStore:
         if stores is None:
             stores = group.enabled_stores
         self._failures = None
+        if OFFLINE_STORE in stores or not stores:
+            if not group.offline_enabled:
+                raise ValidationError(OFFLINE_NOT_ENABLED.format(group=group.name))
+            check_format(self.spark, group)
         check_names(df.columns, group)
         return group, stores
 
@@ -211,65 +242,54 @@ class FeatureStore:
     def _ingest_history(self, df, group, strict, rows_checked, clustered):
         if not rows_checked:
             check_rows(df, group, strict)
-        if not group.offline_enabled:
-            raise ValidationError(OFFLINE_NOT_ENABLED.format(group=group.name))
         self._append(df, group, strict, clustered)
 
-    def _ingest_records(self, df, group, with_history, strict, clustered):
-        if with_history:
-            check_format(group)
-        if self._put is None:
-            self._put_keyed(df, group, with_history, strict, clustered)
-        else:
-            self._put_external(df, group, with_history, strict, clustered)
-
-    def _put_keyed(self, df, group, with_history, strict, clustered):
-        """Rows with faults fail, the others go to the keyed table and the history.
+    def _ingest_records(
+        self, df, group, stores, asked, strict, clustered, check_records, sequence, kept
+    ):
+        """Put the rows, append those accepted to the history, add the others to ``kept``.
 
-        Faults are counted while the keyed table is written; the pass that keeps the
-        failed rows runs only if there are any.
+        Outcomes are written once before they are read, so that no row is put or checked
+        twice, nor judged differently by two stores where the input is not repeatable.
         """
-        df = _with_castable_columns(df)
-        outcomes = df.withColumn(
-            ERROR_COLUMN, F.nullif(row_errors(df, group, strict), F.lit(""))
-        )
-        seen = Observation()
-        accepted = stored_records(
-            outcomes.observe(seen, F.count_if(F.col(ERROR_COLUMN).isNotNull()).alias("failed"))
-        )
-        self.online(group).put(cast_features(accepted, group, strict), time.time_ns())
-        if with_history:
-            self._append(stored_records(outcomes), group, strict, clustered)
-        if _failures_seen(seen):
-            self._report_failures(self._write_failures(failed_records(outcomes), group))
+        with_history = OFFLINE_STORE in stores
+        if self._put is None:
+            rows = _with_castable_columns(df)
+            errors = F.nullif(row_errors(rows, group, strict), F.lit(""))
+            outcomes = rows.withColumn(ERROR_COLUMN, errors)
         else:
-            self._failures = self.spark.createDataFrame([], outcomes.schema)
-
-    def _put_external(self, df, group, with_history, strict, clustered):
-        """One put per row; outcomes are written once, so that nothing is put again."""
-        spread = bounded_repartition(_with_castable_columns(df) if with_history else df)
-        # The external store judges values, unless the history needs them castable.
-        precheck = (
-            F.nullif(row_errors(spread, group, strict), F.lit("")) if with_history else None
-        )
-        outcomes = put_outcomes(spread, self._put, self._open_client, precheck)
-        with self._staged_if(with_history, outcomes) as done:
+            rows = spread_for_puts(_with_castable_columns(df) if with_history else df)
+            # The external store judges values, unless the history needs them castable.
+            precheck = None
+            if with_history or check_records:
+                checked = rows if with_history else _with_castable_columns(rows)
+                precheck = F.nullif(row_errors(checked, group, strict), F.lit(""))
+            target = put_target(group.name, asked)
+            outcomes = put_outcomes(rows, self._put, self._open_client, precheck, target)
+        with self._staged_if(True, outcomes) as done:
+            if self._put is None:
+                accepted = cast_features(stored_records(done), group, strict)
+                self.online(group).put(accepted, sequence or time.time_ns())
             if with_history:
                 self._append(stored_records(done), group, strict, clustered)
-            kept = self._write_failures(failed_records(done), group)
-        self._report_failures(kept)
+            failed_records(done).write.mode("append").parquet(kept)
 
-    def _write_failures(self, failures, group):
+    @contextmanager
+    def _failures_in(self, group):
+        """A folder for failed rows; in the end they are counted, and reported if any."""
         path = f"{self.root}/failures/{group.name}/{uuid.uuid4().hex}"
-        failures.write.parquet(path)
-        return self.spark.read.schema(failures.schema).parquet(path)
-
-    def _report_failures(self, failures):
-        self._failures = failures
-        count = failures.count()
+        yield path
+        if not self._is_folder(path):
+            return
+        self._failures = self.spark.read.parquet(path)
+        count = self._failures.count()
         if count:
             raise RecordIngestionError(FAILED_RECORDS.format(count=count))
 
+    def _is_folder(self, path):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+
     def failed_records(self):
         """Rows the last online ingest could not store, with their error.
 
@@ -282,15 +302,72 @@ class FeatureStore:
     def history_path(self, group):
         return group.offline.path or f"{self.root}/offline/{group.name}"
 
+    def _streamed_root(self, group):
+        return f"{self.root}/streamed/{group.name}"
+
     def history(self, group):
+        """The history of a group: what batches and what streams have written."""
         group = self.group(group)
         if in_catalog(self.spark, group):
             return read_table(self.spark, group)
         read = read_dates if group.offline.table_format == TABLE_FORMAT else read_hours
-        return read(self.spark, group, self.history_path(group))
+        paths = [p for p in (self.history_path(group), *self._streams(group)) if self._is_folder(p)]
+        parts = [read(self.spark, group, p) for p in paths or [self.history_path(group)]]
+        return reduce(DataFrame.unionByName, parts)
+
+    def _streams(self, group):
+        """The folders of the group's streams: one for each name it was streamed under."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self._streamed_root(group))
+        system = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = system.listStatus(root) if system.exists(root) else []
+        return sorted(f"{self._streamed_root(group)}/{s.getPath().getName()}" for s in found)
 
     def online(self, group):
         group = self.group(group)
         return KeyedTable(
             self.spark, f"{self.root}/online/{group.name}", group, self._buckets
         )
+
+    # Streams ----------------------------------------------------------------
+
+    def ingest_stream(
+        self, stream, group, name="stream", target_stores=None, trigger=None, strict=False
+    ):
+        """Stream into a group's stores; the queries started, the last the quarantine's.
+
+        The history gets the group's layout, in a folder of its own per ``name`` that
+        :meth:`history` reads with the others; the keyed table gets a put per micro-batch.
+        Faulty rows are kept with their error, see :meth:`quarantined`. ``name`` stands
+        for one stream with its checkpoints: started again, it goes on where it was.
+        """
+        group, stores = self._admit(stream, group, target_stores)
+        base = f"{self.root}/streams/{group.name}/{name}"
+        queries = []
+        if ONLINE_STORE in stores:
+            if self._put is not None:
+                raise ValidationError("A stream is put into the keyed table only.")
+            merge, faulty = merge_stream(
+                stream, self.online(group), f"{base}/quarantine", f"{base}/online", trigger, strict
+            )
+            queries.append(merge)
+        if OFFLINE_STORE in stores:
+            if in_catalog(self.spark, group):
+                raise ValidationError("A stream is not written to a table of a catalogue.")
+            # With both stores the quarantine of the merge holds the faulty rows already.
+            history, *more = ingest_stream(
+                stream,
+                group,
+                f"{self._streamed_root(group)}/{name}",
+                None if queries else f"{base}/quarantine",
+                f"{base}/offline",
+                trigger,
+                strict,
+            )
+            queries.append(history)
+            faulty = more[0] if more else faulty
+        return (*queries, faulty)
+
+    def quarantined(self, group, name="stream"):
+        """The faulty rows of a stream, with their errors."""
+        group = self.group(group)
+        return self.spark.read.parquet(f"{self.root}/streams/{group.name}/{name}/quarantine")

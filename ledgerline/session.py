@@ -18,7 +18,7 @@ def pin_utc(spark):
 def scratch_dir(spark, purpose):
     """A new folder path under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting: a folder of this machine
+    What its user does not remove goes when the session's JVM ends in good order. Only a local session may go without that setting: a folder of this machine
     would be out of reach of the executors of a cluster.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
@@ -26,7 +26,15 @@ def scratch_dir(spark, purpose):
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"Set {CHECKPOINT_DIR} to a folder all executors share.")
         base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/{SCRATCH}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{SCRATCH}/{purpose}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(folder.getParent())
+    # Only paths that exist can be marked, and writers want theirs not to exist.
+    system.mkdirs(folder)
+    system.deleteOnExit(folder)
+    system.delete(folder, True)
+    return path
 
 
 def remove_scratch(spark, path):

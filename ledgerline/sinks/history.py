@@ -101,17 +101,18 @@ def _append_dated(df, group, path, clustered):
 _WRITERS = {None: append_hours, HOUR_FORMAT: append_hours, TABLE_FORMAT: _append_dated}
 
 
-def check_format(group):
-    """Raise if the history of the group could not be written."""
+def check_format(spark, group):
+    """Raise if the history of the group could not be written in this session."""
     if group.offline.table_format not in _WRITERS:
         valid = ", ".join(f for f in _WRITERS if f)
         raise ValueError(INVALID_FORMAT.format(format=group.offline.table_format, valid=valid))
     dated = group.offline.table_format == TABLE_FORMAT
     if dated and date_column(group) in group.feature_types:
         raise ValidationError(RESERVED_NAME.format(name=date_column(group)))
+    in_catalog(spark, group)
 
 
 def append_history(df, group, path, clustered=False):
     """Append cast rows in the layout of the group's table format."""
-    check_format(group)
+    check_format(df.sparkSession, group)
     _WRITERS[group.offline.table_format](df, group, path, clustered)

@@ -1,8 +1,12 @@
 """The keyed table: the online store when no external one is plugged in."""
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.errors import BUCKETS_DIFFER, TABLE_BUSY, FeatureStoreError
 from ledgerline.functions import named
 from ledgerline.operators.latest import latest_per_record
 from ledgerline.sinks.history import cluster_by
@@ -10,38 +14,115 @@ from ledgerline.sinks.history import cluster_by
 # Stored beside the features, so they must not be names of features.
 BUCKET = "ledgerline_bucket"
 SEQUENCE = "ledgerline_sequence"
-VERSION_SCHEMA = "version bigint"
+VERSION_SCHEMA = "version bigint, buckets bigint"
+BUCKETS = 64
 
 
 class KeyedTable:
     """Puts are appended, reads return the latest record per identifier.
 
     A put costs as much as its batch, however large the table is, and replaying one
-    changes nothing: the same record wins again. Identifiers are spread over
-    ``ledgerline_bucket=`` directories by hash; a lookup of given identifiers opens only theirs.
+    with its sequence changes nothing: the same record wins again. Identifiers are spread
+    over ``ledgerline_bucket=`` directories by hash, sorted within their files; a lookup of
+    given identifiers opens only their directories and skips row groups without them.
+
+    The number of buckets is kept with the table. ``buckets`` says how many a new table
+    gets (64 unless given) and must agree with a table that is there.
+
     :meth:`compact` rewrites the table to one row per identifier in a new version
-    folder and then points to it; it must not run beside a put.
+    folder, points to it and removes older ones. It refuses to run while a put does, and
+    puts refuse while it runs; :meth:`unlock` clears marks that a killed driver has left.
     """
 
-    def __init__(self, spark, path, group, buckets=64):
-        self.spark, self.group, self.buckets = spark, group, buckets
-        self.path = path.rstrip("/")
+    def __init__(self, spark, path, group, buckets=None):
+        self.spark, self.group = spark, group
+        self.path, self._asked = path.rstrip("/"), buckets
+        self._buckets = None
+
+    # State beside the rows ----------------------------------------------------
 
     @property
     def _pointer(self):
         return f"{self.path}/versions"
 
+    def _files(self, *parts):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _exists(self, *parts):
+        system, path = self._files(*parts)
+        return system.exists(path)
+
+    def _versions(self):
+        return self.spark.read.schema(VERSION_SCHEMA).parquet(self._pointer)
+
     def version(self):
         """Number of the current version folder."""
-        versions = self.spark.read.schema(VERSION_SCHEMA).parquet(self._pointer)
-        return versions.agg(F.max("version")).first()[0]
+        return self._versions().agg(F.max("version")).first()[0]
+
+    @property
+    def buckets(self):
+        """Number of buckets, as kept with the table; raises if another one was asked for."""
+        if self._buckets is None:
+            if self._exists("versions"):
+                kept = self._versions().agg(F.max("buckets")).first()[0]
+                if self._asked is not None and self._asked != kept:
+                    raise FeatureStoreError(
+                        BUCKETS_DIFFER.format(path=self.path, stored=kept, given=self._asked)
+                    )
+                self._buckets = kept
+            else:
+                return BUCKETS if self._asked is None else self._asked
+        return self._buckets
 
     def _point_to(self, version, mode):
-        row = self.spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
+        row = self.spark.range(1).select(
+            F.lit(version).cast("bigint").alias("version"),
+            F.lit(self.buckets).cast("bigint").alias("buckets"),
+        )
         row.write.mode(mode).parquet(self._pointer)
 
     def _folder(self, version):
-        return f"{self.path}/v={version}-of-{self.buckets}"
+        return f"{self.path}/v={version}"
+
+    # One writer of the other kind at a time -------------------------------------
+
+    def _busy(self, what):
+        return FeatureStoreError(TABLE_BUSY.format(path=self.path, what=what))
+
+    @contextmanager
+    def _putting(self):
+        """A mark while a put runs. It is made before the look for a compaction, which
+        looks for marks after making its own: one of the two sees the other."""
+        system, mark = self._files("_puts", uuid.uuid4().hex)
+        system.createNewFile(mark)
+        try:
+            if self._exists("_compacting"):
+                raise self._busy("it is being compacted")
+            yield
+        finally:
+            system.delete(mark, False)
+
+    @contextmanager
+    def _compacting(self):
+        system, mark = self._files("_compacting")
+        if not system.createNewFile(mark):
+            raise self._busy("it is being compacted")
+        try:
+            _, puts = self._files("_puts")
+            if system.exists(puts) and system.listStatus(puts):
+                raise self._busy("puts are under way")
+            yield
+        finally:
+            system.delete(mark, False)
+
+    def unlock(self):
+        """Clear the marks of puts and compactions that ended without doing so."""
+        for name in ("_puts", "_compacting"):
+            system, path = self._files(name)
+            system.delete(path, True)
+
+    # Writing --------------------------------------------------------------------
 
     def _schema(self):
         return T.StructType(
@@ -53,8 +134,12 @@ class KeyedTable:
         return F.pmod(F.xxhash64(identifier), F.lit(self.buckets))
 
     def _write(self, rows, folder, mode):
-        bucketed = rows.withColumn(BUCKET, self._bucket(named(self.group.record_identifier)))
-        cluster_by(bucketed, [BUCKET]).write.partitionBy(BUCKET).mode(mode).parquet(folder)
+        identifier = named(self.group.record_identifier)
+        bucketed = rows.withColumn(BUCKET, self._bucket(identifier))
+        # The writer sorts by bucket anyway; with the identifier, row groups can be skipped.
+        cluster_by(bucketed, [BUCKET]).sortWithinPartitions(F.col(BUCKET), identifier).write.partitionBy(
+            BUCKET
+        ).mode(mode).parquet(folder)
 
     def put(self, df, sequence=0):
         """Append cast rows; ``sequence`` decides between equal event times.
@@ -66,10 +151,16 @@ class KeyedTable:
         rows = df.withColumn(SEQUENCE, order.cast("bigint"))
         absent = [f for f in self.group.schema().fields if f.name not in df.columns]
         rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
-        self._point_to(0, "ignore")
-        self._write(
-            latest_per_record(rows, self.group, SEQUENCE), self._folder(self.version()), "append"
-        )
+        with self._putting():
+            if not self._exists("versions"):
+                self._point_to(0, "ignore")
+            self._write(
+                latest_per_record(rows, self.group, SEQUENCE),
+                self._folder(self.version()),
+                "append",
+            )
+
+    # Reading --------------------------------------------------------------------
 
     def _log(self):
         return self.spark.read.schema(self._schema()).parquet(self._folder(self.version()))
@@ -91,18 +182,27 @@ class KeyedTable:
     def lookup(self, ids):
         """The latest records whose identifier is in the one column of ``ids``.
 
-        The semi-join comes first, so only wanted rows are grouped. The log has one row
-        per identifier and put, so no key is hot in it; without a broadcast the grouping
-        reuses the partitioning of the join.
+        Identifiers are made distinct first, which combines on the map side, so one that
+        is wanted often is one row in the join. The semi-join comes next, so only wanted
+        rows are grouped. The log has one row per identifier and put, so no key is hot in
+        it; without a broadcast the grouping reuses the partitioning of the join.
         """
         identifier = self.group.record_identifier
-        wanted = ids.select(named(ids.columns[0]).alias(identifier))
+        wanted = ids.select(named(ids.columns[0]).alias(identifier)).distinct()
         rows = self._log().drop(BUCKET).join(wanted, identifier, "left_semi")
         return latest_per_record(rows, self.group, SEQUENCE).drop(SEQUENCE)
 
-    def compact(self):
-        """Rewrite to one row per identifier, then switch to the new folder."""
-        current = self.version()
-        rows = latest_per_record(self._log().drop(BUCKET), self.group, SEQUENCE)
-        self._write(rows, self._folder(current + 1), "overwrite")
-        self._point_to(current + 1, "append")
+    def compact(self, keep=1):
+        """Rewrite to one row per identifier, switch to the new folder, drop old ones.
+
+        ``keep`` folders before the new one stay, for reads that are still under way.
+        """
+        with self._compacting():
+            current = self.version()
+            rows = latest_per_record(self._log().drop(BUCKET), self.group, SEQUENCE)
+            self._write(rows, self._folder(current + 1), "overwrite")
+            self._point_to(current + 1, "append")
+            for version in range(current + 1 - keep):
+                if self._exists(f"v={version}"):
+                    system, path = self._files(f"v={version}")
+                    system.delete(path, True)

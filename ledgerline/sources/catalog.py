@@ -21,12 +21,13 @@ CATALOG_SCHEMA = """
     features array<struct<name: string, type: string>>,
     online struct<enabled: boolean>,
     offline struct<table_format: string, path: string,
-                   catalog: string, database: string, table: string>
+                   catalog: string, database: string, table: string>,
+    registered bigint
 """
 
 
-def catalog_frame(spark, groups):
-    """The catalogue rows of some groups."""
+def catalog_frame(spark, groups, registered=None):
+    """The catalogue rows of some groups; of equal names the last registered counts."""
     rows = [
         (
             g.name,
@@ -43,12 +44,24 @@ def catalog_frame(spark, groups):
                 g.offline.database,
                 g.offline.table,
             ),
+            registered,
         )
         for g in groups
     ]
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 
+def current_groups(catalog):
+    """One row per group: the one registered last.
+
+    A filter on the name reaches the scan, as rows are grouped by it.
+    """
+    row = F.struct("registered", *[c for c in catalog.columns if c != "registered"])
+    return catalog.groupBy("name").agg(F.max_by(row, "registered").alias("row")).select(
+        *[F.col("row").getField(c).alias(c) for c in catalog.columns]
+    )
+
+
 def find_group(catalog, name):
     """The group of this name; the filter reaches the scan and two rows suffice."""
     rows = catalog.filter(F.col("name") == name).limit(2).collect()

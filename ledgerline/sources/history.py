@@ -7,6 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.errors import NO_SUCH_CATALOGUE, ValidationError
 from ledgerline.functions import named
 from ledgerline.functions.history import (
     API_INVOCATION_TIME,
@@ -38,10 +39,17 @@ def table_name(store):
 
 
 def in_catalog(spark, group):
-    """Whether the group's history is a table of a v2 catalogue of this session."""
+    """Whether the group's history is a table of a v2 catalogue.
+
+    A group that names one is never kept anywhere else: it raises where the session does
+    not configure that catalogue.
+    """
     name = group.offline.catalog
-    configured = name and spark.conf.get(f"spark.sql.catalog.{name.lower()}", None)
-    return group.offline.table_format == TABLE_FORMAT and bool(configured)
+    if group.offline.table_format != TABLE_FORMAT or not name:
+        return False
+    if not spark.conf.get(f"spark.sql.catalog.{name.lower()}", None):
+        raise ValidationError(NO_SUCH_CATALOGUE.format(group=group.name, catalog=name))
+    return True
 
 
 def read_table(spark, group):

@@ -74,11 +74,11 @@ def test_scratch_folders_are_removed(spark, monkeypatch, tmp_path):
         return made[-1]
 
     monkeypatch.setattr("ledgerline.plans.store.scratch_dir", scratch_dir)
-    store = FeatureStore(spark, str(tmp_path / "store"), put=lambda _, record: None)
+    store = FeatureStore(spark, str(tmp_path / "store"), put=lambda _, record, target: None)
     df = spark.createDataFrame([r for r in rows(0, 20) if r[2] != "bad"], RAW)
     store.ingest(df, GROUP, stage_input=True)
     store.ingest_by_time(df, GROUP, target_stores=["OfflineStore"])
-    assert len(made) == 3 and list(shared.iterdir()) == []
+    assert len(made) == 2 and list(shared.iterdir()) == []
     assert store.history(GROUP).count() == 2 * df.count()
     with pytest.raises(ValueError):
         remove_scratch(spark, str(tmp_path))
@@ -158,7 +158,10 @@ def test_stream_merges_into_the_keyed_table(spark, tmp_path):
     for batch in updates:
         spark.createDataFrame(batch, RAW).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(RAW).parquet(source)
-        merge_stream(stream, table, str(tmp_path / "c")).awaitTermination()
+        for query in merge_stream(stream, table, str(tmp_path / "q"), str(tmp_path / "c")):
+            query.awaitTermination()
+    faulty = [tuple(r) for r in spark.read.parquet(str(tmp_path / "q")).collect()]
+    assert faulty == [("3", "never", "2", "at not valid")]
     assert {(r["id"], r["v"]) for r in table.read().collect()} == {(1, 2.0), (2, 1.0)}
 
 

@@ -39,7 +39,7 @@ def test_awkward_names(spark, tmp_path):
 
 
 def test_put_with_awkward_names(spark, tmp_path):
-    def put(_, record):
+    def put(_, record, target):
         if {"feature_name": "the.id", "value_as_string": "7"} in record:
             raise ValueError("seven")
 
