@@ -1,33 +1,33 @@
 from ledgerline import FeatureGroup, OfflineStore
 
-# Mixed types, numeric event time.
-MIXED = FeatureGroup(
-    name="mixed",
-    record_identifier="record-identifier",
-    event_time="event-time",
+# One feature of each type besides the keys; the event time is a number of seconds.
+READINGS = FeatureGroup(
+    name="readings",
+    record_identifier="station",
+    event_time="measured-at",
     features=(
-        ("record-identifier", "String"),
-        ("event-time", "Fractional"),
-        ("feature-string", "String"),
-        ("feature-integral", "Integral"),
-        ("feature-fractional", "Fractional"),
+        ("station", "String"),
+        ("measured-at", "Fractional"),
+        ("sky", "String"),
+        ("gusts", "Integral"),
+        ("rain mm", "Fractional"),
     ),
     online=True,
     offline=OfflineStore("Hive"),
 )
 
 
-def minimal(online=True, table_format="Hive", offline=True, **store):
-    """A group of two text features."""
+def visits(online=True, table_format="Hive", offline=True, **store):
+    """A group of just its two keys, both texts."""
     return FeatureGroup(
-        name="minimal",
-        record_identifier="record-identifier",
-        event_time="event-time",
-        features=(("record-identifier", "String"), ("event-time", "String")),
+        name="visits",
+        record_identifier="visitor",
+        event_time="seen-at",
+        features=(("visitor", "String"), ("seen-at", "String")),
         online=online,
         offline=OfflineStore(table_format, **store) if offline else None,
     )
 
 
-ONE_RECORD = [("identifier-1", "2021-05-06T05:12:14Z")]
-MINIMAL_SCHEMA = "`record-identifier` string, `event-time` string"
+ONE_VISIT = [("guest 7", "2023-11-02T17:40:09Z")]
+VISIT_SCHEMA = "visitor string, `seen-at` string"

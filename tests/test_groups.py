@@ -9,12 +9,12 @@ from ledgerline.sources.catalog import (
     usable_groups,
     with_group_flags,
 )
-from groups_for_tests import MIXED, minimal
+from groups_for_tests import READINGS, visits
 
 
 def test_definitions_follow_the_schema(spark):
     schema = (
-        "a string, b double, c float, d tinyint, e smallint, f int, `feature-long` bigint"
+        "a string, b double, c float, d tinyint, e smallint, f int, `a count` bigint"
     )
     assert feature_definitions(spark.createDataFrame([], schema)) == [
         {"FeatureName": "a", "FeatureType": "String"},
@@ -23,7 +23,7 @@ def test_definitions_follow_the_schema(spark):
         {"FeatureName": "d", "FeatureType": "Integral"},
         {"FeatureName": "e", "FeatureType": "Integral"},
         {"FeatureName": "f", "FeatureType": "Integral"},
-        {"FeatureName": "feature-long", "FeatureType": "Integral"},
+        {"FeatureName": "a count", "FeatureType": "Integral"},
     ]
 
 
@@ -59,23 +59,23 @@ def test_definition_report_counts_values(spark):
     "stores", [None, ["OnlineStore"], ["OfflineStore"], ["OfflineStore", "OnlineStore"]]
 )
 def test_enabled_stores_may_be_requested(stores):
-    assert check_target_stores(minimal(), stores) == stores
+    assert check_target_stores(visits(), stores) == stores
 
 
 @pytest.mark.parametrize(
     "group, stores, message",
     [
-        (minimal(), ["invalid"], "Found unknown target store, the valid values are "
+        (visits(), ["invalid"], "Found unknown target store, the valid values are "
                                  "[OnlineStore, OfflineStore]."),
-        (minimal(), [None], "Found unknown target store"),
-        (minimal(), ["OnlineStore", "OnlineStore", "x"], "Found unknown target store"),
-        (minimal(), ["OnlineStore", "OnlineStore"], "Found duplicate target store"),
-        (minimal(), [], "Target stores cannot be empty"),
-        (minimal(online=None), ["OnlineStore"], "[OnlineStore] of FeatureGroup: 'minimal' "
+        (visits(), [None], "Found unknown target store"),
+        (visits(), ["OnlineStore", "OnlineStore", "x"], "Found unknown target store"),
+        (visits(), ["OnlineStore", "OnlineStore"], "Found duplicate target store"),
+        (visits(), [], "Target stores cannot be empty"),
+        (visits(online=None), ["OnlineStore"], "[OnlineStore] of FeatureGroup: 'visits' "
          "are not enabled, however they are specified in target store."),
-        (minimal(online=False), ["OnlineStore"], "[OnlineStore] of FeatureGroup"),
-        (minimal(offline=False), ["OfflineStore"], "[OfflineStore] of FeatureGroup"),
-        (minimal(online=None, offline=False), ["OfflineStore", "OnlineStore"],
+        (visits(online=False), ["OnlineStore"], "[OnlineStore] of FeatureGroup"),
+        (visits(offline=False), ["OfflineStore"], "[OfflineStore] of FeatureGroup"),
+        (visits(online=None, offline=False), ["OfflineStore", "OnlineStore"],
          "[OnlineStore,OfflineStore] of FeatureGroup"),
     ],
 )
@@ -86,7 +86,7 @@ def test_bad_requests_are_refused(group, stores, message):
 
 
 def test_only_created_groups_accept_data():
-    check_created(minimal())
+    check_created(visits())
     waiting = FeatureGroup(
         "g", "id", "at", (("id", "String"), ("at", "String")), status="Creating"
     )
@@ -112,7 +112,7 @@ def test_bad_declarations_are_refused(features):
 
 
 def test_catalogue_round_trip(spark, tmp_path):
-    groups = [MIXED, minimal(table_format=None), minimal(online=None, offline=False)]
+    groups = [READINGS, visits(table_format=None), visits(online=None, offline=False)]
     groups[2] = FeatureGroup("third", "a", "b", (("a", "String"), ("b", "Integral")))
     path = str(tmp_path / "catalog")
     catalog_frame(spark, groups).write.parquet(path)
@@ -121,16 +121,16 @@ def test_catalogue_round_trip(spark, tmp_path):
     with pytest.raises(ValidationError, match="not in the catalogue"):
         find_group(catalog, "absent")
     with pytest.raises(ValidationError, match="more than once"):
-        find_group(catalog.unionAll(catalog), "mixed")
+        find_group(catalog.unionAll(catalog), "readings")
 
 
 def test_catalogue_flags(spark):
     groups = [
-        minimal(table_format="Iceberg"),
-        minimal(online=False, table_format="Hive"),
-        minimal(online=None, table_format=None),
-        minimal(offline=False),
-        minimal(online=None, offline=False),
+        visits(table_format="Iceberg"),
+        visits(online=False, table_format="Hive"),
+        visits(online=None, table_format=None),
+        visits(offline=False),
+        visits(online=None, offline=False),
     ]
     rows = with_group_flags(catalog_frame(spark, groups).coalesce(1)).select(
         "target_stores", "is_hour_table", "is_v2_table", "is_created"
