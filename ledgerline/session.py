@@ -18,8 +18,9 @@ def pin_utc(spark):
 def scratch_dir(spark, purpose):
     """A new folder path under the shared folder named by ``spark.checkpoint.dir``.
 
-    What its user does not remove goes when the session's JVM ends in good order. Only a local session may go without that setting: a folder of this machine
-    would be out of reach of the executors of a cluster.
+    What its user does not remove goes when the session's JVM ends in good order. Only a
+    local session may go without that setting: a folder of this machine would be out of
+    reach of the executors of a cluster.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:

@@ -137,9 +137,8 @@ class KeyedTable:
         identifier = named(self.group.record_identifier)
         bucketed = rows.withColumn(BUCKET, self._bucket(identifier))
         # The writer sorts by bucket anyway; with the identifier, row groups can be skipped.
-        cluster_by(bucketed, [BUCKET]).sortWithinPartitions(F.col(BUCKET), identifier).write.partitionBy(
-            BUCKET
-        ).mode(mode).parquet(folder)
+        rows = cluster_by(bucketed, [BUCKET]).sortWithinPartitions(F.col(BUCKET), identifier)
+        rows.write.partitionBy(BUCKET).mode(mode).parquet(folder)
 
     def put(self, df, sequence=0):
         """Append cast rows; ``sequence`` decides between equal event times.

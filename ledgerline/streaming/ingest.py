@@ -63,7 +63,8 @@ def ingest_stream(stream, group, history, quarantine, checkpoint, trigger=None,
         check_format(stream.sparkSession, group)
     cast = cast_features(valid_rows(stream, group, strict), group, strict)
     rows, columns = partitioned_rows(cast, group)
-    kept = _file_query(cluster_by(rows, columns), history, f"{checkpoint}/history", columns, trigger)
+    rows = cluster_by(rows, columns)
+    kept = _file_query(rows, history, f"{checkpoint}/history", columns, trigger)
     if quarantine is None:
         return (kept,)
     return kept, _quarantine_query(stream, group, quarantine, checkpoint, trigger, strict)
