@@ -1,0 +1,89 @@
+import hashlib
+import random
+
+import pytest
+from corpus_for_tests import AWKWARD, awkward, empty, texts
+
+from ledgerline.llm import fingerprints
+
+
+def expected(rows):
+    ordered = sorted(
+        ((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1])
+    )
+    out = []
+    for k, (i, text) in enumerate(ordered):
+        other, half = ordered[(k + 1) % len(ordered)][1], len(text) // 2
+        edited = text[: len(text) - half] + other[:half]
+        out.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def edits(out):
+    return sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in out), key=repr)
+
+
+@pytest.mark.parametrize("run_rows", [3, 2000])
+def test_edited_texts_and_likeness(spark, monkeypatch, run_rows):
+    monkeypatch.setattr(fingerprints, "RUN_ROWS", run_rows)
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(500)]
+    listed = [" ".join(rng.choices(words, k=rng.randint(1, 300))) for _ in range(40)]
+    listed[7] = listed[20]
+    out = fingerprints.document_fingerprints(texts(spark, listed)).collect()
+    assert edits(out) == expected(enumerate(listed))
+    by_id = {r["doc_id"]: r for r in out}
+    assert by_id[7]["fingerprint"] == by_id[20]["fingerprint"]
+    for i, r in by_id.items():
+        following = by_id[(i - 1) % 40]
+        differ = int(r["fingerprint"], 16) ^ int(following["fingerprint"], 16)
+        assert r["near_next"] == 1 - differ.bit_count() / 64
+        differ = int(r["fingerprint"], 16) ^ int(r["edited_fingerprint"], 16)
+        assert r["near_edited"] == 1 - differ.bit_count() / 64
+    long = [r for r in out if r["n_chars"] > 200]
+    assert sum(r["near_edited"] > r["near_next"] for r in long) > 0.9 * len(long)
+
+
+def test_awkward_rows(spark, monkeypatch):
+    for run_rows in (2, 2000):
+        monkeypatch.setattr(fingerprints, "RUN_ROWS", run_rows)
+        out = fingerprints.document_fingerprints(awkward(spark)).collect()
+        assert edits(out) == expected(AWKWARD)
+        assert all(r["fingerprint"] == "0" * 16 for r in out if r["doc_id"] == 7)
+        assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in out)
+    assert fingerprints.document_fingerprints(empty(spark)).collect() == []
+    one = fingerprints.document_fingerprints(texts(spark, ["a b"])).collect()
+    assert one[0]["near_next"] == 1
+
+
+def test_search_against_brute_force(spark):
+    rng = random.Random(8)
+    centre = rng.getrandbits(64)
+    values = [centre]
+    for _ in range(200):
+        value = centre
+        for b in rng.sample(range(64), rng.randint(0, 6)):
+            value ^= 1 << b
+        values.append(value)
+    values += [rng.getrandbits(64) for _ in range(100)] + values[:20]
+    signed = [v - (v >> 63 << 64) for v in values]
+    every = spark.createDataFrame([(v,) for v in [*signed, None]], "fingerprint long")
+    queries = spark.createDataFrame([(v,) for v in signed[::20]], "fingerprint long")
+    out = [tuple(r) for r in fingerprints.within_radius(queries, every).collect()]
+    expected_pairs = {
+        (q, v, ((q ^ v) & (2**64 - 1)).bit_count())
+        for q in set(signed[::20])
+        for v in set(signed)
+        if ((q ^ v) & (2**64 - 1)).bit_count() <= 3
+    }
+    assert len(out) == len(set(out)) and set(out) == expected_pairs
+    with pytest.raises(ValueError):
+        fingerprints.within_radius(queries, every, radius=6)
+
+
+def test_fingerprint_is_a_weighted_vote(spark):
+    out = fingerprints.fingerprint_texts(
+        texts(spark, ["One, TWO three", "one two three!", "", "other words"]), ["doc_id"]
+    )
+    prints = {r["doc_id"]: r["fingerprint"] for r in out.collect()}
+    assert prints[0] == prints[1] != prints[3] and prints[2] == 0

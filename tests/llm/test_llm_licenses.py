@@ -1,0 +1,55 @@
+import duckdb
+from corpus_for_tests import AWKWARD, awkward, empty, texts
+
+from ledgerline.llm.licenses import KNOWN, known_digests, oracle, scan_licenses
+
+MIT = next(t for i, t in KNOWN if i == "MIT" and len(t) > 200)
+ISC = next(t for i, t in KNOWN if i == "ISC")
+
+
+def listed():
+    return [
+        ISC,
+        "Copyright (c) 2020 Me\nCopyright © 2021 You. All rights reserved.\n"
+        "# All rights reserved.\n" + MIT.replace("\n", " ").upper(),
+        "text\nlicensed under cc by-nc 4.0\nReleased under the MIT licence!!\nmore",
+        None,
+        "",
+        "Released under the MIT License\nReleased under the MIT License",
+        MIT + "\nand more",
+        MIT.replace("\n", "\n// "),
+        "Copyright 2020 the authors",
+        "The copyright of 2020 is ours",
+    ]
+
+
+def test_texts_and_notices(spark):
+    out = {r["doc_id"]: r for r in scan_licenses(texts(spark, listed())).collect()}
+    got = {i: (r["license_id"], r["notices"], r["n_notices"]) for i, r in out.items()}
+    assert got[0][0] == "ISC" and got[1][0] == got[7][0] == "MIT"
+    assert got[2] == (None, "CC-BY-NC-4.0,MIT", 2)
+    assert got[3] == got[4] == (None, "", 0)
+    assert got[5] == (None, "MIT", 2) and got[6][0] is None
+    # Nothing is left of a copyright line; a sentence about copyright stays.
+    assert out[8]["canonical_sha256"] == out[4]["canonical_sha256"] != out[9]["canonical_sha256"]
+
+
+def test_equals_the_oracle(spark):
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(listed())))
+    out = scan_licenses(texts(spark, listed()))
+    result = connection.execute(oracle())
+    names = [d[0] for d in result.description]
+    assert sorted(names) == sorted(out.columns)
+    assert sorted(map(tuple, out.select(*names).collect())) == sorted(result.fetchall())
+
+
+def test_awkward_rows(spark):
+    out = scan_licenses(awkward(spark)).collect()
+    assert sorted(str(r["doc_id"]) for r in out) == sorted(str(i) for i, _ in AWKWARD)
+    assert {r["license_id"] for r in out} == {None}
+    own = known_digests(spark, [("own", "Other  WORD!"), ("later", "other word")])
+    found = [r for r in scan_licenses(awkward(spark), own).collect() if r["license_id"]]
+    assert [(r["doc_id"], r["license_id"], r["notices"]) for r in found] == [(2, "own", "own")]
+    assert scan_licenses(empty(spark)).collect() == []
