@@ -15,6 +15,7 @@ So a reader needs the end of a file, and the frames of the documents it wants.
 """
 
 import struct
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -37,15 +38,17 @@ SEEKABLE = 0x8F92EAB1
 CHECKSUMS = 0x80
 ENTRY, FOOTER = 12, 9
 
-REMEMBERED = 150_000
+# Pieces remembered per Python worker, twice at most: the last and the present generation.
+REMEMBERED = 250_000
 SLICE_CHARS = 2_000_000
 
 
 class ByteBpe:
-    """Encodes with the tokenizers library, each chunk between single blanks just once.
+    """Encodes with the tokenizers library, each piece between single blanks just once.
 
     The pre-tokenizer ends a token before a single blank between two other characters, so
-    a chunk that begins with such a blank is encoded alone as within its text.
+    a blank and what follows it is encoded alone as within its text. Pieces for which that
+    does not hold, next to other white space, are encoded together with their neighbours.
     """
 
     def __init__(self, path):
@@ -54,40 +57,50 @@ class ByteBpe:
         self.library.no_padding()
         self.now, self.last = {}, {}
 
-    def _chunks(self, text):
-        """Chunks of a text; their concatenation is the text."""
-        out, chunk = [], None
-        for piece in text.split(" "):
-            if chunk is None:
-                chunk = piece
-            elif chunk and piece and not chunk[-1].isspace() and not piece[0].isspace():
-                out.append(chunk)
-                chunk = " " + piece
-            else:
-                chunk += " " + piece
-        out.append(chunk)
-        return out
+    def _library(self, chunks):
+        encoded = self.library.encode_batch_fast(chunks, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in encoded]
 
-    def _remember(self, chunks):
+    def _remember(self, pieces):
+        """Has the ids of a blank and each piece in ``self.now``, None where it needs more."""
         if len(self.now) > REMEMBERED:
             self.now, self.last = {}, self.now
         missing = []
-        for c in chunks:
-            if c not in self.now:
-                known = self.last.get(c)
-                if known is None:
-                    missing.append(c)
-                else:
-                    self.now[c] = known
-        encoded = self.library.encode_batch_fast(missing, add_special_tokens=False)
-        for c, e in zip(missing, encoded, strict=True):
-            self.now[c] = np.array(e.ids, dtype="<u4").tobytes()
+        for p in pieces.difference(self.now):
+            if p in self.last:
+                self.now[p] = self.last[p]
+            elif not p or p[0].isspace() or p[-1].isspace():
+                self.now[p] = None
+            else:
+                missing.append(p)
+        self.now.update(zip(missing, self._library([" " + p for p in missing]), strict=True))
+
+    def _apart(self, pieces):
+        """The ids of a text some of whose pieces belong together."""
+        chunks, chunk = [], pieces[0]
+        for piece in pieces[1:]:
+            if chunk and piece and not chunk[-1].isspace() and not piece[0].isspace():
+                chunks.append(chunk)
+                chunk = " " + piece
+            else:
+                chunk += " " + piece
+        chunks.append(chunk)
+        return b"".join(self._library(chunks))
 
     def encode(self, texts):
         """The ids of each text as bytes."""
-        chunks = [self._chunks(t) for t in texts]
-        self._remember(set().union(*chunks))
-        return [b"".join(map(self.now.__getitem__, c)) for c in chunks]
+        pieces = [t.split(" ") for t in texts]
+        self._remember(set().union(*pieces))
+        known = self.now
+        out = []
+        for p, first in zip(pieces, self._library([p[0] for p in pieces]), strict=True):
+            try:
+                rest = b"".join(map(known.__getitem__, p[1:]))
+                whole = known[p[0]] is not None or len(p) == 1
+            except TypeError:  # a piece is None
+                whole = False
+            out.append(first + rest if whole else self._apart(p))
+        return out
 
 
 @lru_cache(maxsize=2)
