@@ -18,19 +18,13 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ledgerline.llm.components import connected_components
-from ledgerline.llm.shared import LOWER, SPACE, UPPER, hex16, map_in_arrow, written
+from ledgerline.llm.near_copies import keep_one, words_of  # noqa: F401
+from ledgerline.llm.shared import hex16, map_in_arrow, written
 
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
 BYTES = 8
-_FOLD = str.maketrans(UPPER, LOWER)
-_OTHER_SPACE = str.maketrans({c: " " for c in SPACE})
-
-
-def words_of(text):
-    """Words between ASCII white space, A-Z in lower case."""
-    return [w for w in text.translate(_FOLD).translate(_OTHER_SPACE).split(" ") if w]
 
 
 def simhash(text, shingle=SHINGLE):
@@ -180,19 +174,3 @@ def near_duplicates(docs, shingle=SHINGLE, radius=RADIUS):
     names = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     named = grouped.join(names, "component").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", hex16("fp").alias("fingerprint"), "component_id")
-
-
-def keep_one(docs, shingle=SHINGLE, radius=RADIUS):
-    """The rows of ``docs`` whose doc_id names their group, one per group.
-
-    Documents are told apart by doc_id: of rows that share one, any one stays. Rows
-    without a doc_id all stay, as nothing can name them.
-    """
-    kept = (
-        near_duplicates(docs, shingle, radius)
-        .where("doc_id = component_id")
-        .select(F.col("doc_id").alias("_kept"))
-        .distinct()
-    )
-    stay = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return stay.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
