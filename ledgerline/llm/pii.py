@@ -2,10 +2,12 @@
 
 The base matches of four kinds are the seeds. Everything of a similar form is an instance,
 known or not; the words around its occurrences are its lexical patterns. Patterns and
-instances make a bipartite graph. In each round a pattern is trusted for a kind by the share
-of its distinct instances already believed to be of that kind, and an instance believed by
-the trust in the patterns it stands in; rounds go on until no instance is added. Believed
-instances add spans; base spans always stay. Everything is DataFrame expressions.
+instances make a bipartite graph. In each round a pattern is trusted for a kind by the score
+of its distinct instances believed to be of that kind, against those that contradict it: of
+another base kind, or of a form that cannot be of the kind. An instance is believed by the
+trust in the patterns it stands in, and from then on supports the other patterns it stands
+in; rounds go on until no instance is added. Believed instances add spans; base spans always
+stay. Everything is DataFrame expressions.
 """
 
 from dataclasses import dataclass
@@ -45,12 +47,11 @@ BROADCAST_ROWS = 100_000
 
 @dataclass(frozen=True)
 class Settings:
-    """``support``: distinct seeds a pattern needs; ``trust``, ``belief``: least scores."""
+    """``support``: distinct believed instances a pattern needs; ``trust``, ``belief``: least scores."""
 
     support: int = 3
     trust: float = 0.8
     belief: float = 0.8
-    rounds: int = 5
 
 
 def _spans(text, found, pattern):
@@ -226,35 +227,49 @@ def believed(occurrences, settings):
         occurrences.select("value", "kind", F.explode("patterns").alias("pattern")).distinct(),
         "pii-edges",
     )
-    sizes = written(
-        edges.groupBy("pattern").agg(
-            F.count_distinct("value").alias("instances"),
-            F.count_distinct(F.when(F.col("kind").isNotNull(), F.col("value"))).alias("seeds"),
-        ).where(f"seeds >= {settings.support}"),
+    unlabelled = F.col("kind").isNull()
+    against = {
+        k: F.when(unlabelled, ~F.col("value").rlike(FORM[k])).otherwise(F.col("kind") != k)
+        for k in KINDS
+    }
+    # Patterns that can never be supported, or have nothing to find, are left out.
+    patterns = written(
+        edges.groupBy("pattern")
+        .agg(
+            F.count("*").alias("n"),
+            F.count_if(unlabelled).alias("open"),
+            *[F.count_if(c).alias(f"not_{k}") for k, c in against.items()],
+        )
+        .where(f"n >= {settings.support} and open > 0")
+        .drop("n", "open"),
         "pii-patterns",
     )
+    edges = written(edges.join(patterns.select("pattern"), "pattern"), "pii-useful")
+    open_edges = edges.where("kind is null").select("pattern", "value")
     seeds = edges.where("kind is not null").select("value", "kind", F.lit(1.0).alias("score")).distinct()
-    open_edges = edges.where("kind is null").join(sizes.select("pattern"), "pattern").select(
-        "pattern", "value"
-    )
-    found, before = None, 0
-    for _ in range(settings.rounds):
-        known = seeds if found is None else seeds.unionByName(found)
+    contradicted, has_form = F.lit(None).cast("long"), F.lit(False)
+    for kind in KINDS:
+        contradicted = F.when(F.col("kind") == kind, F.col(f"not_{kind}")).otherwise(contradicted)
+        has_form = has_form | ((F.col("kind") == kind) & F.col("value").rlike(FORM[kind]))
+    doubt = F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-6))))
+    found = edges.sparkSession.createDataFrame([], seeds.schema)
+    # What is believed stays, so this ends: each round adds a value or is the last.
+    while True:
         trusted = (
             edges.select("pattern", "value")
-            .join(known, "value")
+            .join(seeds.unionByName(found), "value")
             .groupBy("pattern", "kind")
-            .agg(F.sum("score").alias("score"), F.count("*").alias("n"))
-            .join(sizes, "pattern")
-            .select("pattern", F.col("kind"), (F.col("score") / F.col("instances")).alias("trust"), "n")
-            .where((F.col("trust") >= settings.trust) & (F.col("n") >= settings.support))
+            .agg(F.sum("score").alias("score"), F.count("*").alias("support"))
+            .where(F.col("support") >= settings.support)
+            .join(patterns, "pattern")
+            .select(
+                "pattern", "kind", (F.col("score") / (F.col("score") + contradicted)).alias("trust")
+            )
+            .where(F.col("trust") >= settings.trust)
         )
-        has_form = F.lit(False)
-        for kind in KINDS:
-            has_form = has_form | ((F.col("kind") == kind) & F.col("value").rlike(FORM[kind]))
-        doubt = F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-6))))
-        found = written(
-            open_edges.join(trusted, "pattern")
+        added = written(
+            open_edges.join(found.select("value"), "value", "left_anti")
+            .join(trusted, "pattern")
             .where(has_form)
             .groupBy("value", "kind")
             .agg((1 - F.exp(doubt)).alias("score"))
@@ -262,13 +277,11 @@ def believed(occurrences, settings):
             .groupBy("value")
             .agg(F.max(F.struct("score", "kind")).alias("best"))
             .select("value", "best.kind", "best.score"),
-            "pii-believed",
+            "pii-added",
         )
-        now = found.count()
-        if now == before:
-            break
-        before = now
-    return found.select("value", "kind")
+        if added.isEmpty():
+            return found.select("value", "kind")
+        found = written(found.unionByName(added), "pii-believed")
 
 
 def _as_text(spans):
