@@ -5,6 +5,7 @@ import public_tokenizers
 from ledgerline.llm.class_lm import score_documents
 from ledgerline.llm.decontaminate import contaminated
 from ledgerline.llm.fingerprints import document_fingerprints
+from ledgerline.llm.importance import draw_report
 from ledgerline.llm.licenses import oracle as licenses_oracle
 from ledgerline.llm.licenses import scan_licenses
 from ledgerline.llm.near_dedup import near_duplicates
@@ -60,6 +61,10 @@ def op10_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark, sf_dir):
+    return draw_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_quality_classifier": op2_quality_classifier,
@@ -71,6 +76,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_word_bpe": op9_word_bpe,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_importance_resampling": op11_importance_resampling,
 }
 
 ORACLES = {"op8_license_scan": licenses_oracle()}

@@ -1,0 +1,138 @@
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+from corpus_for_tests import awkward, empty, texts
+from pyspark.sql import functions as F
+
+from ledgerline.llm import importance as module
+from ledgerline.llm.importance import (
+    Settings,
+    draw_report,
+    importance,
+    joined_crc,
+    resample,
+)
+from ledgerline.llm.shared import table
+
+SF = "/root/testdata/sf0.001"
+
+
+def features(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+    runs = [" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)]
+    return len(words), [zlib.crc32(r.encode()) % 10000 for r in runs]
+
+
+def brute_force(docs, target):
+    """(doc_id, n_features, weight, score, rank) of (doc_id, text) rows, by the rule itself."""
+    each = [(i, *features(t)) for i, t in docs]
+    s, t = Counter(), Counter()
+    for _, _, buckets in each:
+        s.update(buckets)
+    for text in target:
+        t.update(features(text)[1])
+    all_s, all_t = float(sum(s.values())), float(sum(t.values()))
+
+    def gain(b):
+        return math.floor(
+            1000 * math.log((t[b] + 1.0) * (all_s + 10000) / ((s[b] + 1.0) * (all_t + 10000)))
+        )
+
+    scored = []
+    for i, n_words, buckets in each:
+        weight = sum(map(gain, buckets))
+        h = int(hashlib.sha256(f"42:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        noise = math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        scored.append((i, len(buckets), weight, weight + noise, n_words))
+    long = sorted(
+        (r for r in scored if r[4] >= 20), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1])
+    )
+    ranks = Counter()
+    out = [(*r[:4], rank + 1) for rank, r in enumerate(long[: 5 * len(long) // 100])]
+    ranks.update(r[:4] for r in out)
+    for r in scored:
+        if ranks[r[:4]]:
+            ranks[r[:4]] -= 1
+        else:
+            out.append((*r[:4], None))
+    return sorted(out, key=repr)
+
+
+def collected(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_crc_of_joined_strings():
+    random.seed(1)
+    pairs = [
+        (random.randbytes(random.randrange(9)), random.randbytes(random.choice([0, 1, 7, 64, 5000])))
+        for _ in range(200)
+    ]
+    left = np.array([zlib.crc32(a) for a, _ in pairs], dtype=np.uint32)
+    right = np.array([zlib.crc32(b) for _, b in pairs], dtype=np.uint32)
+    joined = joined_crc(left, right, np.array([len(b) for _, b in pairs]))
+    assert joined.tolist() == [zlib.crc32(a + b) for a, b in pairs]
+
+
+def test_equals_brute_force_on_given_tables(spark):
+    docs, target = table(spark, SF, "documents"), table(spark, SF, "benchmark")
+    expected = brute_force(
+        [(r["doc_id"], r["text"]) for r in docs.collect()], [r["text"] for r in target.collect()]
+    )
+    assert collected(draw_report(docs, target)) == expected
+
+
+def test_runs_cross_windows_but_not_texts(monkeypatch):
+    monkeypatch.setattr(module, "WINDOW", 7)
+    listed = ["a b", "", "c " * 20, "é d", "x-y_z 1 2 3"]
+    found = Counter(
+        b
+        for _, runs in module.run_buckets(*module.words_of(pa.array(listed)), Settings())
+        for run in runs
+        for b in run[run >= 0].tolist()
+    )
+    assert found == Counter(b for t in listed for b in features(t)[1])
+
+
+def test_awkward_and_empty_tables(spark):
+    rows = awkward(spark)
+    listed = [(r["doc_id"], r["text"]) for r in rows.collect()]
+    assert collected(draw_report(rows, rows)) == brute_force(listed, [t for _, t in listed])
+    assert collected(draw_report(rows, empty(spark))) == brute_force(listed, [])
+    assert draw_report(empty(spark), rows).collect() == []
+
+
+def test_ties_repeats_and_hot_rows(spark):
+    text = " ".join(f"w{i}" for i in range(25))
+    listed = [(i % 50, text) for i in range(600)] + [(None, text)] * 300
+    listed += [(i, f"other {i} " + text) for i in range(100, 140)]
+    docs = spark.createDataFrame(listed, "doc_id long, text string")
+    report = collected(draw_report(docs, texts(spark, ["w1 w2 w3"])))
+    assert report == brute_force(listed, ["w1 w2 w3"])
+    assert sorted(r[4] for r in report if r[4]) == list(range(1, 5 * 940 // 100 + 1))
+
+
+def test_resample_returns_drawn_rows(spark):
+    docs = table(spark, SF, "documents").withColumn("rank", F.lit("old"))
+    target = table(spark, SF, "benchmark")
+    ranks = {r["rank"]: r["doc_id"] for r in importance(docs, target).where("rank > 0").collect()}
+    drawn = resample(docs, target)
+    assert {r["rank"]: r["doc_id"] for r in drawn.collect()} == ranks
+    assert drawn.columns == [*[c for c in docs.columns if c != "rank"], "rank"]
+    twice = spark.createDataFrame([(1, "a " * 30)] * 40, "doc_id long, text string")
+    assert [r["rank"] for r in resample(twice, target).orderBy("rank").collect()] == [1, 2]
+
+
+def test_target_like_documents_are_drawn_first(spark):
+    wanted = " ".join(f"rare{i}" for i in range(30))
+    listed = [" ".join(f"common{(i * j) % 40}" for j in range(30)) for i in range(80)]
+    docs = texts(spark, listed + [wanted] * 4)
+    drawn = importance(docs, texts(spark, [wanted] * 50)).where("rank is not null")
+    assert {r["doc_id"] for r in drawn.collect()} <= {80, 81, 82, 83}
