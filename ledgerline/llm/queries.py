@@ -11,13 +11,18 @@ from ledgerline.llm.licenses import scan_licenses
 from ledgerline.llm.near_dedup import near_duplicates
 from ledgerline.llm.pii import personal_data
 from ledgerline.llm.quality import score_quality
+from ledgerline.llm.sentence_pieces import digest as digest_pieces
+from ledgerline.llm.sentence_pieces import encode_decode as encode_pieces
 from ledgerline.llm.shared import table
 from ledgerline.llm.token_files import token_index
+from ledgerline.llm.vector_codes import code_report
+from ledgerline.llm.vector_codes import oracle as vector_codes_oracle
 from ledgerline.llm.warc import archived_pages
 from ledgerline.llm.word_bpe import digest, encode_decode
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_personal_data(spark, sf_dir):
@@ -65,6 +70,15 @@ def op11_importance_resampling(spark, sf_dir):
     return draw_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_vector_codes(spark, sf_dir):
+    return code_report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_sentence_pieces(spark, sf_dir):
+    path = public_tokenizers.path(PIECES)
+    return digest_pieces(encode_pieces(table(spark, sf_dir, "documents"), path))
+
+
 QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_quality_classifier": op2_quality_classifier,
@@ -77,6 +91,8 @@ QUERIES = {
     "op9_word_bpe": op9_word_bpe,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_sentence_pieces": op13_sentence_pieces,
 }
 
-ORACLES = {"op8_license_scan": licenses_oracle()}
+ORACLES = {"op8_license_scan": licenses_oracle(), "op12_vector_codes": vector_codes_oracle()}

@@ -55,6 +55,18 @@ def map_in_pandas(df, each, schema):
     return df.mapInPandas(each, schema)
 
 
+def text_slices(texts, chars=2_000_000):
+    """(start, end) of runs of texts of at most about ``chars`` characters, a longer one alone."""
+    start, size = 0, 0
+    for at, text in enumerate(texts):
+        if size and size + len(text) > chars:
+            yield start, at
+            start, size = at, 0
+        size += len(text)
+    if len(texts) > start:
+        yield start, len(texts)
+
+
 def ascii_lower(column):
     return F.translate(column, UPPER, LOWER)
 
