@@ -361,7 +361,7 @@ def code_report(vectors, settings=Settings()):
 
 def oracle(settings=Settings()):
     """The query as SQL: every piece against every entry, one common table per round."""
-    distance = "list_sum(list_transform(range(1, len(x) + 1), i -> (x[i] - c[i]) * (x[i] - c[i])))"
+    distance = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
     assigned = f"""(
       SELECT vec_id, label, part, x, arg_min(entry, (d, entry)) AS entry, min(d) AS d
       FROM (SELECT p.*, entry, {distance} AS d FROM pieces p JOIN {{book}} USING (part))
@@ -369,9 +369,9 @@ def oracle(settings=Settings()):
     steps = [
         f"""kept AS (
       SELECT vec_id, label, list_transform(
-        embedding, x -> CAST(floor({settings.scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        embedding, lambda x: CAST(floor({settings.scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
       FROM embeddings WHERE embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0)""",
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
         f"""pieces AS (
       SELECT vec_id, label, part, list_slice(
         v, part * len(v) // {settings.parts} + 1, (part + 1) * len(v) // {settings.parts}) AS x
