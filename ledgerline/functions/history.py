@@ -15,13 +15,22 @@ HOUR_PATTERNS = ("yyyy", "MM", "dd", "HH")
 DATE_SUFFIX = "_trunc"
 
 
-def with_audit_columns(df):
-    """Both times are the start of the query, so they are equal within one write."""
+def mark_time(at):
+    """The write time of rows that carry a mark: ``at`` microseconds since the epoch."""
+    return F.timestamp_micros(F.lit(at).cast("bigint"))
+
+
+def with_audit_columns(df, at=None, deleted=False):
+    """Both times are the start of the query, or the mark ``at``: equal within one write.
+
+    ``deleted`` says that the rows are deletions of records.
+    """
+    time = F.current_timestamp() if at is None else mark_time(at)
     return df.withColumns(
         {
-            API_INVOCATION_TIME: F.current_timestamp(),
-            WRITE_TIME: F.current_timestamp(),
-            IS_DELETED: F.lit(False),
+            API_INVOCATION_TIME: time,
+            WRITE_TIME: time,
+            IS_DELETED: F.lit(deleted),
         }
     )
 

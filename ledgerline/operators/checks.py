@@ -1,5 +1,7 @@
 """Checks and casts of row values. One narrow projection each: no shuffle, no Python."""
 
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,6 +99,35 @@ def check_rows(df, group, strict=False, rows=REPORT_ROWS):
         raise ValidationError(INVALID_VALUES, report, invalid_rows(df, group, strict).count())
 
 
+def watched(df, group, strict=False):
+    """``df``, and a function that raises if any row was invalid, once all have been written.
+
+    Faults are counted by the job that writes the rows, so valid input is read once. A
+    retried task may count its rows again, which leaves zero at zero. For the report the
+    input is read again; if it is not repeatable and shows no fault then, the lowest of the
+    faulty rows that were counted is reported.
+    """
+    seen = Observation()
+    faulty = F.col(ROW_ERRORS_COLUMN) != ""
+    row = F.struct(named(group.record_identifier), F.col(ROW_ERRORS_COLUMN))
+    marked = df.withColumn(ROW_ERRORS_COLUMN, row_errors(df, group, strict)).observe(
+        seen, F.count_if(faulty).alias("faults"), F.min(F.when(faulty, row)).alias("lowest")
+    )
+
+    def verdict():
+        try:
+            found = seen.get
+        except Py4JJavaError:
+            # The plan of an input that turns out empty may lose its counts: look again.
+            check_rows(df, group, strict)
+            return
+        if found["faults"]:
+            check_rows(df, group, strict)
+            raise ValidationError(INVALID_VALUES, [found["lowest"]], found["faults"])
+
+    return marked.drop(ROW_ERRORS_COLUMN), verdict
+
+
 def validated_cast(df, group, strict=False):
     """Check names and rows, then cast; raises if anything is invalid."""
     check_names(df.columns, group)

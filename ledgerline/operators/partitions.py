@@ -8,6 +8,18 @@ def parallelism(spark):
     return spark.sparkContext.defaultParallelism
 
 
+def _operators(plan):
+    """The class names of the operators of a physical plan, also of one that adapts."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        yield from _operators(plan.executedPlan())
+        return
+    yield name
+    children = plan.children()
+    for i in range(children.size()):
+        yield from _operators(children.apply(i))
+
+
 def spread_for_puts(df):
     """``df`` in at least as many partitions as the cluster works on at once.
 
@@ -15,8 +27,8 @@ def spread_for_puts(df):
     a retried task repeats few puts. Behind a shuffle or a cached table nothing is
     counted, since counting would run what is above it; AQE has sized those partitions.
     """
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan or "InMemoryTableScan" in plan:
+    operators = _operators(df._jdf.queryExecution().executedPlan())
+    if any("Exchange" in name or name == "InMemoryTableScanExec" for name in operators):
         return df
     wanted = parallelism(df.sparkSession)
     return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df

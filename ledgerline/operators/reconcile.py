@@ -9,7 +9,7 @@ from ledgerline.functions import named
 _SEEDS = (1, 2)
 
 
-def _row_key(columns):
+def row_key(columns):
     """Two hashes of a row. Nulls leave a hash unchanged, so null flags are hashed too."""
     flagged = [part for c in columns for part in (named(c).isNull(), named(c))]
     return {
@@ -17,7 +17,7 @@ def _row_key(columns):
     }
 
 
-def _common_types(sent, stored, columns):
+def common_types(sent, stored, columns):
     """Column types that hold the values of both sides, as a union would choose them."""
     names = [named(c) for c in columns]
     return sent.select(*names).unionByName(stored.select(*names)).schema
@@ -35,13 +35,13 @@ def compare_by_identifier(sent, stored, identifier, exact=False):
     ``exact=True``.
     """
     columns = sent.columns
-    common = _common_types(sent, stored, columns)
+    common = common_types(sent, stored, columns)
 
     def side(df, n_sent, n_stored):
         rows = df.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in common.fields])
         if not exact:
             rows = rows.select(named(identifier), *[
-                c.alias(name) for name, c in _row_key(columns).items()
+                c.alias(name) for name, c in row_key(columns).items()
             ])
         return rows.withColumns({"__sent": F.lit(n_sent), "__stored": F.lit(n_stored)})
 

@@ -44,6 +44,16 @@ USERS = FeatureGroup(
     ),
     online=True,
 )
+USERS_KEPT = FeatureGroup(
+    name="users_kept",
+    record_identifier=USERS.record_identifier,
+    event_time=USERS.event_time,
+    features=USERS.features,
+    online=True,
+    offline=OfflineStore(HOUR_FORMAT),
+)
+# Noon of 20 January 2024, in seconds.
+DELETED_AT = 1705752000.0
 ORDERS = FeatureGroup(
     name="orders",
     record_identifier="o_orderkey",
@@ -217,6 +227,24 @@ def lossy_orders(df):
     return copied.withColumn("o_orderkey", F.explode(copies))
 
 
+def damaged_events(df):
+    """Events as a faulty copy would hold them: some are lost, some doubled, some changed.
+
+    Those of early hours of the day only, so that other hours are equal.
+    """
+    key = F.col("event_id")
+    early = F.substring("event_time", 12, 2) < "06"
+    changed = df.withColumns(
+        {
+            "event_type": F.when(early & (key % 31 == 3), "retyped").otherwise(F.col("event_type")),
+            "user_id": F.when(early & (key % 37 == 4), -key).otherwise(F.col("user_id")),
+        }
+    )
+    lost, doubled = early & (key % 29 == 1), early & (key % 41 == 2)
+    copies = F.when(lost, 0).when(doubled, 2).otherwise(1)
+    return changed.withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("copy")
+
+
 def event_schemas(spark, sf_dir):
     """The column names each event would arrive with, some of them faulty."""
     key = F.col("event_id")

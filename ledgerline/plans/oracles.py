@@ -88,6 +88,14 @@ _OUTCOMES = """
                    THEN 'refused ' || CAST(event_id AS VARCHAR) END AS online_ingestion_error
     FROM events_in"""
 
+_FAILED = f"""
+    WITH {_EVENTS} SELECT * FROM ({_OUTCOMES}) WHERE online_ingestion_error IS NOT NULL"""
+_VALID_HISTORY = f"""
+    WITH {_RAW},
+    cast_rows AS (
+        SELECT {_CAST_COLUMNS} FROM checked WHERE "dataTypeValidationErrors" = '')
+    SELECT *, {_HOUR_COLUMNS} FROM cast_rows"""
+
 ORACLES = {
     "feature_definitions": """
         SELECT CAST(position AS INTEGER) AS position, feature_name, feature_type, n_values
@@ -212,9 +220,7 @@ ORACLES = {
         FROM pairs WHERE value_as_string IS NOT NULL
     """,
     "online_put_outcomes": f"WITH {_EVENTS} {_OUTCOMES}",
-    "failed_records": f"""
-        WITH {_EVENTS} SELECT * FROM ({_OUTCOMES}) WHERE online_ingestion_error IS NOT NULL
-    """,
+    "failed_records": _FAILED,
     "failed_record_count": f"""
         WITH {_EVENTS} SELECT count(online_ingestion_error) AS n_failed FROM ({_OUTCOMES})
     """,
@@ -261,12 +267,7 @@ ORACLES = {
                CAST(0 AS BIGINT) AS n_changed
         FROM events
     """,
-    "streaming_ingest": f"""
-        WITH {_RAW},
-        cast_rows AS (
-            SELECT {_CAST_COLUMNS} FROM checked WHERE "dataTypeValidationErrors" = '')
-        SELECT *, {_HOUR_COLUMNS} FROM cast_rows
-    """,
+    "streaming_ingest": _VALID_HISTORY,
     "streaming_quarantine": f"""
         WITH {_RAW} SELECT * FROM checked WHERE "dataTypeValidationErrors" <> ''
     """,
@@ -321,4 +322,47 @@ ORACLES = {
                CAST(0 AS BIGINT) AS n_changed
         FROM orders
     """,
+    "restarted_ingest": _HISTORY,
+    "refused_then_ingested": _VALID_HISTORY,
+    "history_range": f"""
+        WITH {_EVENTS}
+        SELECT events_in.*, layout
+        FROM events_in, (VALUES ('events'), ('events_by_date')) AS layouts(layout)
+        WHERE CAST(event_time AS TIMESTAMP) >= TIMESTAMP '2024-01-09 05:30:00'
+          AND CAST(event_time AS TIMESTAMP) < TIMESTAMP '2024-01-17 12:15:00'
+    """,
+    "streamed_put_failures": _FAILED,
+    "history_differences": f"""
+        WITH {_EVENTS},
+        marked AS (
+            SELECT *, substr(event_time, 12, 2) < '06' AS early FROM events_in),
+        findings AS (
+            SELECT event_id, event_time, unnest(CASE
+                WHEN event_id % 29 = 1 THEN [
+                    {{'difference': 'missing', 'column': NULL, 'sent': NULL, 'stored': NULL}}]
+                WHEN event_id % 41 = 2 THEN [
+                    {{'difference': 'repeated', 'column': NULL, 'sent': '1', 'stored': '2'}}]
+                ELSE list_filter([
+                    CASE WHEN event_id % 31 = 3 AND event_type IS DISTINCT FROM 'retyped'
+                         THEN {{'difference': 'changed', 'column': 'event_type',
+                               'sent': event_type, 'stored': 'retyped'}} END,
+                    CASE WHEN event_id % 37 = 4 AND user_id IS DISTINCT FROM -event_id
+                         THEN {{'difference': 'changed', 'column': 'user_id',
+                               'sent': CAST(user_id AS VARCHAR),
+                               'stored': CAST(-event_id AS VARCHAR)}} END],
+                    lambda x: x IS NOT NULL) END) AS f
+            FROM marked WHERE early)
+        SELECT event_id, event_time, f.difference AS difference, f."column" AS "column",
+               f.sent AS sent, f.stored AS stored
+        FROM findings
+    """,
+    "deleted_records": f"""
+        WITH {_LATEST}
+        SELECT user_id, event_id, 'online' AS store FROM latest
+        WHERE user_id IS NOT NULL AND (user_id % 5 <> 0 OR event_time > 1705752000)
+        UNION ALL
+        SELECT user_id, event_id, 'history' FROM users_in WHERE user_id IS NOT NULL
+        UNION ALL
+        SELECT DISTINCT user_id, -1, 'deletion' FROM users_in WHERE user_id % 5 = 0
+    """,
 }

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerline.errors import RecordIngestionError
+from ledgerline.errors import RecordIngestionError, ValidationError
 from ledgerline.functions import named
 from ledgerline.functions.history import (
     AUDIT_COLUMNS,
@@ -162,6 +162,58 @@ def time_sliced_ingest(spark, sf_dir):
     return store.history(EVENTS).drop(*AUDIT_COLUMNS)
 
 
+class _CutOff(FeatureStore):
+    """Ends in its third slice, after a part of the rows has been appended."""
+
+    appended = 0
+
+    def _append(self, df, *args, **options):
+        self.appended += 1
+        if self.appended == 3:
+            super()._append(df.filter("event_id % 3 = 0"), *args, **options)
+            raise ConnectionError("cut off")
+        super()._append(df, *args, **options)
+
+
+def restarted_ingest(spark, sf_dir):
+    """Weeks of events, cut off in the third and run again with the same token."""
+    root = scratch_dir(spark, "restarted_ingest")
+    arguments = inputs.events(spark, sf_dir), EVENTS, "week", ["OfflineStore"]
+    try:
+        _CutOff(spark, root).ingest_by_time(*arguments, token="events")
+    except ConnectionError:
+        pass
+    store = FeatureStore(spark, root)
+    store.ingest_by_time(*arguments, token="events")
+    return store.history(EVENTS).drop(*AUDIT_COLUMNS)
+
+
+def refused_then_ingested(spark, sf_dir):
+    """Texts with faults, refused as a whole in the one pass that reads them; then the valid ones."""
+    store = _store(spark, "refused_then_ingested")
+    raw = inputs.raw_events(spark, sf_dir)
+    try:
+        store.ingest(raw, EVENTS, ["OfflineStore"])
+    except ValidationError:
+        pass
+    store.ingest(checks.valid_rows(raw, EVENTS), EVENTS, ["OfflineStore"])
+    return _shown(store.history(EVENTS).drop(*AUDIT_COLUMNS))
+
+
+def history_range(spark, sf_dir):
+    """Eight days, cut within an hour at both ends, from a history by hour and one by date."""
+    store = _store(spark, "history_range")
+    events = inputs.events(spark, sf_dir)
+    parts = []
+    for group in (EVENTS, EVENTS_BY_DATE):
+        store.ingest(events, group, ["OfflineStore"])
+        rows = store.history_between(group, "2024-01-09T05:30:00Z", "2024-01-17T12:15:00Z")
+        parts.append(
+            rows.select(*[named(c) for c in events.columns], F.lit(group.name).alias("layout"))
+        )
+    return parts[0].unionByName(parts[1])
+
+
 # Records ---------------------------------------------------------------------
 
 
@@ -223,6 +275,23 @@ def online_merge(spark, sf_dir):
     return keyed.read()
 
 
+def deleted_records(spark, sf_dir):
+    """Every fifth user is deleted as of a day: who is left online, what the history holds."""
+    store, group = _store(spark, "deleted_records"), inputs.USERS_KEPT
+    users = inputs.users(spark, sf_dir).filter("user_id is not null")
+    store.ingest(users, group)
+    fifth = users.filter("user_id % 5 = 0").select("user_id").distinct()
+    store.delete(fifth.withColumn("event_time", F.lit(inputs.DELETED_AT)), group)
+    store.online(group).compact()
+    online = store.online(group).read().select("user_id", "event_id", F.lit("online").alias("store"))
+    history = store.history(group).select(
+        "user_id",
+        F.coalesce("event_id", F.lit(-1)).alias("event_id"),
+        F.when(F.col("is_deleted"), "deletion").otherwise(F.lit("history")).alias("store"),
+    )
+    return online.unionByName(history)
+
+
 def lineitem_latest(spark, sf_dir):
     return latest_per_record(inputs.parts(spark, sf_dir), PARTS, sequence="line")
 
@@ -270,6 +339,14 @@ def stored_reconciliation(spark, sf_dir):
     return reconcile(sent, stored, "event_id")
 
 
+def history_differences(spark, sf_dir):
+    """Events against a history with some lost, doubled, retyped, or given to another user."""
+    store = _store(spark, "history_differences")
+    sent = inputs.events(spark, sf_dir)
+    store.ingest(inputs.damaged_events(sent), EVENTS, ["OfflineStore"])
+    return store.differences(sent, EVENTS)
+
+
 def _streamed(spark, sf_dir, purpose):
     base = scratch_dir(spark, purpose)
     paths = f"{base}/history", f"{base}/quarantine"
@@ -327,6 +404,15 @@ def streaming_date_ingest(spark, sf_dir):
     return store.history(EVENTS_BY_DATE).drop(*AUDIT_COLUMNS)
 
 
+def streamed_put_failures(spark, sf_dir):
+    """What a put refuses of a stream of events."""
+    store = _store(spark, "streamed_put_failures", put=_fails_on_hundreds(EVENTS))
+    stream = inputs.event_stream(spark, sf_dir)
+    for query in store.ingest_stream(stream, EVENTS, target_stores=["OnlineStore"]):
+        query.awaitTermination()
+    return store.quarantined(EVENTS)
+
+
 def widened_reconciliation(spark, sf_dir):
     """Orders with int keys and float prices against the longs and doubles stored of them."""
     store = _store(spark, "widened_reconciliation")
@@ -387,4 +473,10 @@ QUERIES = {
     "streaming_merge_quarantine": streaming_merge_quarantine,
     "streaming_date_ingest": streaming_date_ingest,
     "widened_reconciliation": widened_reconciliation,
+    "restarted_ingest": restarted_ingest,
+    "refused_then_ingested": refused_then_ingested,
+    "history_range": history_range,
+    "streamed_put_failures": streamed_put_failures,
+    "history_differences": history_differences,
+    "deleted_records": deleted_records,
 }

@@ -46,13 +46,13 @@ def cluster_by(df, columns):
     return df.repartitionByRange(*keys, F.xxhash64(*[named(c) for c in df.columns]))
 
 
-def append_hours(df, group, path, clustered=False):
+def append_hours(df, group, path, clustered=False, at=None, deleted=False):
     """Append cast rows below ``year=/month=/day=/hour=``, with audit columns.
 
     ``clustered=True`` says that each task's rows lie in few hours already, as when the
     input is read from hourly files; then nothing is shuffled.
     """
-    rows = with_hour_columns(with_audit_columns(df), group)
+    rows = with_hour_columns(with_audit_columns(df, at, deleted), group)
     (
         (rows if clustered else cluster_by(rows, HOUR_COLUMNS))
         .write.partitionBy(*HOUR_COLUMNS)
@@ -62,14 +62,14 @@ def append_hours(df, group, path, clustered=False):
     )
 
 
-def append_dates(df, group, path, clustered=False):
+def append_dates(df, group, path, clustered=False, at=None, deleted=False):
     """Append cast rows below ``<event time>_trunc=``, sorted by event time in each file.
 
     The sort starts with the partition column, so the writer needs no sort of its own.
     ``clustered=True``, as above, is for input whose tasks hold few dates each.
     """
     date = date_column(group)
-    rows = with_event_date(with_audit_columns(df), group)
+    rows = with_event_date(with_audit_columns(df, at, deleted), group)
     (
         (rows if clustered else cluster_by(rows, [date]))
         .sortWithinPartitions(named(date), named(group.event_time))
@@ -80,10 +80,10 @@ def append_dates(df, group, path, clustered=False):
     )
 
 
-def append_table(df, group):
+def append_table(df, group, at=None, deleted=False):
     """Append to a table of a v2 catalogue, which lays out the rows itself."""
     (
-        with_audit_columns(df)
+        with_audit_columns(df, at, deleted)
         .sortWithinPartitions(named(group.event_time))
         .writeTo(table_name(group.offline))
         .option("compression", "none")
@@ -91,11 +91,11 @@ def append_table(df, group):
     )
 
 
-def _append_dated(df, group, path, clustered):
+def _append_dated(df, group, path, clustered, at, deleted):
     if in_catalog(df.sparkSession, group):
-        append_table(df, group)
+        append_table(df, group, at, deleted)
     else:
-        append_dates(df, group, path, clustered)
+        append_dates(df, group, path, clustered, at, deleted)
 
 
 _WRITERS = {None: append_hours, HOUR_FORMAT: append_hours, TABLE_FORMAT: _append_dated}
@@ -112,7 +112,11 @@ def check_format(spark, group):
     in_catalog(spark, group)
 
 
-def append_history(df, group, path, clustered=False):
-    """Append cast rows in the layout of the group's table format."""
+def append_history(df, group, path, clustered=False, at=None, deleted=False):
+    """Append cast rows in the layout of the group's table format.
+
+    ``at`` is the mark that the rows carry as their write time, see ``sinks.ledger``;
+    ``deleted`` says that they are deletions.
+    """
     check_format(df.sparkSession, group)
-    _WRITERS[group.offline.table_format](df, group, path, clustered)
+    _WRITERS[group.offline.table_format](df, group, path, clustered, at, deleted)

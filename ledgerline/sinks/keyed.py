@@ -1,5 +1,6 @@
 """The keyed table: the online store when no external one is plugged in."""
 
+import time
 import uuid
 from contextlib import contextmanager
 
@@ -14,6 +15,7 @@ from ledgerline.sinks.history import cluster_by
 # Stored beside the features, so they must not be names of features.
 BUCKET = "ledgerline_bucket"
 SEQUENCE = "ledgerline_sequence"
+DELETED = "ledgerline_deleted"
 VERSION_SCHEMA = "version bigint, buckets bigint"
 BUCKETS = 64
 
@@ -91,14 +93,20 @@ class KeyedTable:
         return FeatureStoreError(TABLE_BUSY.format(path=self.path, what=what))
 
     @contextmanager
-    def _putting(self):
+    def _putting(self, wait):
         """A mark while a put runs. It is made before the look for a compaction, which
-        looks for marks after making its own: one of the two sees the other."""
+        looks for marks after making its own: one of the two sees the other. A put that
+        waits takes its mark back meanwhile, so the compaction is not refused for it."""
         system, mark = self._files("_puts", uuid.uuid4().hex)
+        until = time.monotonic() + wait
         system.createNewFile(mark)
         try:
-            if self._exists("_compacting"):
-                raise self._busy("it is being compacted")
+            while self._exists("_compacting"):
+                if time.monotonic() >= until:
+                    raise self._busy("it is being compacted")
+                system.delete(mark, False)
+                time.sleep(min(1.0, wait))
+                system.createNewFile(mark)
             yield
         finally:
             system.delete(mark, False)
@@ -127,7 +135,11 @@ class KeyedTable:
     def _schema(self):
         return T.StructType(
             self.group.schema().fields
-            + [T.StructField(SEQUENCE, T.LongType()), T.StructField(BUCKET, T.LongType())]
+            + [
+                T.StructField(SEQUENCE, T.LongType()),
+                T.StructField(DELETED, T.BooleanType()),
+                T.StructField(BUCKET, T.LongType()),
+            ]
         )
 
     def _bucket(self, identifier):
@@ -140,17 +152,30 @@ class KeyedTable:
         rows = cluster_by(bucketed, [BUCKET]).sortWithinPartitions(F.col(BUCKET), identifier)
         rows.write.partitionBy(BUCKET).mode(mode).parquet(folder)
 
-    def put(self, df, sequence=0):
+    def put(self, df, sequence=0, wait=0):
         """Append cast rows; ``sequence`` decides between equal event times.
 
         It is a number for the whole batch or a column of ``df`` to copy it from. Only
-        the latest row per identifier of the batch is written.
+        the latest row per identifier of the batch is written. ``wait`` says for how many
+        seconds a compaction that is under way is waited for; then the put is refused.
         """
+        self._put(df, sequence, wait, False)
+
+    def delete(self, df, sequence=0, wait=0):
+        """Delete the records of identifiers as of an event time, the two columns of ``df``.
+
+        A deletion is a record of its own: reads leave an identifier out whose latest record
+        is one, and a record with a later event time brings it back. ``compact`` keeps
+        deletions, so that an earlier record that arrives later stays deleted.
+        """
+        self._put(df, sequence, wait, True)
+
+    def _put(self, df, sequence, wait, deleted):
         order = named(sequence).cast("bigint") if isinstance(sequence, str) else F.lit(sequence)
-        rows = df.withColumn(SEQUENCE, order.cast("bigint"))
+        rows = df.withColumns({SEQUENCE: order.cast("bigint"), DELETED: F.lit(deleted)})
         absent = [f for f in self.group.schema().fields if f.name not in df.columns]
         rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
-        with self._putting():
+        with self._putting(wait):
             if not self._exists("versions"):
                 self._point_to(0, "ignore")
             self._write(
@@ -164,9 +189,15 @@ class KeyedTable:
     def _log(self):
         return self.spark.read.schema(self._schema()).parquet(self._folder(self.version()))
 
+    def _latest(self, rows):
+        """The latest record per identifier among rows of the log, without deleted ones."""
+        latest = latest_per_record(rows.drop(BUCKET), self.group, SEQUENCE)
+        there = ~F.coalesce(F.col(DELETED), F.lit(False))
+        return latest.filter(there).drop(SEQUENCE, DELETED)
+
     def read(self):
         """The latest record of every identifier."""
-        return latest_per_record(self._log().drop(BUCKET), self.group, SEQUENCE).drop(SEQUENCE)
+        return self._latest(self._log())
 
     def get(self, *identifiers):
         """The latest records of a few given identifiers."""
@@ -176,7 +207,7 @@ class KeyedTable:
             F.col(BUCKET).isin([self._bucket(w) for w in wanted])
             & named(self.group.record_identifier).isin(wanted)
         )
-        return latest_per_record(rows.drop(BUCKET), self.group, SEQUENCE).drop(SEQUENCE)
+        return self._latest(rows)
 
     def lookup(self, ids):
         """The latest records whose identifier is in the one column of ``ids``.
@@ -188,8 +219,8 @@ class KeyedTable:
         """
         identifier = self.group.record_identifier
         wanted = ids.select(named(ids.columns[0]).alias(identifier)).distinct()
-        rows = self._log().drop(BUCKET).join(wanted, identifier, "left_semi")
-        return latest_per_record(rows, self.group, SEQUENCE).drop(SEQUENCE)
+        rows = self._log().join(wanted, identifier, "left_semi")
+        return self._latest(rows)
 
     def compact(self, keep=1):
         """Rewrite to one row per identifier, switch to the new folder, drop old ones.

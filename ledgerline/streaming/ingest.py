@@ -17,6 +17,8 @@ from ledgerline.operators.names import ROW_ERRORS_COLUMN, check_names
 from ledgerline.sinks.history import WRITE_OPTIONS, check_format, cluster_by
 
 SEQUENCE_SCHEMA = "sequence bigint"
+# Seconds for which a micro-batch waits for a compaction of its table.
+COMPACTION_WAIT = 3600
 
 
 def _file_query(df, path, checkpoint, partition_columns=(), trigger=None):
@@ -85,6 +87,7 @@ def merge_stream(stream, table, quarantine, checkpoint, trigger=None, strict=Fal
     the quarantine exactly once, with their error. The time of the first put of a batch
     decides between equal event times. It is kept, so a batch that is replayed after a
     failure, even after later ones, puts the same records again, which changes nothing.
+    A compaction that is under way is waited for.
     """
     group = table.group
     check_names(stream.columns, group)
@@ -92,7 +95,8 @@ def merge_stream(stream, table, quarantine, checkpoint, trigger=None, strict=Fal
     sequences = f"{checkpoint}/sequences"
 
     def put(batch, batch_id):
-        table.put(batch, _sequence_of(batch.sparkSession, sequences, batch_id))
+        sequence = _sequence_of(batch.sparkSession, sequences, batch_id)
+        table.put(batch, sequence, wait=COMPACTION_WAIT)
 
     merge = (
         rows.writeStream.foreachBatch(put)

@@ -1,0 +1,117 @@
+"""Differences between what was sent and a history: the records and columns that differ, as rows."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline import FeatureGroup, FeatureStore, OfflineStore
+from ledgerline.operators.differences import differences, differing_cells
+
+FEATURES = (("id", "Integral"), ("at", "Fractional"), ("v", "Fractional"), ("w", "String"))
+HOURS = FeatureGroup("g", "id", "at", FEATURES, offline=OfflineStore())
+DATES = FeatureGroup("d", "id", "at", FEATURES, offline=OfflineStore("Iceberg"))
+SCHEMA = "id long, at double, v double, w string"
+HOUR = 3600.0
+
+
+def records(n=300):
+    return [(i % 90, HOUR * (i % 50), float(i), None if i % 7 == 0 else f"w{i}") for i in range(n)]
+
+
+def damaged(rows, seed=3):
+    """Rows lost, changed in one or two columns or in time, doubled, added; most left alone."""
+    rng, out = random.Random(seed), []
+    for row in rows:
+        lot = rng.randrange(40)
+        if lot == 0:
+            continue
+        if lot == 1:
+            row = (*row[:2], row[2] + 1, row[3])
+        if lot == 2:
+            row = (*row[:2], None, "other")
+        if lot == 3:
+            row = (row[0], row[1] + 2 * HOUR, *row[2:])
+        out += [row] * (2 if lot == 4 else 1)
+    return [*out, (1000, 5.0, 1.0, None), (1000, 5.0, 1.0, None), (None, 7.0, 1.0, "x")]
+
+
+def brute_force(sent, stored):
+    sides = [defaultdict(Counter), defaultdict(Counter)]
+    for side, rows in zip(sides, (sent, stored), strict=True):
+        for row in rows:
+            side[row[:2]][row] += 1
+    out = []
+    for key in {*sides[0], *sides[1]}:
+        a, b = sides[0][key], sides[1][key]
+        if a == b:
+            continue
+        if not b:
+            out.append((*key, "missing", None, None, None))
+        elif not a:
+            out.append((*key, "extra", None, None, None))
+        elif a.total() > 1 or b.total() > 1:
+            out.append((*key, "repeated", None, str(a.total()), str(b.total())))
+        else:
+            (x,), (y,) = a, b
+            for i, name in ((2, "v"), (3, "w")):
+                if x[i] != y[i]:
+                    texts = [None if t is None else str(t) for t in (x[i], y[i])]
+                    out.append((*key, "changed", name, *texts))
+    return sorted(out, key=repr)
+
+
+def stored_in(spark, path, group, rows):
+    store = FeatureStore(spark, str(path))
+    store.ingest(spark.createDataFrame(rows, SCHEMA).filter("id is not null"), group)
+    return store.history(group)
+
+
+@pytest.mark.parametrize("group", [HOURS, DATES], ids=["hours", "dates"])
+@pytest.mark.parametrize("buckets", [1, 64])
+def test_against_brute_force(spark, tmp_path, group, buckets):
+    sent = records()
+    there = [r for r in damaged(sent) if r[0] is not None]
+    stored = stored_in(spark, tmp_path, group, there)
+    found = differences(spark.createDataFrame(sent, SCHEMA), stored, group, buckets)
+    assert found.columns == ["id", "at", "difference", "column", "sent", "stored"]
+    assert sorted(map(tuple, found.collect()), key=repr) == brute_force(sent, there)
+
+
+def test_equal_sides_in_other_order_and_types(spark, tmp_path):
+    sent = [*records(), *records(40)]
+    stored = stored_in(spark, tmp_path, HOURS, sent[::-1])
+    narrow = spark.createDataFrame(sent, SCHEMA).withColumn("id", F.col("id").cast("int"))
+    assert differing_cells(narrow, stored, HOURS).collect() == []
+    assert differences(narrow.repartition(5), stored, HOURS).collect() == []
+
+
+def test_rows_without_a_time_and_empty_sides(spark, tmp_path):
+    sent = spark.createDataFrame([(1, None, 1.0, "a"), (2, 5.0, 2.0, "b")], SCHEMA)
+    stored = stored_in(spark, tmp_path, HOURS, [(2, 5.0, 2.0, "b")])
+    assert [tuple(r)[:3] for r in differences(sent, stored, HOURS).collect()] == [(1, None, "missing")]
+    assert len(differences(sent.limit(0), stored, HOURS).collect()) == 1
+    assert differences(sent.limit(0), stored.limit(0), HOURS).collect() == []
+
+
+def test_equal_hours_are_not_read_again(spark, conf, tmp_path, plan):
+    conf("spark.sql.maxMetadataStringLength", "10000")
+    sent = [(i, HOUR * i, 1.0, "w") for i in range(60)]
+    stored = stored_in(spark, tmp_path, HOURS, [(*r[:2], 2.0, r[3]) if r[0] in (7, 9) else r for r in sent])
+    found = differences(spark.createDataFrame(sent, SCHEMA), stored, HOURS)
+    scans = [line for line in plan(found).splitlines() if "FileScan" in line]
+    pruned = [re.search(r"PartitionFilters: \[.*? IN \((.*?)\)", line) for line in scans]
+    (folders,) = [set(m.group(1).split(",")) for m in pruned if m]
+    assert folders == {"1970/01/01/07", "1970/01/01/09"}
+    assert sorted(r["id"] for r in found.collect()) == [7, 9]
+
+
+def test_a_hot_hour_is_combined_before_the_shuffle(spark, tmp_path, plan):
+    rows = spark.range(2000).select("id", F.lit(5.0).alias("at"), F.rand(1).alias("v"), F.lit("w").alias("w"))
+    store = FeatureStore(spark, str(tmp_path))
+    store.ingest(rows, HOURS)
+    cells = differing_cells(rows, store.history(HOURS), HOURS)
+    assert plan(cells).count("Exchange hashpartitioning") == 1 and "partial_sum" in plan(cells)
+    assert cells.collect() == []

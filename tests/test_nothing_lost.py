@@ -292,3 +292,36 @@ def test_types_that_widen_are_unchanged(spark, exact):
     sent = spark.range(10).select(F.col("id").cast("int").alias("id"), F.lit(0.1).cast("float").alias("v"))
     kept = sent.select(F.col("id").cast("long").alias("id"), F.lit(0.1).alias("v"))
     assert reconcile(sent, kept, "id", exact).first()["n_changed"] == 10
+
+
+def test_a_merge_stream_waits_for_a_compaction(spark, tmp_path):
+    table = keyed(spark, tmp_path, 4)
+    table.put(record(spark, 99, 1.0))
+    stream = as_stream(spark, raw(spark), str(tmp_path / "in"))
+    with table._compacting():
+        queries = merge_stream(stream, table, str(tmp_path / "q"), str(tmp_path / "c"))
+        queries[1].awaitTermination()
+        assert not queries[0].awaitTermination(3) and queries[0].exception() is None
+        with pytest.raises(FeatureStoreError, match="being compacted"):
+            table.put(record(spark, 98, 1.0), wait=1)
+    all_of(queries)
+    assert ids(table.read()) == {99} | {i for i in range(40) if i % 5 != 2}
+
+
+def test_names_of_columns_do_not_look_like_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(10).selectExpr("id", "1 as Exchange", "2 as InMemoryTableScan").coalesce(1).write.parquet(path)
+    one = spark.read.parquet(path)
+    assert spread_for_puts(one).rdd.getNumPartitions() == 4
+    assert spread_for_puts(one.groupBy("id").count()).columns == ["id", "count"]
+    cached = one.cache()
+    assert spread_for_puts(cached) is cached
+    cached.unpersist()
+
+
+def test_sequence_zero_is_a_sequence(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path / "s"))
+    for sequence, value in ((5, "5"), (0, "0")):
+        row = spark.createDataFrame([("1", "2024-01-01", value)], RAW)
+        store.ingest(row, GROUP, ["OnlineStore"], sequence=sequence)
+    assert store.online(GROUP).read().first()["v"] == 5.0

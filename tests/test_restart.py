@@ -1,0 +1,290 @@
+"""Ingests with a token go on where they were cut off; checks happen while rows are written."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline import (
+    FeatureGroup,
+    FeatureStore,
+    OfflineStore,
+    RecordIngestionError,
+    ValidationError,
+)
+from ledgerline.functions.history import AUDIT_COLUMNS
+from ledgerline.operators.checks import valid_rows
+from ledgerline.sinks.ledger import Ledger
+
+FEATURES = (("id", "Integral"), ("at", "String"), ("v", "Fractional"))
+GROUP = FeatureGroup("g", "id", "at", FEATURES, online=True, offline=OfflineStore())
+DATED = FeatureGroup("d", "id", "at", FEATURES, offline=OfflineStore("Iceberg"))
+RAW = "id string, at string, v string"
+OFFLINE = ["OfflineStore"]
+
+
+def rows(spark, n=60, faulty=False):
+    """Four days; every row of id 7 is there three times, a third of all has one time."""
+    listed = [
+        (
+            str(i),
+            "2024-01-02T03:00:00Z" if i % 3 == 0 else f"2024-01-0{1 + i % 4}T0{i % 7}:30:00Z",
+            "bad" if faulty and i % 11 == 5 else f"{i}.5",
+        )
+        for i in range(n)
+    ]
+    return spark.createDataFrame(listed + [listed[7]] * 2, RAW)
+
+
+class CutOff(FeatureStore):
+    """Fails in the given append, after ``part`` of its rows have been written."""
+
+    def __init__(self, *args, at, part, **options):
+        super().__init__(*args, **options)
+        self.left, self.part = at, part
+
+    def _append(self, df, *args, **options):
+        self.left -= 1
+        if self.left:
+            return super()._append(df, *args, **options)
+        if self.part:
+            super()._append(df.filter(self.part), *args, **options)
+        raise ConnectionError("cut off")
+
+
+def content(df):
+    return sorted(map(tuple, df.drop(*AUDIT_COLUMNS).collect()), key=repr)
+
+
+def once(spark, tmp_path, group=GROUP, **options):
+    store = FeatureStore(spark, str(tmp_path / "once"), **options)
+    store.ingest(rows(spark), group, OFFLINE)
+    return content(store.history(group))
+
+
+class Counted:
+    """A frame that tells how often its rows were computed."""
+
+    def __init__(self, df):
+        self.rows = df.sparkSession.sparkContext.accumulator(0)
+        count = self.rows
+
+        def each(batches):
+            for batch in batches:
+                count.add(batch.num_rows)
+                yield batch
+
+        self.df = df.mapInArrow(each, df.schema)
+
+
+# Restarts -----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("part", [None, "true", "id % 2 = 0"], ids=["none", "all", "some"])
+@pytest.mark.parametrize("group", [GROUP, DATED], ids=["hours", "dates"])
+@pytest.mark.parametrize("at", [1, 3])
+def test_a_restart_gives_the_history_of_one_ingest(spark, tmp_path, at, group, part):
+    root = str(tmp_path / "s")
+    with pytest.raises(ConnectionError):
+        CutOff(spark, root, at=at, part=part).ingest_by_time(
+            rows(spark), group, "day", OFFLINE, token="t"
+        )
+    store = FeatureStore(spark, root)
+    assert len(store.ingest_by_time(rows(spark), group, "day", OFFLINE, token="t")) == 4
+    assert content(store.history(group)) == once(spark, tmp_path, group)
+
+
+def test_a_restart_after_several_failures_and_beside_other_ingests(spark, tmp_path):
+    root, store = str(tmp_path / "s"), FeatureStore(spark, str(tmp_path / "s"))
+    # The same rows by another ingest are not mistaken for those of the token.
+    store.ingest(rows(spark), GROUP, OFFLINE)
+    for at, part in ((2, "id % 2 = 0"), (1, "id % 3 = 0"), (2, None)):
+        with pytest.raises(ConnectionError):
+            CutOff(spark, root, at=at, part=part).ingest_by_time(
+                rows(spark), GROUP, "day", OFFLINE, token="t"
+            )
+    store.ingest_by_time(rows(spark), GROUP, "day", OFFLINE, token="t")
+    one = once(spark, tmp_path)
+    assert content(store.history(GROUP)) == sorted(one + one, key=repr)
+
+
+def test_a_finished_token_writes_nothing_and_another_one_does(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path))
+    slices = store.ingest_by_time(rows(spark), GROUP, "day", OFFLINE, token="t")
+    assert store.ingest_by_time(rows(spark), GROUP, "day", OFFLINE, token="t") == slices
+    assert store.history(GROUP).count() == 62
+    store.ingest_by_time(rows(spark), GROUP, "day", OFFLINE, token="u")
+    assert store.history(GROUP).count() == 124
+    ledger = Ledger(spark, f"{tmp_path}/ledger/g", "t")
+    assert ledger.closed and ledger.slices == slices
+    assert not (tmp_path / "ledger" / "g" / ledger.path.rsplit("/", 1)[1] / "staged").exists()
+
+
+def test_an_input_that_cannot_be_repeated_is_staged_once(spark, tmp_path):
+    root, counted = str(tmp_path / "s"), Counted(rows(spark).withColumn("v", F.rand()))
+    with pytest.raises(ConnectionError):
+        CutOff(spark, root, at=2, part="id % 2 = 0").ingest_by_time(
+            counted.df, GROUP, "day", OFFLINE, token="t"
+        )
+    store = FeatureStore(spark, root)
+    store.ingest_by_time(counted.df, GROUP, "day", OFFLINE, token="t")
+    assert counted.rows.value == 62 and store.history(GROUP).count() == 62
+
+
+def test_restart_into_both_stores(spark, tmp_path):
+    root = str(tmp_path / "s")
+    with pytest.raises(ConnectionError):
+        CutOff(spark, root, at=2, part="id % 2 = 0", buckets=4).ingest_by_time(
+            rows(spark, faulty=True), GROUP, "day", token="t"
+        )
+    store = FeatureStore(spark, root, buckets=4)
+    for _ in range(2):
+        with pytest.raises(RecordIngestionError, match="5 records failed"):
+            store.ingest_by_time(rows(spark, faulty=True), GROUP, "day", token="t")
+    good = valid_rows(rows(spark, faulty=True), GROUP).select(F.col("id").cast("long"), "at")
+    history = store.history(GROUP).select("id", "at")
+    assert sorted(map(tuple, history.collect())) == sorted(map(tuple, good.collect()))
+    assert store.online(GROUP).read().count() == good.distinct().count()
+    assert {r["v"] for r in store.failed_records().collect()} == {"bad"}
+
+
+def test_restart_with_an_external_put(spark, tmp_path):
+    def put(client, record, target):
+        if record[0]["value_as_string"] == "9":
+            raise ValueError("refused")
+
+    root = str(tmp_path / "s")
+    with pytest.raises(ConnectionError):
+        CutOff(spark, root, at=2, part="id % 2 = 0", put=put).ingest_by_time(
+            rows(spark), GROUP, "day", token="t"
+        )
+    store = FeatureStore(spark, root, put=put)
+    with pytest.raises(RecordIngestionError, match="1 records failed"):
+        store.ingest_by_time(rows(spark), GROUP, "day", token="t")
+    assert sorted(r["id"] for r in store.history(GROUP).collect()) == sorted(
+        [i for i in range(60) if i != 9] + [7, 7]
+    )
+
+
+def test_a_whole_ingest_with_a_token(spark, tmp_path):
+    root = str(tmp_path / "s")
+    with pytest.raises(ConnectionError):
+        CutOff(spark, root, at=1, part="id % 2 = 0").ingest(rows(spark), GROUP, OFFLINE, token="t")
+    store = FeatureStore(spark, root)
+    for _ in range(2):
+        store.ingest(rows(spark), GROUP, OFFLINE, token="t")
+    assert content(store.history(GROUP)) == once(spark, tmp_path)
+
+
+def test_a_refused_input_can_be_sent_again_with_its_token(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path))
+    for ingest in (store.ingest, store.ingest_by_time):
+        with pytest.raises(ValidationError):
+            ingest(rows(spark, faulty=True), GROUP, target_stores=OFFLINE, token="t")
+    assert not (tmp_path / "offline").exists()
+    store.ingest_by_time(rows(spark), GROUP, "day", OFFLINE, token="t")
+    assert store.history(GROUP).count() == 62
+
+
+def test_restart_with_times_beyond_dates_of_python(spark, tmp_path):
+    group = FeatureGroup(
+        "f", "id", "at", (("id", "Integral"), ("at", "Fractional")), offline=OfflineStore()
+    )
+    far = spark.createDataFrame([(i, 4e11 + i % 3) for i in range(9)], "id long, at double")
+    with pytest.raises(ConnectionError):
+        CutOff(spark, str(tmp_path), at=1, part="id % 2 = 0").ingest(far, group, token="t")
+    store = FeatureStore(spark, str(tmp_path))
+    store.ingest(far, group, token="t")
+    assert sorted(r["id"] for r in store.history(group).collect()) == list(range(9))
+
+
+def test_slices_replayed_with_their_sequence_change_nothing(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path), buckets=4)
+    for sequence, v in ((1, "1"), (2, "2"), (1, "1"), (0, "0")):
+        row = spark.createDataFrame([("1", "2024-01-01", v)], RAW)
+        store.ingest_by_time(row, GROUP, "day", ["OnlineStore"], sequence=sequence)
+        store.ingest(row, GROUP, ["OnlineStore"], sequence=sequence)
+    assert store.online(GROUP).read().first()["v"] == 2.0
+
+
+# One pass -------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("group", [GROUP, DATED], ids=["hours", "dates"])
+def test_valid_input_is_read_once(spark, tmp_path, group):
+    counted = Counted(rows(spark))
+    store = FeatureStore(spark, str(tmp_path / "s"))
+    store.ingest(counted.df, group, OFFLINE)
+    assert counted.rows.value == 62
+    assert content(store.history(group)) == once(spark, tmp_path, group, buckets=1)
+    store.ingest_by_time(counted.df, group, "day", OFFLINE)
+    assert counted.rows.value == 124 and store.history(group).count() == 124
+    store.ingest(counted.df, group, OFFLINE, one_pass=False)
+    assert counted.rows.value == 3 * 62 + 62
+
+
+def hidden(tmp_path):
+    return [p for p in tmp_path.rglob("*") if "_staging" in p.name]
+
+
+def test_nothing_is_seen_of_refused_input(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path / "s"))
+    with pytest.raises(ValidationError) as caught:
+        store.ingest(rows(spark, faulty=True), GROUP, OFFLINE)
+    assert not (tmp_path / "s" / "offline" / "g").exists()
+    assert caught.value.total == 5 and caught.value.report[0]["id"] == "16"
+    store.ingest(rows(spark), GROUP, OFFLINE)
+    before = content(store.history(GROUP))
+    with pytest.raises(ValidationError):
+        store.ingest(rows(spark, faulty=True), GROUP, OFFLINE)
+    assert content(store.history(GROUP)) == before and hidden(tmp_path) == []
+
+
+def test_a_fault_that_shows_once_still_refuses(spark, tmp_path):
+    flag = str(tmp_path / "seen")
+
+    def each(batches):
+        import os
+
+        import pyarrow as pa
+
+        first = not os.path.exists(flag)
+        open(flag, "w").close()
+        for batch in batches:
+            if first:
+                bad = pa.array(["bad"] * batch.num_rows)
+                batch = pa.RecordBatch.from_arrays([*batch.columns[:2], bad], ["id", "at", "v"])
+            yield batch
+
+    df = rows(spark).coalesce(1).mapInArrow(each, RAW)
+    store = FeatureStore(spark, str(tmp_path / "s"))
+    with pytest.raises(ValidationError) as caught:
+        store.ingest(df, GROUP, OFFLINE)
+    assert caught.value.total == 62 and caught.value.report[0]["id"] == "0"
+    assert not (tmp_path / "s" / "offline" / "g").exists()
+
+
+def test_one_pass_without_adaptive_plans(spark, conf, tmp_path):
+    conf("spark.sql.adaptive.enabled", "false")
+    store = FeatureStore(spark, str(tmp_path / "s"))
+    store.ingest(rows(spark), GROUP, OFFLINE)
+    with pytest.raises(ValidationError):
+        store.ingest(rows(spark, faulty=True), GROUP, OFFLINE)
+    assert store.history(GROUP).count() == 62 and hidden(tmp_path) == []
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_path):
+    broken = rows(spark).withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+    store = FeatureStore(spark, str(tmp_path / "s"))
+    with pytest.raises(Exception, match="broken"):
+        store.ingest(broken, GROUP, OFFLINE)
+    assert hidden(tmp_path) == [] and not (tmp_path / "s" / "offline" / "g").exists()
+
+
+def test_an_empty_input(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path / "s"))
+    store.ingest(rows(spark).limit(0), GROUP, OFFLINE)
+    # Found to be empty only while it runs.
+    none = rows(spark).join(rows(spark).filter("id = 'x'").select("id").distinct(), "id")
+    store.ingest(none, GROUP, OFFLINE)
+    store.ingest_by_time(none, GROUP, "day", OFFLINE, token="t")
+    store.ingest(rows(spark), GROUP, OFFLINE)
+    assert store.history(GROUP).count() == 62

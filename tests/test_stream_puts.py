@@ -1,0 +1,154 @@
+"""A stream into an external store: every row put, failures kept once per batch."""
+
+import json
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline import FeatureGroup, FeatureStore, OfflineStore, ValidationError
+from ledgerline.operators.outcomes import put_target
+from ledgerline.streaming.puts import BATCH, put_source
+
+FEATURES = (("id", "Integral"), ("at", "String"), ("v", "Fractional"))
+GROUP = FeatureGroup("g", "id", "at", FEATURES, online=True, offline=OfflineStore())
+RAW = "id string, at string, v string"
+
+
+def rows(spark, start, n=30):
+    listed = [(str(i), f"2024-01-01T00:00:{i % 60:02}Z", f"{i}.5") for i in range(start, start + n)]
+    return spark.createDataFrame(listed, RAW)
+
+
+def noting(path):
+    """A put that appends what it gets to a file of its process and refuses tens."""
+
+    def open_client():
+        import os
+        import uuid
+
+        os.makedirs(path, exist_ok=True)
+        return open(f"{path}/{uuid.uuid4().hex}", "w")
+
+    def put(client, record, target):
+        values = {r["feature_name"]: r["value_as_string"] for r in record}
+        if int(values["id"]) % 10 == 3:
+            raise ValueError("refused " + values["id"])
+        client.write(values["id"] + " " + str(target["group"]) + "\n")
+
+    return put, open_client
+
+
+def noted(path):
+    lines = [line for file in path.iterdir() for line in file.read_text().splitlines()]
+    assert all(line.endswith(" g") for line in lines)
+    return sorted(int(line.split()[0]) for line in lines)
+
+
+def run(store, spark, source, **options):
+    stream = spark.readStream.schema(RAW).parquet(source)
+    (query,) = store.ingest_stream(stream, GROUP, target_stores=["OnlineStore"], **options)
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def failures(store):
+    return sorted((int(r["id"]), r["online_ingestion_error"]) for r in store.quarantined(GROUP).collect())
+
+
+def refused(n):
+    return [(i, f"refused {i}") for i in range(n) if i % 10 == 3]
+
+
+def test_rows_are_put_and_failures_kept(spark, tmp_path):
+    source, store_path = str(tmp_path / "in"), str(tmp_path / "s")
+    put, open_client = noting(str(tmp_path / "puts"))
+    for start in (0, 30):
+        rows(spark, start).write.mode("append").parquet(source)
+        run(FeatureStore(spark, store_path, put=put, open_client=open_client), spark, source)
+    store = FeatureStore(spark, store_path)
+    assert noted(tmp_path / "puts") == [i for i in range(60) if i % 10 != 3]
+    assert failures(store) == refused(60)
+    assert store.quarantined(GROUP).columns == ["id", "at", "v", "online_ingestion_error"]
+
+
+def test_a_batch_that_is_run_again_commits_once(spark, tmp_path):
+    source, store_path = str(tmp_path / "in"), str(tmp_path / "s")
+    put, open_client = noting(str(tmp_path / "puts"))
+    rows(spark, 0).write.parquet(source)
+    run(FeatureStore(spark, store_path, put=put, open_client=open_client), spark, source)
+    home = tmp_path / "s" / "streams" / "g" / "stream"
+    # The driver ended after the batch and before its checkpoint.
+    for name in ("0", ".0.crc"):
+        (home / "puts" / "commits" / name).unlink()
+    run(FeatureStore(spark, store_path, put=put, open_client=open_client), spark, source)
+    assert noted(tmp_path / "puts") == sorted([i for i in range(30) if i % 10 != 3] * 2)
+    assert failures(FeatureStore(spark, store_path)) == refused(30)
+    assert list((home / "quarantine" / "_pending").iterdir()) == []
+    mark = json.loads((home / "quarantine" / "_committed" / "0").read_text())
+    assert mark == {"rows": 30, "failed": 3}
+
+
+def writer(tmp_path, put=lambda *_: 1 / 0):
+    home = tmp_path / "home"
+    home.mkdir(exist_ok=True)
+    source = put_source("x", put, None, put_target("g"), ["id", "error"], f"file://{home}")
+    return source({}).streamWriter(None, False), home
+
+
+def batch(*ids):
+    kind = pa.list_(pa.struct([("feature_name", pa.string()), ("value_as_string", pa.string())]))
+    columns = [pa.array(ids), pa.array([[]] * len(ids), kind), pa.array([None] * len(ids), pa.string())]
+    return pa.RecordBatch.from_arrays(columns, ["0", "1", "2"])
+
+
+def stored(home):
+    import pyarrow.parquet as pq
+
+    return sorted(i for f in home.glob(f"{BATCH}=*/*.parquet") for i in pq.read_table(f)["id"].to_pylist())
+
+
+def test_commit_after_a_commit_that_was_cut_off(tmp_path):
+    sink, home = writer(tmp_path)
+    first = sink.write(iter([batch(1, 2), batch(3)]))
+    (home / f"{BATCH}=0").mkdir()
+    (home / "_pending" / first.file).rename(home / f"{BATCH}=0" / first.file)
+    again = sink.write(iter([batch(1, 2, 3)]))
+    sink.commit([again, None], 0)
+    assert stored(home) == [1, 2, 3]
+    late = sink.write(iter([batch(1, 2, 3)]))
+    sink.commit([late], 0)
+    sink.commit([sink.write(iter([batch(4)]))], 1)
+    assert stored(home) == [1, 2, 3, 4] and list((home / "_pending").iterdir()) == []
+
+
+def test_abort_removes_what_tasks_wrote(tmp_path):
+    sink, home = writer(tmp_path)
+    sink.abort([sink.write(iter([batch(1)])), None, sink.write(iter([]))], 0)
+    assert list((home / "_pending").iterdir()) == [] and stored(home) == []
+
+
+def test_faulty_rows_are_put_unless_they_are_to_be_checked(spark, tmp_path):
+    source = str(tmp_path / "in")
+    spark.createDataFrame([("1", "2024-01-01", "bad"), ("2", "2024-01-01", "2")], RAW).write.parquet(source)
+    for check, expected in ((False, []), (True, [(1, "v not valid")])):
+        store = FeatureStore(spark, str(tmp_path / str(check)), put=lambda *_: None)
+        run(store, spark, source, check_records=check)
+        assert failures(store) == expected
+
+
+def test_names_stores_and_odd_columns(spark, tmp_path):
+    source = str(tmp_path / "in")
+    rows(spark, 0).write.parquet(source)
+    store = FeatureStore(spark, str(tmp_path / "s"), put=lambda *_: None)
+    stream = spark.readStream.schema(RAW).parquet(source)
+    with pytest.raises(ValidationError, match="that store only"):
+        store.ingest_stream(stream, GROUP)
+    with pytest.raises(ValidationError, match="unknown"):
+        store.ingest_stream(stream.withColumn("x", F.lit(1)), GROUP, target_stores=["OnlineStore"])
+    odd = FeatureGroup("o", "a b", "0", (("a b", "Integral"), ("0", "String")), online=True)
+    named = stream.select(F.col("id").cast("long").alias("a b"), F.col("at").alias("0"))
+    failing = FeatureStore(spark, str(tmp_path / "odd"), put=lambda *_: [][0])
+    (query,) = failing.ingest_stream(named, odd)
+    query.awaitTermination()
+    assert {r["a b"] for r in failing.quarantined(odd).collect()} == set(range(30))
