@@ -365,4 +365,18 @@ ORACLES = {
         UNION ALL
         SELECT DISTINCT user_id, -1, 'deletion' FROM users_in WHERE user_id % 5 = 0
     """,
+    "compacted_history": _HISTORY,
+    "streamed_missing": f"""
+        WITH {_EVENTS},
+        lost AS (
+            SELECT *, CAST(event_time AS TIMESTAMP) AS moment,
+                   substr(event_time, 12, 2) < '06' AND event_id % 29 = 1 AS is_lost
+            FROM events_in),
+        passed AS (
+            SELECT least(max(moment), max(moment) FILTER (WHERE NOT is_lost))
+                   - INTERVAL 2 DAY AS until
+            FROM lost)
+        SELECT event_id, event_time, user_id, event_type, value, props
+        FROM lost, passed WHERE is_lost AND moment <= until
+    """,
 }

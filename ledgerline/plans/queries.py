@@ -27,6 +27,7 @@ from ledgerline.sources.catalog import usable_groups
 from ledgerline.sources.delimited import read_csv
 from ledgerline.sources.history import read_date, read_hour, read_hours
 from ledgerline.streaming.ingest import ingest_stream, merge_stream
+from ledgerline.streaming.missing import missing_stream
 
 LOOKUP_BUCKETS = 16
 
@@ -404,6 +405,29 @@ def streaming_date_ingest(spark, sf_dir):
     return store.history(EVENTS_BY_DATE).drop(*AUDIT_COLUMNS)
 
 
+def compacted_history(spark, sf_dir):
+    """Three batches leave three small files an hour; packed, the rows are the same."""
+    store = _store(spark, "compacted_history")
+    events = inputs.events(spark, sf_dir)
+    for part in range(3):
+        store.ingest(events.filter(F.col("event_id") % 3 == part), EVENTS, ["OfflineStore"])
+    store.compact_history(EVENTS)
+    return store.history(EVENTS).drop(*AUDIT_COLUMNS)
+
+
+def streamed_missing(spark, sf_dir):
+    """Events that a stream sends and a history, read as a stream, has not got two days later."""
+    store = _store(spark, "streamed_missing")
+    events = inputs.events(spark, sf_dir)
+    store.ingest(inputs.damaged_events(events), EVENTS, ["OfflineStore"])
+    stored = spark.readStream.schema(store.history(EVENTS).schema).parquet(store.history_path(EVENTS))
+    base = scratch_dir(spark, "streamed_missing")
+    paths = f"{base}/missing", f"{base}/checkpoint"
+    sent = inputs.event_stream(spark, sf_dir)
+    missing_stream(sent, stored, EVENTS, *paths, delay="2 days").awaitTermination()
+    return spark.read.schema(events.schema).parquet(paths[0])
+
+
 def streamed_put_failures(spark, sf_dir):
     """What a put refuses of a stream of events."""
     store = _store(spark, "streamed_put_failures", put=_fails_on_hundreds(EVENTS))
@@ -479,4 +503,6 @@ QUERIES = {
     "streamed_put_failures": streamed_put_failures,
     "history_differences": history_differences,
     "deleted_records": deleted_records,
+    "compacted_history": compacted_history,
+    "streamed_missing": streamed_missing,
 }

@@ -41,6 +41,7 @@ from ledgerline.operators.outcomes import (
 from ledgerline.operators.partitions import spread_for_puts
 from ledgerline.operators.slices import SLICE, with_time_slice
 from ledgerline.session import pin_utc, remove_scratch, scratch_dir
+from ledgerline.sinks.compaction import compact_history
 from ledgerline.sinks.history import append_history, check_format, cluster_by
 from ledgerline.sinks.keyed import KeyedTable
 from ledgerline.sinks.ledger import Ledger
@@ -476,6 +477,13 @@ class FeatureStore:
         ]
         return reduce(DataFrame.unionByName, parts)
 
+    def compact_history(self, group, target=None):
+        """Pack small files of the history that batches wrote, see ``sinks.compaction``."""
+        group = self.group(group)
+        if in_catalog(self.spark, group):
+            raise ValidationError("A table of a catalogue is compacted by its catalogue.")
+        return compact_history(self.spark, group, self.history_path(group), target)
+
     def differences(self, df, group):
         """What differs between the valid rows of ``df`` and the history, as rows.
 
