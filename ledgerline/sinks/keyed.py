@@ -16,6 +16,7 @@ from ledgerline.sinks.history import cluster_by
 BUCKET = "ledgerline_bucket"
 SEQUENCE = "ledgerline_sequence"
 DELETED = "ledgerline_deleted"
+_BLOOM = "parquet.bloom.filter"
 VERSION_SCHEMA = "version bigint, buckets bigint"
 BUCKETS = 64
 
@@ -150,7 +151,11 @@ class KeyedTable:
         bucketed = rows.withColumn(BUCKET, self._bucket(identifier))
         # The writer sorts by bucket anyway; with the identifier, row groups can be skipped.
         rows = cluster_by(bucketed, [BUCKET]).sortWithinPartitions(F.col(BUCKET), identifier)
-        rows.write.partitionBy(BUCKET).mode(mode).parquet(folder)
+        # Each put spans all identifiers, so bounds do not tell which has one; a Bloom filter
+        # does, of a size that follows the number of identifiers.
+        column = self.group.record_identifier
+        options = {f"{_BLOOM}.enabled#{column}": "true", f"{_BLOOM}.adaptive.enabled": "true"}
+        rows.write.partitionBy(BUCKET).options(**options).mode(mode).parquet(folder)
 
     def put(self, df, sequence=0, wait=0):
         """Append cast rows; ``sequence`` decides between equal event times.

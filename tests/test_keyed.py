@@ -100,3 +100,38 @@ def test_lookup_without_broadcast_shuffles_once_per_side(spark, conf, tmp_path,
     looked = table.lookup(spark.range(5).select(F.col("id")))
     assert plan(looked).count("Exchange hashpartitioning") == 2
     assert looked.count() == 5
+
+
+def scanned_rows(df):
+    """How many rows the scans of a frame gave, once it has been collected."""
+    df.collect()
+    total, plans = 0, [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        elif name == "FileSourceScanExec":
+            total += plan.metrics().apply("numOutputRows").value()
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_a_get_reads_few_row_groups_of_many_puts(spark, tmp_path):
+    """Each put spans all identifiers; only one holds the wanted one."""
+    table = KeyedTable(spark, str(tmp_path / "t"), GROUP, buckets=1)
+    puts = 30
+    for k in range(puts):
+        ids = spark.range(k, 6000 * puts, puts).select(
+            "id", F.lit(1.0).alias("at"), F.lit(0).cast("long").alias("seq"), F.lit("v").alias("v")
+        )
+        table.put(ids.coalesce(1))
+    one = table.get(puts * 17 + 3)
+    assert scanned_rows(one) <= 2 * 6000
+    assert [r["id"] for r in one.collect()] == [puts * 17 + 3]
+    assert scanned_rows(table.get(-5)) <= 6000 and table.get(-5).collect() == []
+    sizes = [f.stat().st_size for f in (tmp_path / "t").rglob("*.parquet") if "v=" in str(f)]
+    assert max(sizes) < 200_000
