@@ -35,13 +35,16 @@ def row_errors(df, group, strict=False):
         value = named(name)
         is_text = isinstance(source, T.StringType)
         target = to_feature(value, source, feature_type, strict)
-        if name == group.event_time:
+        if name == group.event_time and feature_type == "Fractional" and not strict:
+            # Has a timestamp if finite: zero times anything else is NaN. Parsed once.
+            target = F.nanvl(target * F.lit(0.0), F.lit(None).cast("double"))
+        elif name == group.event_time:
             target = to_event_timestamp(target, feature_type, strict)
+        elif is_text and feature_type == "Fractional":
+            # A text that reads as NaN; to a long or a timestamp it does not cast at all.
+            target = F.nanvl(target, F.lit(None).cast("double"))
         fault = F.lit(False) if target is value else target.isNull() & value.isNotNull()
-        # A text that reads as NaN already fails the cast to a long or a timestamp.
-        if is_text and feature_type == "Fractional" and name != group.event_time:
-            fault |= F.coalesce(F.isnan(target), F.lit(False))
-        elif not is_text or (feature_type == "String" and name != group.event_time):
+        if not is_text or (feature_type == "String" and name != group.event_time):
             fault |= is_nan(value, source)
         if name in group.required:
             fault |= value.isNull()
