@@ -3,27 +3,27 @@
 The compiled character map of the model rewrites a text by the longest prefix it knows at
 each place and records, for every byte of the result, where it came from. The rewritten text
 is merged to pieces; each piece's bytes are projected through that record to the bytes of the
-original. Chunks that no merge can cross are remembered, within a fixed bound.
+original. Chunks that no merge can cross are remembered, within a fixed bound; merging
+new ones is left to the library, on text that is rewritten already.
 """
 
-import heapq
 import re
+from array import array
 from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
-from sentencepiece import sentencepiece_model_pb2
+from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
 from ledgerline.llm.shared import map_in_arrow, text_of, text_slices
 
 # Chunks remembered per Python worker, twice at most: the last and the present generation.
 REMEMBERED = 150_000
-# Longer chunks are not remembered, and are merged with a heap.
+# Longer chunks are not remembered.
 LONG_CHUNK = 100
 SPACE = "▁"
-NEVER = float("-inf")
 
 
 class CharacterMap:
@@ -98,29 +98,39 @@ class PieceModel:
         self.map = CharacterMap(rules.precompiled_charsmap)
         self.prefix = rules.add_dummy_prefix
         self.trims = rules.remove_extra_whitespaces
-        self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == kinds.NORMAL}
-        self.score = {p.piece: p.score for p in proto.pieces if p.type == kinds.NORMAL}
+        names = [p.piece for p in proto.pieces]
+        normal = [p.type == kinds.NORMAL for p in proto.pieces]
         by_name = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == kinds.BYTE}
-        self.byte_ids = [by_name[f"<0x{b:02X}>"] for b in range(256)]
-        self.byte_of = np.full(len(proto.pieces), -1, dtype=np.int32)
-        self.byte_of[self.byte_ids] = np.arange(256)
-        self.bytes_taken = np.ones(len(proto.pieces), dtype=np.int64)
-        self.normal_id = [p.type == kinds.NORMAL for p in proto.pieces]
-        self.surface = [""] * len(proto.pieces)
-        for i, p in enumerate(proto.pieces):
-            if p.type == kinds.NORMAL:
-                self.bytes_taken[i] = len(p.piece.encode())
-                self.surface[i] = p.piece.replace(SPACE, " ")
-            elif p.type == kinds.UNKNOWN:
-                self.surface[i] = trained.unk_surface
-        self.chunks = self._chunk_pattern()
+        byte_ids = [by_name[f"<0x{b:02X}>"] for b in range(256)]
+        self.byte_of = np.full(len(names), -1, dtype=np.int32)
+        self.byte_of[byte_ids] = np.arange(256)
+        self.bytes_taken = np.ones(len(names), dtype=np.int64)
+        # What each piece adds to a decoded text; byte pieces add a byte.
+        self.raw = [b""] * len(names)
+        self.blank = [False] * len(names)
+        for i, name in enumerate(names):
+            if normal[i]:
+                self.bytes_taken[i] = len(name.encode())
+                self.raw[i] = name.replace(SPACE, " ").encode()
+                self.blank[i] = name.startswith(SPACE)
+            elif self.byte_of[i] >= 0:
+                self.raw[i] = bytes([self.byte_of[i]])
+            elif proto.pieces[i].type == kinds.UNKNOWN:
+                self.raw[i] = trained.unk_surface.encode()
+        self.is_byte = (self.byte_of >= 0).tolist()
+        self.chunks = self._chunk_pattern([n for n, known in zip(names, normal, strict=True) if known])
         self.now, self.last = {}, {}
+        # Merges text as it is: rewriting has been done.
+        rules.precompiled_charsmap = b""
+        rules.add_dummy_prefix = rules.remove_extra_whitespaces = False
+        self.library = SentencePieceProcessor(model_proto=proto.SerializeToString())
 
-    def _chunk_pattern(self):
+    @staticmethod
+    def _chunk_pattern(names):
         """Splits a rewritten text where no piece reaches over: before blanks, around lines."""
-        if any(SPACE in p.lstrip(SPACE) for p in self.ids):
+        if any(SPACE in name.lstrip(SPACE) for name in names):
             return re.compile(r".+", re.DOTALL)
-        alone = "" if any("\n" in p and len(p) > 1 for p in self.ids) else r"\n"
+        alone = "" if any("\n" in name and len(name) > 1 for name in names) else r"\n"
         return re.compile(rf"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (rf"|{alone}" if alone else ""))
 
     # Rewriting -----------------------------------------------------------------
@@ -165,88 +175,42 @@ class PieceModel:
                 end = places[len(whole)]
         return whole.decode(), np.array([*places[: len(whole)], end], dtype=np.int32)
 
-    # Merging -------------------------------------------------------------------
-
-    def _merged(self, chunk):
-        """The symbols of a chunk after merging: the highest score first, the leftmost of equals."""
-        symbols, score = list(chunk), self.score
-        if len(symbols) > LONG_CHUNK:
-            return self._merged_long(symbols)
-        scores = [score.get(a + b, NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
-        while scores and (best := max(scores)) > NEVER:
-            at = scores.index(best)
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-            del scores[at]
-            if at:
-                scores[at - 1] = score.get(symbols[at - 1] + symbols[at], NEVER)
-            if at < len(scores):
-                scores[at] = score.get(symbols[at] + symbols[at + 1], NEVER)
-        return symbols
-
-    def _merged_long(self, symbols):
-        """The same with a heap; entries whose two sides have changed since are passed over."""
-        score, n = self.score, len(symbols)
-        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        heap = []
-
-        def offer(left):
-            right = after[left]
-            if right >= 0:
-                pair = symbols[left] + symbols[right]
-                if pair in score:
-                    heapq.heappush(heap, (-score[pair], left, pair))
-
-        for left in range(n - 1):
-            offer(left)
-        while heap:
-            _, left, pair = heapq.heappop(heap)
-            right = after[left]
-            if symbols[left] is None or right < 0 or symbols[left] + symbols[right] != pair:
-                continue
-            symbols[left], symbols[right] = pair, None
-            after[left] = after[right]
-            if after[left] >= 0:
-                before[after[left]] = left
-            if before[left] >= 0:
-                offer(before[left])
-            offer(left)
-        return [s for s in symbols if s is not None]
-
-    def _chunk_ids(self, chunk):
-        ids = []
-        for symbol in self._merged(chunk):
-            i = self.ids.get(symbol)
-            if i is None:
-                ids += [self.byte_ids[b] for b in symbol.encode()]
-            else:
-                ids.append(i)
-        return np.array(ids, dtype="<i4").tobytes()
-
-    def _remembered(self, chunk):
-        ids = self.now.get(chunk)
-        if ids is None:
-            ids = self.last.get(chunk)
-            if ids is None:
-                ids = self._chunk_ids(chunk)
-            if len(chunk) <= LONG_CHUNK:
-                self.now[chunk] = ids
-        return ids
-
     # Whole texts ---------------------------------------------------------------
 
-    def encode(self, text):
-        """The ids of a text, and the first byte and the end of each piece in its UTF-8 form.
+    def _remember(self, chunks):
+        """Has the ids of every chunk, as int32 bytes, in ``self.now``; and those that may not stay."""
+        if len(self.now) > REMEMBERED:
+            self.now, self.last = {}, self.now
+        new = []
+        for chunk in chunks:
+            if chunk not in self.now:
+                ids = self.last.get(chunk)
+                if ids is None:
+                    new.append(chunk)
+                else:
+                    self.now[chunk] = ids
+        for chunk, ids in zip(new, self.library.encode(new, num_threads=1), strict=True):
+            self.now[chunk] = array("i", ids).tobytes()
+        return [c for c in new if len(c) > LONG_CHUNK]
+
+    def encode(self, texts):
+        """Per text its ids, and the first byte and the end of each piece in its UTF-8 form.
 
         A character in byte pieces belongs to the last of them; the others are empty.
         """
-        if len(self.now) > REMEMBERED:
-            self.now, self.last = {}, self.now
-        normal, places = self.normal(text.encode())
-        found = self.chunks.findall(normal)
-        try:
-            ids = b"".join(map(self.now.__getitem__, found))
-        except KeyError:
-            ids = b"".join(map(self._remembered, found))
+        normal = [self.normal(text.encode()) for text in texts]
+        found = [self.chunks.findall(text) for text, _ in normal]
+        too_long = self._remember(set().union(*found))
+        out = [
+            self._placed(b"".join(map(self.now.__getitem__, chunks)), places)
+            for chunks, (_, places) in zip(found, normal, strict=True)
+        ]
+        for chunk in too_long:
+            del self.now[chunk]
+        return out
+
+    def _placed(self, ids, places):
+        """Ids with the places that ``places`` gives the bytes of their pieces."""
         ids = np.frombuffer(ids, dtype="<i4")
         edges = np.concatenate([[0], np.cumsum(self.bytes_taken[ids])])
         starts, ends = places[edges[:-1]], places[edges[1:]]
@@ -261,25 +225,23 @@ class PieceModel:
 
     def decode(self, ids):
         """The text of ``ids`` as the library puts it together, one leading blank less."""
-        out, at, takes = [], 0, self.prefix or self.trims
-        while takes and at < len(ids) and self.byte_of[ids[at]] < 0:
-            piece = self.surface[ids[at]]
+        out, at, takes = b"", 0, self.prefix or self.trims
+        while takes and not out and at < len(ids) and not self.is_byte[ids[at]]:
+            out = self.raw[ids[at]]
+            if self.blank[ids[at]]:
+                out, takes = out[1:], self.trims
             at += 1
-            if self.normal_id[ids[at - 1]] and piece.startswith(" "):
-                piece, takes = piece[1:], self.trims
-            if piece:
-                out.append(piece)
-                break
         rest = ids[at:]
-        if (self.byte_of[rest] < 0).all():
-            out += map(self.surface.__getitem__, rest)
-        else:
-            for is_byte, run in groupby(rest, lambda i: self.byte_of[i] >= 0):
-                if is_byte:
-                    out.append(_lenient(bytes(int(self.byte_of[i]) for i in run)))
-                else:
-                    out += map(self.surface.__getitem__, run)
-        return "".join(out)
+        try:
+            return (out + b"".join(map(self.raw.__getitem__, rest))).decode()
+        except UnicodeDecodeError:
+            pass
+        # Some bytes make no character: each run of byte pieces is read by itself.
+        parts = [out.decode()]
+        for is_byte, run in groupby(rest, self.is_byte.__getitem__):
+            run = b"".join(map(self.raw.__getitem__, run))
+            parts.append(_lenient(run) if is_byte else run.decode())
+        return "".join(parts)
 
 
 def _lenient(data):
@@ -320,7 +282,7 @@ def encode_decode(docs, path):
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for start, end in text_slices(texts):
-                encoded = [pieces.encode(t) for t in texts[start:end]]
+                encoded = pieces.encode(texts[start:end])
                 offsets = np.cumsum([0, *(len(e[0]) for e in encoded)]).astype(np.int32)
                 lists = [
                     pa.ListArray.from_arrays(
