@@ -165,7 +165,10 @@ def orders(spark, sf_dir):
 
 
 def narrow_orders(spark, sf_dir):
-    """Orders in types that widen when they are stored: int to long, float to double."""
+    """Orders in types that widen when they are stored: int to long, float to double.
+
+    Keys fit an int up to scale factor 350.
+    """
     return orders(spark, sf_dir).withColumns(
         {
             "o_orderkey": F.col("o_orderkey").cast("int"),

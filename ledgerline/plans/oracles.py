@@ -365,6 +365,7 @@ ORACLES = {
         UNION ALL
         SELECT DISTINCT user_id, -1, 'deletion' FROM users_in WHERE user_id % 5 = 0
     """,
+    "online_touched_merge": f"WITH {_LATEST} SELECT * FROM latest",
     "compacted_history": _HISTORY,
     "streamed_missing": f"""
         WITH {_EVENTS},

@@ -276,6 +276,20 @@ def online_merge(spark, sf_dir):
     return keyed.read()
 
 
+def online_touched_merge(spark, sf_dir):
+    """All users, then again those of a few buckets, of which only these are rewritten."""
+    keyed = _store(spark, "online_touched_merge").online(USERS)
+    rows = inputs.users(spark, sf_dir)
+    late = F.col("event_time") >= inputs.DELETED_AT
+    keyed.put(rows.filter(~late), sequence="event_id")
+    few = F.pmod(F.xxhash64("user_id"), F.lit(LOOKUP_BUCKETS)) < 4
+    keyed.put(rows.filter(late & few), sequence="event_id")
+    keyed.compact_touched()
+    keyed.put(rows.filter(late & ~few), sequence="event_id")
+    keyed.compact_touched()
+    return keyed.read()
+
+
 def deleted_records(spark, sf_dir):
     """Every fifth user is deleted as of a day: who is left online, what the history holds."""
     store, group = _store(spark, "deleted_records"), inputs.USERS_KEPT
@@ -503,6 +517,7 @@ QUERIES = {
     "streamed_put_failures": streamed_put_failures,
     "history_differences": history_differences,
     "deleted_records": deleted_records,
+    "online_touched_merge": online_touched_merge,
     "compacted_history": compacted_history,
     "streamed_missing": streamed_missing,
 }

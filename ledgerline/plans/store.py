@@ -185,12 +185,9 @@ class FeatureStore:
             if ONLINE_STORE in stores:
                 with self._failures_in(group) as kept:
                     self._ingest_records(rows, group, stores, *options, f"{kept}/0")
-            elif rows_checked or staged or not one_pass or in_catalog(self.spark, group):
-                if not rows_checked:
-                    check_rows(rows, group, strict)
-                self._append(rows, group, strict, clustered)
             else:
-                append_if_valid(rows, group, self.history_path(group), strict, clustered)
+                in_passing = one_pass and not staged and not in_catalog(self.spark, group)
+                self._ingest_history(rows, group, strict, rows_checked, clustered, in_passing)
 
     def ingest_by_time(
         self, df, group, unit="day", target_stores=None, strict=False, sequence=None, token=None
@@ -239,7 +236,9 @@ class FeatureStore:
                     if unit is not None:
                         rows = staged.filter(F.col(SLICE).eqNullSafe(value)).drop(SLICE)
                     if offline_only:
-                        self._append(rows, group, strict, clustered, mark, resumed)
+                        self._ingest_history(
+                            rows, group, strict, True, clustered, False, mark, resumed
+                        )
                     else:
                         order = mark if sequence is None else sequence
                         self._ingest_records(
@@ -341,6 +340,17 @@ class FeatureStore:
         finally:
             remove_scratch(self.spark, path)
 
+    def _ingest_history(
+        self, df, group, strict, rows_checked, clustered, in_passing, mark=None, resumed=False
+    ):
+        """Append rows to the history, checked before, in passing, or first of all."""
+        if in_passing and not rows_checked:
+            append_if_valid(df, group, self.history_path(group), strict, clustered)
+            return
+        if not rows_checked:
+            check_rows(df, group, strict)
+        self._append(df, group, strict, clustered, mark, resumed)
+
     def _append(self, df, group, strict, clustered, mark=None, resumed=False):
         rows = cast_features(df, group, strict)
         if resumed:
@@ -430,6 +440,22 @@ class FeatureStore:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
 
+    def remove_failures(self, group, keep=1):
+        """Remove the folders of failed rows but the ``keep`` newest; returns how many went.
+
+        Each online ingest leaves one. Frames of :meth:`failed_records` that are still in use
+        read from theirs.
+        """
+        root = f"{self.root}/failures/{self.group(group).name}"
+        if not self._is_folder(root):
+            return 0
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(root)
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = sorted(system.listStatus(folder), key=lambda s: -s.getModificationTime())
+        for status in found[keep:]:
+            system.delete(status.getPath(), True)
+        return max(len(found) - keep, 0)
+
     def failed_records(self):
         """Rows the last online ingest could not store, with their error.
 

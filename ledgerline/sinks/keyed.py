@@ -1,7 +1,9 @@
 """The keyed table: the online store when no external one is plugged in."""
 
+import re
 import time
 import uuid
+from collections import defaultdict
 from contextlib import contextmanager
 
 from pyspark.sql import functions as F
@@ -17,6 +19,8 @@ BUCKET = "ledgerline_bucket"
 SEQUENCE = "ledgerline_sequence"
 DELETED = "ledgerline_deleted"
 _BLOOM = "parquet.bloom.filter"
+# Spark names the files of a write after it.
+_WRITE = re.compile(r"part-\d+-([0-9a-f-]{36})")
 VERSION_SCHEMA = "version bigint, buckets bigint"
 BUCKETS = 64
 
@@ -94,7 +98,7 @@ class KeyedTable:
         return FeatureStoreError(TABLE_BUSY.format(path=self.path, what=what))
 
     @contextmanager
-    def _putting(self, wait):
+    def _putting(self, wait=0):
         """A mark while a put runs. It is made before the look for a compaction, which
         looks for marks after making its own: one of the two sees the other. A put that
         waits takes its mark back meanwhile, so the compaction is not refused for it."""
@@ -146,7 +150,7 @@ class KeyedTable:
     def _bucket(self, identifier):
         return F.pmod(F.xxhash64(identifier), F.lit(self.buckets))
 
-    def _write(self, rows, folder, mode):
+    def _write(self, rows, folder, mode, **more):
         identifier = named(self.group.record_identifier)
         bucketed = rows.withColumn(BUCKET, self._bucket(identifier))
         # The writer sorts by bucket anyway; with the identifier, row groups can be skipped.
@@ -155,6 +159,7 @@ class KeyedTable:
         # does, of a size that follows the number of identifiers.
         column = self.group.record_identifier
         options = {f"{_BLOOM}.enabled#{column}": "true", f"{_BLOOM}.adaptive.enabled": "true"}
+        options |= more
         rows.write.partitionBy(BUCKET).options(**options).mode(mode).parquet(folder)
 
     def put(self, df, sequence=0, wait=0):
@@ -241,3 +246,33 @@ class KeyedTable:
                 if self._exists(f"v={version}"):
                     system, path = self._files(f"v={version}")
                     system.delete(path, True)
+
+    def _touched(self):
+        """Buckets with files of several writes; those of a single one are latest records only."""
+        system, folder = self._files(f"v={self.version()}")
+        writes, files = defaultdict(set), system.listFiles(folder, True)
+        while files.hasNext():
+            path = files.next().getPath()
+            write = _WRITE.match(path.getName())
+            if write:
+                writes[int(path.getParent().getName().removeprefix(f"{BUCKET}="))].add(write.group(1))
+        return sorted(bucket for bucket, found in writes.items() if len(found) > 1)
+
+    def compact_touched(self):
+        """Rewrite, in place, only buckets that puts have added to since they were rewritten.
+
+        Returns their number. Other buckets keep their files, so the cost follows what was
+        put, not the size of the table. Files of touched buckets are replaced when all are
+        written, by dynamic partition overwrite: nobody should read the table meanwhile, and
+        a driver that ends during the replacement leaves rows in Spark's staging folder.
+        With readers at work, :meth:`compact` is the one to use.
+        """
+        with self._compacting():
+            touched = self._touched()
+            if touched:
+                rows = self._log().filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+                latest = latest_per_record(rows, self.group, SEQUENCE)
+                self._write(
+                    latest, self._folder(self.version()), "overwrite", partitionOverwriteMode="dynamic"
+                )
+            return len(touched)

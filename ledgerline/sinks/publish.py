@@ -44,7 +44,10 @@ def append_if_valid(df, group, path, strict=False, clustered=False, at=None):
     staging = f"{path.rstrip('/')}/{HIDDEN}{uuid.uuid4().hex}"
     folder = spark._jvm.org.apache.hadoop.fs.Path(staging)
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    had = system.exists(folder.getParent())
+    absent, home = [], folder.getParent()
+    while home is not None and not system.exists(home):
+        absent.append(home)
+        home = home.getParent()
     refused = True
     try:
         append_history(cast_features(rows, group, strict), group, staging, clustered, at)
@@ -53,7 +56,7 @@ def append_if_valid(df, group, path, strict=False, clustered=False, at=None):
         _publish(spark, staging, path)
     finally:
         system.delete(folder, True)
-        home = folder.getParent()
-        # An empty history must not appear where there was none.
-        if refused and not had and system.exists(home) and not system.listStatus(home):
-            system.delete(home, False)
+        # Folders must not appear where nothing has been written.
+        for home in absent if refused else ():
+            if system.exists(home) and not system.listStatus(home):
+                system.delete(home, False)

@@ -135,3 +135,42 @@ def test_a_get_reads_few_row_groups_of_many_puts(spark, tmp_path):
     assert scanned_rows(table.get(-5)) <= 6000 and table.get(-5).collect() == []
     sizes = [f.stat().st_size for f in (tmp_path / "t").rglob("*.parquet") if "v=" in str(f)]
     assert max(sizes) < 200_000
+
+
+def bucket_files(path):
+    out = {}
+    for f in path.rglob("*.parquet"):
+        if "v=" in str(f):
+            out.setdefault(f.parent.name, set()).add(f.name)
+    return out
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), GROUP, buckets=8)
+    rows = random_rows(800, 5)
+    table.put(spark.createDataFrame(rows, SCHEMA), sequence="seq")
+    # A single put leaves nothing to do.
+    before = bucket_files(tmp_path / "t")
+    assert table.compact_touched() == 0 and bucket_files(tmp_path / "t") == before
+    more = [(0, 99.0, 9001, "new"), (1, 99.0, 9002, "new"), (0, -1.0, 9003, "old")]
+    for row in more:
+        table.put(spark.createDataFrame([row], SCHEMA), sequence="seq")
+    touched = {b for b, f in bucket_files(tmp_path / "t").items() if f != before.get(b)}
+    assert table.compact_touched() == len(touched) <= 2
+    after = bucket_files(tmp_path / "t")
+    assert all(after[b] == before[b] for b in set(before) - touched)
+    assert all(not after[b] & before[b] for b in touched)
+    assert {tuple(r) for r in table.read().collect()} == brute_force(rows + more)
+    assert table._log().count() == len(brute_force(rows + more))
+    assert table.compact_touched() == 0 and table.version() == 0
+    table.compact()
+    assert table.compact_touched() == 0
+    assert {tuple(r) for r in table.read().collect()} == brute_force(rows + more)
+
+
+def test_a_hot_bucket_of_several_files_is_not_touched(spark, conf, tmp_path):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
+    table = KeyedTable(spark, str(tmp_path / "t"), GROUP, buckets=1)
+    table.put(spark.range(20000).selectExpr("id", "1.0D as at", "id as seq", "uuid() as v"))
+    assert len(next(iter(bucket_files(tmp_path / "t").values()))) > 1
+    assert table.compact_touched() == 0

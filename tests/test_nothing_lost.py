@@ -314,7 +314,7 @@ def test_names_of_columns_do_not_look_like_a_shuffle(spark, tmp_path):
     one = spark.read.parquet(path)
     assert spread_for_puts(one).rdd.getNumPartitions() == 4
     assert spread_for_puts(one.groupBy("id").count()).columns == ["id", "count"]
-    cached = one.cache()
+    cached = spark.read.parquet(path).cache()
     assert spread_for_puts(cached) is cached
     cached.unpersist()
 

@@ -288,3 +288,13 @@ def test_an_empty_input(spark, tmp_path):
     store.ingest_by_time(none, GROUP, "day", OFFLINE, token="t")
     store.ingest(rows(spark), GROUP, OFFLINE)
     assert store.history(GROUP).count() == 62
+
+
+def test_failure_folders_are_removed_but_the_newest(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path), buckets=4)
+    assert store.remove_failures(GROUP) == 0
+    for _ in range(3):
+        with pytest.raises(RecordIngestionError):
+            store.ingest(rows(spark, faulty=True), GROUP)
+    assert store.remove_failures(GROUP) == 2 and store.remove_failures(GROUP) == 0
+    assert store.failed_records().count() == 5
