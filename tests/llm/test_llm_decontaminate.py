@@ -5,7 +5,14 @@ from collections import Counter
 import pytest
 from corpus_for_tests import awkward, empty, texts
 
-from ledgerline.llm.decontaminate import contaminated, keep_clean, within_radius
+from ledgerline.llm.decontaminate import (
+    _items,
+    _windows,
+    contaminated,
+    keep_clean,
+    within_radius,
+)
+from ledgerline.llm.shared import written
 
 ITEMS = "item_id long, text string"
 
@@ -25,8 +32,8 @@ def weight(counts):
 
 
 def brute_force(docs, items):
-    """The best similarity of any window of each text to each item, where it is 0.8 or more."""
-    found = {}
+    """(best similarity, number of windows) of each text and item that reach 0.8."""
+    found, windows = {}, Counter()
     for d, text in docs:
         of = words(text)
         for i, item in items:
@@ -39,7 +46,8 @@ def brute_force(docs, items):
                 score = 2 * weight(wanted & have) / (weight(wanted) + weight(have))
                 if score >= 0.8:
                     found[d, i] = max(score, found.get((d, i), 0))
-    return found
+                    windows[d, i] += 1
+    return {k: (score, windows[k]) for k, score in found.items()}
 
 
 @pytest.mark.parametrize("limit", [1_000_000, 0])
@@ -62,6 +70,12 @@ def test_against_brute_force(spark, limit):
             changed[len(changed) // 2] = "changed"
         docs.append(prose(9) + changed + prose(7))
         docs.append(prose(9) + passage[: len(passage) // 2] + prose(9))
+        half = len(passage) // 2
+        docs.append(prose(9) + passage[half:] + passage[:half] + prose(9))
+        third = len(passage) // 3
+        docs.append(passage[2 * third :] + passage[third : 2 * third] + passage[:third] + prose(3))
+        docs.append(prose(4) + passage[:half] + ["put", "in"] + passage[half:] + prose(4))
+        docs.append(passage[half:] + passage + prose(2) + passage[:half])
     docs += [prose(80), items[0][1].split()[2:], items[3][1].upper().split() * 3]
     listed = [(i, ", ".join(d)) for i, d in enumerate(docs)]
     out = contaminated(
@@ -69,12 +83,42 @@ def test_against_brute_force(spark, limit):
         spark.createDataFrame(items, ITEMS),
         broadcast_rows=limit,
     ).collect()
-    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in out}
-    expected = brute_force(listed, items)
-    assert got.keys() == expected.keys()
-    # A window beside the aligned one may weigh a little more.
-    assert all(0.8 <= got[k] <= expected[k] + 1e-9 for k in got)
-    assert {k for k in got if got[k] == 1} == {k for k in got if expected[k] > 1 - 1e-9}
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["n_windows"]) for r in out}
+    assert got == brute_force(listed, items)
+
+
+def test_exchanged_halves_are_found(spark):
+    item = [f"i{k}" for k in range(40)]
+    text = " ".join(["x"] * 7 + item[20:] + item[:20] + ["y"] * 7)
+    out = contaminated(
+        spark.createDataFrame([(1, text)], "doc_id long, text string"),
+        spark.createDataFrame([(1, " ".join(item))], ITEMS),
+    ).collect()
+    assert [(r["start"], round(r["similarity"], 3)) for r in out] == [(7, 0.889)]
+
+
+def test_shingles_that_all_items_hold_make_no_windows(spark):
+    common = " ".join(f"c{k}" for k in range(12))
+    items = [(i, common + " " + " ".join(f"i{i}.{k}" for k in range(20))) for i in range(30)]
+    docs = [(i, f"a{i} " + common + f" b{i} " * 30) for i in range(30)] + [(99, items[3][1])]
+    texts_ = spark.createDataFrame(docs, "doc_id long, text string").selectExpr(
+        "text", "doc_id", "unhex(md5(text)) as text_id"
+    )
+    found = _windows(texts_, written(_items(spark.createDataFrame(items, ITEMS)), "i"), 0.8, 10)
+    assert found.select("item").distinct().count() == 1 and found.count() < 20
+
+
+def test_rows_are_kept_by_their_own_text(spark):
+    item = " ".join(f"i{k}" for k in range(30))
+    rows = [(1, "clean text of its own"), (1, item), (None, "a " + item), (None, "clean"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "1 as _held", "2 as text_id", "3 as row", "4 as item", "5 as words"
+    )
+    kept = keep_clean(docs, spark.createDataFrame([(1, item)], ITEMS))
+    assert kept.columns == docs.columns
+    assert sorted((tuple(r)[:3] for r in kept.collect()), key=repr) == sorted(
+        [(1, "clean text of its own", 1), (None, "clean", 1), (2, None, 1)], key=repr
+    )
 
 
 def test_all_fingerprints_within_the_radius_are_found(spark):
