@@ -1,7 +1,16 @@
+import os
+
 import duckdb
+import pytest
 from corpus_for_tests import AWKWARD, awkward, empty, texts
 
-from ledgerline.llm.licenses import KNOWN, known_digests, oracle, scan_licenses
+from ledgerline.llm.licenses import (
+    DIGESTS,
+    KNOWN,
+    known_digests,
+    oracle,
+    scan_licenses,
+)
 
 MIT = next(t for i, t in KNOWN if i == "MIT" and len(t) > 200)
 ISC = next(t for i, t in KNOWN if i == "ISC")
@@ -53,3 +62,42 @@ def test_awkward_rows(spark):
     found = [r for r in scan_licenses(awkward(spark), own).collect() if r["license_id"]]
     assert [(r["doc_id"], r["license_id"], r["notices"]) for r in found] == [(2, "own", "own")]
     assert scan_licenses(empty(spark)).collect() == []
+
+
+# Where many systems keep the published texts, by the names of their files.
+FOLDER = "/usr/share/common-licenses"
+PUBLISHED = {
+    "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "CC0-1.0": "CC0-1.0",
+    "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0",
+    "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+    "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no published texts on this machine")
+def test_published_texts_are_found(spark):
+    """Whole, wrapped anew, in upper case, with another copyright line; not if a word is changed."""
+    listed, expected = [], []
+    for name, license_id in PUBLISHED.items():
+        if not os.path.exists(f"{FOLDER}/{name}"):
+            continue
+        with open(f"{FOLDER}/{name}", encoding="utf-8") as file:
+            text = file.read()
+        listed += [text, text.upper(), "Copyright (c) 2020 Someone\n" + text, text.replace("the", "that", 1)]
+        expected += [license_id] * 3 + [None]
+        end = text.find("END OF TERMS AND CONDITIONS")
+        if end > 0:
+            listed.append(text[: end + 27])
+            expected.append(license_id)
+    out = scan_licenses(texts(spark, listed)).collect()
+    got = {r["doc_id"]: r["license_id"] for r in out}
+    assert [got[i] for i in range(len(listed))] == expected
+
+
+def test_every_licence_with_a_text_is_found(spark):
+    whole = [(i, t) for i, t in KNOWN if len(t) > 200]
+    assert {i for i, _ in whole} == {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause"}
+    docs = texts(spark, ["Copyright 2001 X. All rights reserved.\n\n" + t for _, t in whole])
+    out = {r["doc_id"]: r["license_id"] for r in scan_licenses(docs).collect()}
+    assert [out[n] for n in range(len(whole))] == [i for i, _ in whole]
+    assert len({d for _, d in DIGESTS}) == len(DIGESTS)
