@@ -13,6 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.shared import (
+    broadcast_if_small,
     hex16,
     plain_words,
     signed_bit_votes,
@@ -27,6 +28,10 @@ RUN_ROWS = 2000
 MAX_RUNS = 20_000
 BLOCKS = 6
 RADIUS = 3
+# Documents whose doc_id it divides search for their neighbours.
+ASKING = 20
+# Up to so many results of theirs are sent to all tasks; more are shuffled.
+FEW_ASKING = 1_000_000
 
 
 def _terms(words):
@@ -136,7 +141,10 @@ def document_fingerprints(docs):
     """One row per row of ``docs``, with its fingerprint, its edited text's, and likenesses.
 
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (16 hex
-    digits), near_edited, near_next. The edited text and the next document are those of
+    digits), near_edited, near_next, n_near, nearest, nearest_distance. The last three are
+    of documents whose doc_id ASKING divides, null for others: the number of other
+    fingerprints among all within RADIUS bits, and the nearest of them (the least of equally
+    near ones), null for none. The edited text and the next document are those of
     :func:`with_next`. A null text is empty; an empty text has fingerprint zero; a single
     document is its own next; repeated rows keep their number; an empty table gives no
     rows. Only ``doc_id`` and ``text`` are read.
@@ -192,10 +200,15 @@ def document_fingerprints(docs):
         .groupBy("_id", "_hash")
         .agg(F.max("_next").alias("_next"))
     )
+    asks = F.coalesce(F.col("doc_id") % ASKING == 0, F.lit(False))
     return prints.join(
         following,
         F.col("next_id").eqNullSafe(F.col("_id")) & (F.col("next_hash") == F.col("_hash")),
         "left",
+    ).join(
+        broadcast_if_small(written(_neighbours(prints), "neighbours"), FEW_ASKING),
+        F.when(asks, F.col("print")) == F.col("of"),
+        "left",
     ).select(
         "doc_id",
         "n_chars",
@@ -204,25 +217,31 @@ def document_fingerprints(docs):
         hex16("edited_print").alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
         likeness(F.col("print"), F.col("_next")).alias("near_next"),
+        "n_near",
+        F.when(F.col("nearest").isNotNull(), hex16("nearest")).alias("nearest"),
+        "nearest_distance",
     )
 
 
-def _block_tables(column, radius, blocks):
-    """Array of (table, key): the bits of each choice of blocks that ``radius`` bits can spare.
-
-    A table is the fingerprints permuted so that its blocks lead; two fingerprints within
-    the radius differ in at most ``radius`` blocks, so they agree on the lead of a table.
-    """
+def _lead_masks(radius, blocks):
+    """The bits of each choice of blocks that ``radius`` differing bits must leave alone."""
     edges = [BITS * i // blocks for i in range(blocks + 1)]
     masks = []
     for lead in combinations(range(blocks), blocks - radius):
         mask = sum(((1 << (edges[b + 1] - edges[b])) - 1) << edges[b] for b in lead)
         masks.append(mask - (1 << BITS) if mask >> (BITS - 1) else mask)
+    return [F.lit(m).cast("long") for m in masks]
+
+
+def _block_tables(column, masks):
+    """Array of (table, key): the leading bits of a fingerprint in each table.
+
+    A table is the fingerprints permuted so that its blocks lead; two fingerprints within
+    the radius differ in at most ``radius`` blocks, so they agree on the lead of a table.
+    """
     return F.array(
         *[
-            F.struct(
-                F.lit(i).alias("table"), column.bitwiseAND(F.lit(m).cast("long")).alias("key")
-            )
+            F.struct(F.lit(i).alias("table"), column.bitwiseAND(m).alias("key"))
             for i, m in enumerate(masks)
         ]
     )
@@ -232,20 +251,41 @@ def within_radius(queries, fingerprints, radius=RADIUS, blocks=BLOCKS):
     """(query, found, distance): all distinct fingerprints within ``radius`` bits of a query's.
 
     Both sides have a column ``fingerprint`` (long); each distinct value counts once, so
-    copies never multiply. Null fingerprints find nothing.
+    copies never multiply, and each pair comes from the first table that it agrees on. Null
+    fingerprints find nothing.
     """
     if not 0 <= radius < blocks:
         raise ValueError("radius must be below the number of blocks")
-    distance = F.bit_count(F.col("query").bitwiseXOR(F.col("found")))
+    masks = _lead_masks(radius, blocks)
+    differing = F.col("query").bitwiseXOR(F.col("found"))
+    distance = F.bit_count(differing)
+    first = F.lit(None).cast("int")
+    for i, mask in reversed(list(enumerate(masks))):
+        first = F.when(differing.bitwiseAND(mask) == 0, i).otherwise(first)
 
     def tables(df, name):
         one = df.select(F.col("fingerprint").alias(name)).where(F.col(name).isNotNull()).distinct()
-        return one.select(name, F.inline(_block_tables(F.col(name), radius, blocks)))
+        return one.select(name, F.inline(_block_tables(F.col(name), masks)))
 
     return (
         tables(queries, "query")
         .join(tables(fingerprints, "found"), ["table", "key"])
+        .where((distance <= radius) & (F.col("table") == first))
         .select("query", "found", distance.alias("distance"))
-        .where(F.col("distance") <= radius)
-        .distinct()
+    )
+
+
+def _neighbours(prints):
+    """(of, n_near, nearest, nearest_distance) per fingerprint of the documents that ask.
+
+    Those whose doc_id is divisible by ASKING search all fingerprints for others.
+    """
+    one = F.col("print").alias("fingerprint")
+    near = within_radius(prints.where(F.col("doc_id") % ASKING == 0).select(one), prints.select(one))
+    other = F.col("distance") > 0
+    best = F.min(F.when(other, F.struct("distance", "found")))
+    return near.groupBy(F.col("query").alias("of")).agg(
+        F.count_if(other).alias("n_near"),
+        best["found"].alias("nearest"),
+        best["distance"].cast("long").alias("nearest_distance"),
     )

@@ -1,7 +1,9 @@
 import hashlib
 import random
+import re
 
 import pytest
+import xxhash
 from corpus_for_tests import AWKWARD, awkward, empty, texts
 
 from ledgerline.llm import fingerprints
@@ -87,3 +89,54 @@ def test_fingerprint_is_a_weighted_vote(spark):
     )
     prints = {r["doc_id"]: r["fingerprint"] for r in out.collect()}
     assert prints[0] == prints[1] != prints[3] and prints[2] == 0
+
+
+def vote(text):
+    """The fingerprint of a text by the rule itself: weighted terms vote on each bit."""
+    words = re.findall(r"[^\W_]+", text.lower())
+    terms = [words[i : i + 2] for i in range(max(len(words) - 1, min(len(words), 1)))]
+    hashed = []
+    for term in terms:
+        h = 42
+        for word in term:
+            h = xxhash.xxh64_intdigest(word, h)
+        hashed.append((h, sum(map(len, term))))
+    total = sum(w for _, w in hashed)
+    bits = 0
+    for i in range(64):
+        if 2 * sum(w for h, w in hashed if h >> i & 1) > total:
+            bits |= 1 << i
+    return f"{bits:016x}"
+
+
+def test_votes_and_neighbours_against_brute_force(spark):
+    """Fingerprints of all texts, and for every twentieth id all others within the radius."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(400)]
+    listed = []
+    for _ in range(12):
+        base = rng.choices(words, k=400)
+        for _ in range(15):
+            changed = list(base)
+            for at in rng.sample(range(400), rng.randint(0, 6)):
+                changed[at] = rng.choice(words)
+            listed.append(" ".join(changed))
+    listed += ["", "a", "a b"]
+    docs = [(3 * i if i % 2 else 20 * i, t) for i, t in enumerate(listed)] + [(None, listed[0])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    out = {(r["doc_id"], r["fingerprint"]): r for r in fingerprints.document_fingerprints(frame).collect()}
+    prints = {(i, vote(t)) for i, t in docs}
+    assert set(out) == prints
+    values = {int(p, 16) for _, p in prints}
+    asked = 0
+    for (i, p), r in out.items():
+        if i is None or i % 20:
+            assert r["n_near"] is None and r["nearest"] is None
+            continue
+        near = sorted(((int(p, 16) ^ v).bit_count(), v - (v >> 63 << 64)) for v in values)
+        near = [(d, v) for d, v in near if 0 < d <= 3]
+        asked += len(near)
+        assert r["n_near"] == len(near)
+        first = (f"{near[0][1] % 2**64:016x}", near[0][0]) if near else (None, None)
+        assert (r["nearest"], r["nearest_distance"]) == first
+    assert asked > 100
