@@ -15,6 +15,7 @@ import struct
 import uuid
 import zlib
 from bisect import bisect_left, bisect_right
+from itertools import islice
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -22,11 +23,15 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ledgerline.llm.files import file_system, new_name, shared_folder
-from ledgerline.llm.shared import map_in_arrow, written
+from ledgerline.llm.shared import broadcast_if_small, map_in_arrow, written
 
 # Payloads below this size are always written whole.
 LEAST_REVISIT = 0
 BLOCK_LINES = 1000
+# Pages whose page_id it divides are looked up by their URL.
+ASKING = 20
+# Up to so many results of theirs are sent to all tasks; more are shuffled.
+FEW_ASKING = 1_000_000
 # Pages have no time of capture; WARC asks for one.
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -375,8 +380,8 @@ def read_all(shards):
 def look_up(shards, urls):
     """The records, see RECORD, of all captures whose key is that of one of ``urls`` (url).
 
-    The shard or shards of a key are found by binary search as well; their list is as long
-    as there are index files.
+    The shard or shards of a key are found by binary search as well; their list has a row
+    per index file, so no more than there were partitions when the index was sorted.
     """
     listed = shards.select("first", "last", "file").orderBy("shard").collect()
     firsts, lasts = [r["first"] for r in listed], [r["last"] for r in listed]
@@ -407,8 +412,9 @@ def look_up(shards, urls):
                     if shard:
                         shard.close()
                     uri, shard = file, Shard(file)
-                rows = [_row(*archives.record(*rest[3:6])) for rest in shard.captures(key)]
-                if rows:
+                # A key may have any number of captures: some at a time.
+                captures = shard.captures(key)
+                while rows := [_row(*archives.record(*c[3:6])) for c in islice(captures, 200)]:
                     yield _rows(rows)
         archives.close()
         if shard:
@@ -423,6 +429,27 @@ def look_up(shards, urls):
 def archived_pages(pages):
     """Per row of ``pages``, from archives written and read back through their index.
 
-    Columns: page_id, payload_bytes, payload_digest, record_type, refers_to.
+    Columns: page_id, payload_bytes, payload_digest, record_type, refers_to, and
+    found_by_url: whether the page is among the captures that a look-up of its URL finds.
+    Pages whose page_id ASKING divides are looked up; for others it is null.
+
+    A null html is an empty payload, a null url an empty key; a row without a page_id is
+    kept and refers to nothing; rows that repeat a page_id and a payload are all there, as
+    the response or as revisits, as :func:`write_archives` says; an empty table gives no
+    rows. Only ``page_id``, ``url`` and ``html`` are read.
     """
-    return read_all(write_index(write_archives(pages))).drop("payload", "url")
+    shards = write_index(write_archives(pages))
+    asking = pages.where(F.col("page_id").cast("long") % ASKING == 0)
+    found = written(
+        look_up(shards, asking.select(F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url")))
+        .select(F.col("page_id").alias("of"))
+        .where(F.col("of") % ASKING == 0)
+        .distinct(),
+        "warc-found",
+    ).withColumn("there", F.lit(True))
+    rows = read_all(shards).drop("payload", "url")
+    asks = F.when(F.col("page_id") % ASKING == 0, F.col("page_id"))
+    return rows.join(broadcast_if_small(found, FEW_ASKING), asks == F.col("of"), "left").select(
+        *rows.columns,
+        F.when(asks.isNotNull(), F.coalesce("there", F.lit(False))).alias("found_by_url"),
+    )
