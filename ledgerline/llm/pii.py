@@ -141,6 +141,16 @@ def _kind_of(value):
     return kind
 
 
+def _second_word(text):
+    """The second word of a text; of a single word after a blank that word.
+
+    Anchored and possessive, so the time grows with the text: to look for the last words of
+    a text from its end, it is turned round.
+    """
+    second = F.regexp_extract(text, r"^\s*+\S++\s++(\S++)", 1)
+    return F.when(second != "", second).otherwise(F.regexp_extract(text, r"^\s++(\S++)", 1))
+
+
 def _scan(docs):
     """One row per row of ``docs``: base spans, and instances with the words around them."""
     rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
@@ -158,8 +168,8 @@ def _scan(docs):
             F.slice(gaps, 1, F.size("m_any")),
             F.slice(gaps, 2, F.size("m_any")),
             lambda before, after: F.struct(
-                F.lower(F.regexp_extract(before, r"(\S+)\s+\S*\s*$", 1)).alias("left2"),
-                F.lower(F.regexp_extract(before, r"(\S+)\s*$", 1)).alias("left"),
+                F.lower(F.reverse(_second_word(F.reverse(before)))).alias("left2"),
+                F.lower(F.reverse(F.regexp_extract(F.reverse(before), r"^\s*+(\S++)", 1))).alias("left"),
                 F.lower(F.regexp_extract(after, r"^\s*(\S+)", 1)).alias("right"),
             ),
         ),
@@ -347,17 +357,21 @@ def redact(docs, settings=None):
     spans = (
         found_spans(docs, settings)
         .where(F.size("spans") > 0)
-        .select(
-            F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans")
-        )
-        .dropDuplicates(["_id", "_hash"])
+        .select("doc_id", "text_hash", "spans")
+        .dropDuplicates(["doc_id", "text_hash"])
     )
     small = broadcast_if_small(written(spans, "pii-spans"), BROADCAST_ROWS)
+    # The row as one column, so that no name of its columns is taken.
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").cast("long").alias("of"),
+        text_of().alias("whole"),
+        F.col("text").alias("text"),
+    )
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
-    text = text_of()
     in_order = F.array_sort(
         F.transform(
-            "_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
+            "spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
         )
     )
     walked = F.aggregate(
@@ -369,24 +383,22 @@ def redact(docs, settings=None):
                 s["start"] >= acc["at"],
                 F.concat(
                     acc["out"],
-                    F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]),
+                    F.substring(F.col("whole"), acc["at"] + 1, s["start"] - acc["at"]),
                     F.get(names, s["kind"]),
                 ),
             )
             .otherwise(acc["out"])
             .alias("out"),
         ),
-        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))),
+        lambda acc: F.concat(acc["out"], F.substring(F.col("whole"), acc["at"] + 1, F.length("whole"))),
     )
-    new = F.when(F.col("_spans").isNotNull(), walked).otherwise(F.col("text"))
-    return (
-        docs.withColumn("_text_hash", F.xxhash64(text))
-        .join(
-            small,
-            F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")),
-            "left",
-        )
-        .withColumn("text", new)
-        .withColumn("n_chars", F.length("text").cast("long"))
-        .select(*docs.columns)
+    same = F.col("of").eqNullSafe(F.col("doc_id")) & (F.xxhash64("whole") == F.col("text_hash"))
+    new = F.when(F.col("spans").isNotNull(), walked).otherwise(F.col("text"))
+    changed = rows.join(small, same, "left").select("row", new.alias("new"))
+    made = {"text": F.col("new"), "n_chars": F.length("new").cast("long")}
+    return changed.select(
+        *[
+            made[c].alias(c) if c in made else F.col("row").getField(c).alias(c)
+            for c in docs.columns
+        ]
     )

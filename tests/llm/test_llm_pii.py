@@ -1,11 +1,12 @@
 import hashlib
 import random
 import re
+import time
 
 from corpus_for_tests import AWKWARD, awkward, empty, texts
 from pyspark.sql import functions as F
 
-from ledgerline.llm.pii import personal_data, redact
+from ledgerline.llm.pii import _scan, personal_data, redact
 
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -120,3 +121,44 @@ def test_found_identifiers_support_new_patterns_to_the_end_of_a_chain(spark):
             listed += [f"c{step}x: {number} e{step}", f"c{step + 1}x: {number} e{step + 1}"]
     out = check(texts(spark, listed), listed)
     assert {out[i]["spans"] for i in range(5, len(listed))} == {"phone:5:18"}
+
+
+def last_words(before):
+    """The last word of a text before an instance, and the one before that, by the plain rule."""
+    two = re.search(r"(\S+)\s+\S*\s*$", before, re.ASCII)
+    one = re.search(r"(\S+)\s*$", before, re.ASCII)
+    return [m.group(1).lower() if m else "" for m in (two, one)]
+
+
+def test_words_before_an_instance(spark):
+    rng = random.Random(8)
+    listed = ["", " ", "a", "a ", " a ", "a b", "a b ", "\na\tb\n", "ÄB \U0001f600 "]
+    listed += ["".join(rng.choice(" \nab:É") for _ in range(rng.randint(0, 9))) for _ in range(300)]
+    docs = texts(spark, [t + "(0459 555 9246" for t in listed])
+    out = _scan(docs).select("doc_id", F.inline("instances").alias("at", "near"))
+    rows = out.collect()
+    assert len(rows) == len(listed)
+    for r in rows:
+        before = (listed[r["doc_id"]] + "(")[: r["at"]["start"]]
+        assert [r["near"]["left2"], r["near"]["left"]] == last_words(before)
+
+
+def test_time_grows_with_the_text(spark):
+    """A million characters without a blank, and as many words, before an instance."""
+    run = "QWxhZGRpbjpvcGVu" * 70_000
+    listed = [run + " phone: 0459 555 9246", "word " * 200_000 + "0459 555 9246", run + "0459 555 9246"]
+    started = time.monotonic()
+    out = personal_data(texts(spark, listed)).collect()
+    assert time.monotonic() - started < 60 and len(out) == 3
+
+
+def test_free_column_names(spark):
+    docs = texts(spark, ["call +1 459 555 9246", None]).selectExpr(
+        "doc_id", "text", "7 as _id", "8 as _hash", "1 as _spans", "2 as row", "3 as spans", "4 as text_hash",
+        "5 as whole", "6 as n_chars"
+    )
+    out = redact(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == [
+        (0, "call <phone>", 7, 8, 1, 2, 3, 4, 5, 12), (1, None, 7, 8, 1, 2, 3, 4, 5, None)
+    ]
