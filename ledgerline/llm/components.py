@@ -2,31 +2,58 @@
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm.shared import written
+from ledgerline.llm.shared import broadcast_if_small, written
 
+# Where a node has as many edges, its least neighbour goes to where its edges are.
+HUB = 1000
+FEW_HUBS = 1_000_000
 
-def _least_neighbour(edges):
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
 
+def _with_least(edges, hubs):
+    """``edges`` with the least neighbour ``m`` of ``u``; the edges of a hub meet in no task.
 
-def _large_star(edges):
+    ``hubs`` says that there may be any.
+    """
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    if not hubs:
+        return edges.join(least.drop("n"), "u")
+    least = written(least, "least")
+    known = edges.join(
+        broadcast_if_small(least.where(F.col("n") >= HUB).drop("n"), FEW_HUBS), "u", "left"
+    )
+    return known.where("m is not null").unionByName(
+        known.where("m is null").drop("m").join(least.where(F.col("n") < HUB).drop("n"), "u")
+    )
+
+
+def _large_star(edges, hubs):
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _least_neighbour(both).select("u", F.least("u", "m").alias("m"))
-    return (
-        both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    ).distinct()
+    moved = _with_least(both, hubs).where("v > u")
+    return moved.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 
-def _small_star(edges):
+def _small_star(edges, hubs):
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = _least_neighbour(down)
-    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    # The edge to the least neighbour stays, the others go on from theirs to it.
+    moved = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+    return _with_least(down, hubs).select(moved.alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _mark(edges):
-    return edges.agg(
-        F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    """(number of edges, sum of their hashes, most edges of one side of a node)."""
+    each = [
+        edges.groupBy(F.col(side).alias("node")).agg(
+            F.count("*").alias("n"),
+            F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("hashes"),
+            F.lit(side).alias("side"),
+        )
+        for side in ("u", "v")
+    ]
+    one = F.col("side") == "u"
+    return each[0].unionByName(each[1]).agg(
+        F.coalesce(F.sum(F.when(one, F.col("n"))), F.lit(0)),
+        F.sum(F.when(one, F.col("hashes"))),
+        F.coalesce(F.max("n"), F.lit(0)),
     ).first()
 
 
@@ -39,9 +66,11 @@ def connected_components(edges):
     now = written(edges.select("u", "v").where("u <> v").distinct(), "edges")
     mark = _mark(now)
     while mark[0]:
-        now = written(_small_star(_large_star(now)), "edges")
+        # Hubs grow from round to round: they are looked for before they are large.
+        hubs = mark[2] >= HUB // 4
+        now = written(_small_star(_large_star(now, hubs), hubs), "edges")
         before, mark = mark, _mark(now)
-        if mark == before:
+        if mark[:2] == before[:2]:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -2,13 +2,18 @@
 
 Texts of equal words are one node. Candidates are nodes that agree on all minima of a band
 of MinHash functions; each candidate pair is then checked on its whole sets of shingles. In
-a bucket all members are checked against the least one first, and pairs that this leaves in
-different groups afterwards, so a bucket of near copies costs a row per member, not a pair.
+a bucket all members are checked against one of them, and those that this leaves in another
+group against others, as long as that finds copies: a bucket of near copies costs a few rows
+per member, not a pair. What is left meets on its rarest shingles: sets that are alike share
+one of the first few in any order, so a passage that many texts hold makes no pairs.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.components import connected_components
@@ -72,18 +77,14 @@ def band_keys(hashes):
 
 
 def _node(words):
-    """What texts of equal words share."""
-    return xxhash.xxh3_64_intdigest(" ".join(words), SEED)
-
-
-def _long(x):
-    return x - (1 << 64) if x >> 63 else x
+    """What texts of equal words share: 128 bits, so that different ones do not meet."""
+    return xxhash.xxh3_128_digest(" ".join(words), SEED)
 
 
 def _row_key():
-    """Tells the rows of a table apart by doc_id, which may be null, and text."""
-    id_ = F.col("doc_id").cast("long")
-    return F.xxhash64(F.coalesce(id_, F.lit(0)), id_.isNull(), text_of())
+    """Tells the rows of a table apart by doc_id, which may be null, and text: 128 bits."""
+    id_ = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("-"))
+    return F.unhex(F.md5(F.concat(id_, F.lit(" "), text_of())))
 
 
 def _nodes(docs):
@@ -94,12 +95,12 @@ def _nodes(docs):
             nodes, bands = [], []
             for text in batch.column(3).to_pylist():
                 words = words_of(text)
-                nodes.append(_long(_node(words)))
+                nodes.append(_node(words))
                 bands.append(band_keys(shingle_hashes(words)))
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:3],
-                    pa.array(nodes, pa.int64()),
+                    pa.array(nodes, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
                 ["doc_id", "text_hash", "key", "node", "bands"],
@@ -108,7 +109,7 @@ def _nodes(docs):
     rows = docs.select(
         F.col("doc_id").cast("long"), F.xxhash64(text_of()), _row_key(), text_of().alias("text")
     )
-    schema = "doc_id long, text_hash long, key long, node long, bands array<long>"
+    schema = "doc_id long, text_hash long, key binary, node binary, bands array<long>"
     return map_in_arrow(rows, each, schema)
 
 
@@ -133,7 +134,7 @@ def _sets(docs, wanted):
         .dropDuplicates(["key"])
         .select("node", "text")
     )
-    return map_in_arrow(texts, each, "node long, size long, shingles array<long>")
+    return map_in_arrow(texts, each, "node binary, size long, shingles array<long>")
 
 
 def _alike(pairs, sets):
@@ -153,45 +154,109 @@ def _alike(pairs, sets):
     )
 
 
+def _in_mixed_buckets(crowded, reached):
+    """Members of buckets whose members are in different groups, with their group."""
+    grouped = crowded.join(reached, "node", "left").select(
+        "band", "bucket", "node", "met", F.coalesce("component", "node").alias("component")
+    )
+    mixed = grouped.groupBy("band", "bucket").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi")
+    ).where("lo <> hi").select("band", "bucket")
+    return written(grouped.join(mixed, ["band", "bucket"]), "near-copy-members")
+
+
+def _stars(grouped, turn):
+    """Pairs (u, v) of a member of each bucket with those of other groups.
+
+    The first turn takes the member that meets most others in all its buckets, as a text does
+    of which others are copies; later ones take any, another one each turn.
+    """
+    order = F.lit(0) if turn else -F.col("met")
+    one = F.struct(order, F.xxhash64("node", F.lit(turn)), "node", "component")
+    hubs = grouped.groupBy("band", "bucket").agg(F.min(one).alias("hub"))
+    return (
+        grouped.join(hubs, ["band", "bucket"])
+        .where("component <> hub.component")
+        .select(F.least("node", "hub.node").alias("u"), F.greatest("node", "hub.node").alias("v"))
+        .distinct()
+    )
+
+
+def _meeting(grouped, sets):
+    """All pairs of members of different groups that may reach the similarity, and few others.
+
+    Shingles are ordered by how many sets hold them, rarest first. Two sets at a Jaccard
+    similarity of LIKE / OF share at least LIKE / (LIKE + OF) of the sum of their sizes.
+    Their first shared shingle has, in each, no more before it than that leaves, and no less
+    behind it. Sets meet on a shingle if sizes and both places of it allow for this.
+    """
+    members = written(grouped.select("node", "component").distinct().join(sets, "node"), "mixed-sets")
+    terms = members.select("node", "component", "size", F.explode("shingles").alias("shingle"))
+    held = terms.groupBy("shingle").agg(F.count("*").alias("held"))
+    ordered = (
+        terms.join(held, "shingle")
+        .groupBy("node", "component", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("ordered"))
+    )
+    # The larger of two sets has the longer prefix: its partner may be as small as LIKE / OF.
+    longest = F.col("size") - F.ceil(F.col("size") * LIKE / OF) + 1
+    placed = written(
+        ordered.select(
+            "node",
+            "component",
+            "size",
+            F.posexplode(F.slice("ordered", F.lit(1), longest.cast("int"))).alias("place", "term"),
+        )
+        .where("term.held > 1")
+        .select("node", "component", "size", "place", F.col("term.shingle").alias("shingle")),
+        "near-copy-prefixes",
+    )
+    short = F.col("size") - F.ceil(F.col("size") * (2 * LIKE) / (LIKE + OF))
+    small = placed.where(F.col("place") <= short).toDF("su", "cu", "nu", "pu", "shingle")
+    large = placed.toDF("sv", "cv", "nv", "pv", "shingle")
+    in_order = (F.col("nu") < F.col("nv")) | ((F.col("nu") == F.col("nv")) & (F.col("su") < F.col("sv")))
+    behind = F.least(F.col("nu") - F.col("pu"), F.col("nv") - F.col("pv"))
+    return (
+        small.join(
+            large,
+            (small["shingle"] == large["shingle"])
+            & (F.col("cu") != F.col("cv"))
+            & in_order
+            & (F.col("nu") * OF >= F.col("nv") * LIKE)
+            & (behind * (LIKE + OF) >= (F.col("nu") + F.col("nv")) * LIKE),
+        )
+        .select(F.least("su", "sv").alias("u"), F.greatest("su", "sv").alias("v"))
+        .distinct()
+    )
+
+
 def copy_links(docs, nodes):
     """Links (u, v) that connect the nodes whatever candidate pairs at the similarity connect."""
     # Copies meet as one node before they are put into buckets.
     members = nodes.dropDuplicates(["node"]).select(
         "node", F.posexplode("bands").alias("band", "bucket")
     )
-    shared = members.groupBy("band", "bucket").agg(
-        F.count("*").alias("n"), F.min("node").alias("least")
-    ).where("n > 1")
-    crowded = written(members.join(shared.drop("n"), ["band", "bucket"]), "near-copy-buckets")
+    shared = members.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1")
+    crowded = written(members.join(shared, ["band", "bucket"]), "near-copy-buckets")
+    met = crowded.groupBy("node").agg(F.sum("n").alias("met"))
+    crowded = written(crowded.drop("n").join(met, "node"), "near-copy-members")
     one = nodes.join(crowded.select("node").distinct(), "node").groupBy("node").agg(
         F.min("key").alias("key")
     )
     sets = written(_sets(docs, one), "near-copy-sets")
-    stars = crowded.where("node <> least").select(F.col("least").alias("u"), F.col("node").alias("v"))
-    links = written(_alike(stars.distinct(), sets), "near-copy-links")
-    reached = connected_components(links)
-    grouped = written(
-        crowded.join(reached, "node", "left").select(
-            "band", "bucket", "node", F.coalesce("component", "node").alias("component")
-        ),
-        "near-copy-members",
-    )
-    # Whatever is left in different groups of a bucket is compared pair by pair.
-    mixed = grouped.groupBy("band", "bucket").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")
-    ).where("lo <> hi").select("band", "bucket")
-    left = grouped.join(mixed, ["band", "bucket"])
-    pairs = (
-        left.select("band", "bucket", F.col("node").alias("u"), F.col("component").alias("cu"))
-        .join(
-            left.select("band", "bucket", F.col("node").alias("v"), F.col("component").alias("cv")),
-            ["band", "bucket"],
-        )
-        .where("u < v and cu <> cv")
-        .select("u", "v")
-        .distinct()
-    )
-    return links.unionByName(_alike(pairs.join(stars, ["u", "v"], "left_anti"), sets))
+    links, turn = [], 0
+    grouped = crowded.withColumn("component", F.col("node"))
+    while True:
+        pairs = written(_stars(grouped, turn), "near-copy-stars")
+        links.append(written(_alike(pairs, sets), "near-copy-links"))
+        reached = connected_components(reduce(DataFrame.unionByName, links))
+        grouped = _in_mixed_buckets(crowded, reached)
+        turn += 1
+        # Worth another turn while most of what is compared turns out to be a copy.
+        if 2 * links[-1].count() < pairs.count() or grouped.isEmpty():
+            break
+    links.append(_alike(_meeting(grouped, sets), sets))
+    return reduce(DataFrame.unionByName, links)
 
 
 def keep_one(docs):
@@ -209,13 +274,11 @@ def keep_one(docs):
         nodes.drop("bands")
         .join(reached, "node", "left")
         .groupBy(F.coalesce("component", "node").alias("group"))
-        .agg(F.min_by("key", F.struct("doc_id", "text_hash")).alias("_key"))
-        .select("_key")
+        .agg(F.min_by("key", F.struct("doc_id", "text_hash")).alias("kept"))
+        .select("kept")
         .distinct()
     )
-    return (
-        docs.withColumn("_key", _row_key())
-        .join(kept, "_key", "left_semi")
-        .dropDuplicates(["_key"])
-        .drop("_key")
-    )
+    # The row as one column, so that no name of its columns is taken.
+    rows = docs.select(F.struct("*").alias("row"), _row_key().alias("key"))
+    one = rows.join(kept, F.col("key") == F.col("kept"), "left_semi").dropDuplicates(["key"])
+    return one.select("row.*")

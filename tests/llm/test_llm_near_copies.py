@@ -75,7 +75,7 @@ def test_copies_at_the_least_similarity(spark):
     assert found == brute_kept(listed)
 
 
-def test_mixed_buckets_are_compared_pair_by_pair(spark, monkeypatch):
+def test_mixed_buckets_are_split(spark, monkeypatch):
     """With one band of one function buckets hold texts that are no copies of the least."""
     monkeypatch.setattr(near_copies, "band_keys", lambda h: near_copies.np.array([7]))
     base = [[f"{t}{i}" for i in range(60)] for t in "abcd"]
@@ -83,6 +83,74 @@ def test_mixed_buckets_are_compared_pair_by_pair(spark, monkeypatch):
     assert {r["doc_id"] for r in keep_one(texts(spark, listed)).collect()} == {0, 3, 6, 9}
 
 
+def test_one_bucket_of_all_texts_against_brute_force(spark, monkeypatch):
+    """Sizes, changes and shared passages of all kinds, where only the rarest shingles sort out."""
+    monkeypatch.setattr(near_copies, "band_keys", lambda h: near_copies.np.array([7]))
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(80)]
+    listed = []
+    for _ in range(120):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([3, 9, 20, 40]))]
+        words = [*passage, *own] if rng.random() < 0.6 else own * rng.choice([1, 4])
+        listed.append(" ".join(words))
+        for _ in range(rng.randrange(3)):
+            changed = list(words)
+            for _ in range(rng.randrange(1, 4)):
+                changed[rng.randrange(len(changed))] = f"v{rng.randrange(10**6)}"
+            listed.append(" ".join(changed[rng.randrange(4) :]))
+    assert {r["doc_id"] for r in keep_one(texts(spark, listed)).collect()} == brute_kept(listed)
+
+
+def rows_met(spark, listed, monkeypatch):
+    """How many pairs of the texts, all in one bucket and none of them linked, are compared."""
+    monkeypatch.setattr(near_copies, "band_keys", lambda h: near_copies.np.array([7]))
+    docs = texts(spark, listed)
+    nodes = near_copies.written(near_copies._nodes(docs), "n")
+    sets = near_copies.written(near_copies._sets(docs, nodes.select("node", "key")), "s")
+    alone = nodes.select(
+        near_copies.F.lit(0).alias("band"), near_copies.F.lit(0).alias("bucket"), "node"
+    ).withColumn("component", near_copies.F.col("node"))
+    return near_copies._meeting(alone, sets).count()
+
+
+def test_a_passage_of_many_texts_makes_no_pairs(spark, monkeypatch):
+    passage = [f"p{i}" for i in range(80)]
+    listed = [" ".join([*passage, *[f"w{i}.{k}" for k in range(14)]]) for i in range(400)]
+    assert rows_met(spark, listed, monkeypatch) == 0
+
+
+def test_few_rows_for_a_large_group_of_near_copies(spark, monkeypatch):
+    """Each text differs from the first by a few words and from others by twice as many."""
+    rng, counts = random.Random(2), []
+    alike = near_copies._alike
+
+    def counted(pairs, sets):
+        counts.append(pairs.count())
+        return alike(pairs, sets)
+
+    monkeypatch.setattr(near_copies, "_alike", counted)
+    words = [f"w{i}" for i in range(130)]
+    listed = [" ".join(words)]
+    for _ in range(600):
+        other = list(words)
+        for at in rng.sample(range(130), 2):
+            other[at] = f"v{rng.randrange(10**6)}"
+        listed.append(" ".join(other))
+    found = {r["doc_id"] for r in keep_one(texts(spark, listed)).collect()}
+    assert found == brute_kept(listed) and sum(counts) < 20 * len(listed)
+
+
+def test_free_column_names(spark):
+    docs = texts(spark, ["a b c d e f", "a b c d e f", "x"]).selectExpr(
+        "doc_id", "text", "7 as _key", "8 as key", "9 as row", "1 as kept", "2 as node", "3 as component"
+    )
+    out = keep_one(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == [
+        (0, "a b c d e f", 7, 8, 9, 1, 2, 3), (2, "x", 7, 8, 9, 1, 2, 3)
+    ]
+
+
 def test_rows_that_share_an_id_or_have_none(spark):
     text = " ".join(f"w{i}" for i in range(50))
     rows = [(1, "clean and unique"), (1, text), (0, text), (None, text + " z"), (None, text + " z")]

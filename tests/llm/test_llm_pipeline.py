@@ -5,10 +5,10 @@ import duckdb
 import pytest
 from corpus_for_tests import awkward, empty
 from pyspark.sql import functions as F
+from test_llm_near_copies import brute_kept
 
 import __spark_entry__ as entry_points
 from ledgerline.llm.decontaminate import contaminated
-from ledgerline.llm.near_dedup import near_duplicates
 from ledgerline.llm.pii import personal_data
 from ledgerline.llm.queries import ORACLES, QUERIES
 from ledgerline.llm.quality import score_quality
@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_queries_are_registered():
     registered = entry_points.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(bool(re.match(rf"op{n}_", name)) for name in registered) == 1
     assert registered["pipeline"] is corpus_pipeline.run
     assert set(ORACLES) <= set(QUERIES) <= set(registered)
@@ -29,7 +29,8 @@ def test_queries_are_registered():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_oracle(spark, name):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for source in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {source} AS SELECT * FROM '{SF}/{source}.parquet'")
     out = QUERIES[name](spark, SF)
     result = connection.execute(ORACLES[name])
     names = [d[0] for d in result.description]
@@ -58,8 +59,9 @@ def test_every_stage_does_what_its_operator_says(spark, tmp_path):
 
     scores = score_quality(kept[0][0], table(spark, SF, "labels"))
     assert ids(kept[0][1]) == ids(scores.where("predicted = 1")) < ids(kept[0][0])
-    groups = near_duplicates(kept[1][0]).select(F.col("component_id").alias("doc_id"))
-    assert ids(kept[1][1]) == ids(groups)
+    rows = kept[1][0].select("doc_id", "text").orderBy("doc_id").collect()
+    copies = brute_kept([r["text"] for r in rows])
+    assert ids(kept[1][1]) == {rows[i]["doc_id"] for i in copies}
     held = ids(contaminated(kept[2][0], table(spark, SF, "benchmark")))
     assert ids(kept[2][1]) == ids(kept[2][0]) - held
     assert personal_data(kept[3][1]).where("spans <> ''").count() == 0
