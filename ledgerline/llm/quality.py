@@ -288,11 +288,22 @@ def score_quality(docs, labels, settings=None):
 def keep_good(docs, labels, settings=None):
     """The rows of ``docs`` whose text is predicted good; rejected ones go.
 
-    Documents are told apart by doc_id; rows without one all stay, as no decision reaches
-    them, and so do all rows of a doc_id of which one text is good.
+    Every row is judged by its own text, whatever its doc_id or whether it has one; the
+    labelled rows are read once more, for the fit. All columns stay as they are.
     """
-    good = score_quality(docs, labels, settings).where("predicted = 1")
-    kept = good.select(F.col("doc_id").alias("_kept"))
-    return docs.where("doc_id is null").unionByName(
-        docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    )
+    known = labels.where("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    labelled = ids.join(known.distinct(), "doc_id", "left_semi")
+    stats = written(document_statistics(labelled), "quality-statistics")
+    model = fit(stats, labels.select("doc_id", "quality"), settings)
+    at = docs.columns.index("text")
+
+    def each(batches):
+        for batch in batches:
+            texts = batch.column(at).cast(pa.string()).to_pylist()
+            made = [statistics_of(t or "") for t in texts]
+            rows = np.array(made, dtype=float).reshape(-1, len(STATISTICS))
+            good = model.probability(model.raw(rows)) >= THRESHOLD
+            yield batch.filter(pa.array(good))
+
+    return map_in_arrow(docs, each, docs.schema)
