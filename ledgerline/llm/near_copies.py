@@ -240,9 +240,9 @@ def copy_links(docs, nodes):
     crowded = written(members.join(shared, ["band", "bucket"]), "near-copy-buckets")
     met = crowded.groupBy("node").agg(F.sum("n").alias("met"))
     crowded = written(crowded.drop("n").join(met, "node"), "near-copy-members")
-    one = nodes.join(crowded.select("node").distinct(), "node").groupBy("node").agg(
-        F.min("key").alias("key")
-    )
+    # A row per node before the join: copies are combined where they are read.
+    one = nodes.groupBy("node").agg(F.min("key").alias("key"))
+    one = one.join(crowded.select("node").distinct(), "node", "left_semi")
     sets = written(_sets(docs, one), "near-copy-sets")
     links, turn = [], 0
     grouped = crowded.withColumn("component", F.col("node"))
@@ -270,13 +270,13 @@ def keep_one(docs):
     """
     nodes = written(_nodes(docs), "near-copy-nodes")
     reached = connected_components(copy_links(docs, nodes))
+    # The least row of each node first, so that any number of copies is one row in the join.
+    least = nodes.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash", "key")).alias("least"))
     kept = (
-        nodes.drop("bands")
-        .join(reached, "node", "left")
+        least.join(reached, "node", "left")
         .groupBy(F.coalesce("component", "node").alias("group"))
-        .agg(F.min_by("key", F.struct("doc_id", "text_hash")).alias("kept"))
-        .select("kept")
-        .distinct()
+        .agg(F.min("least").alias("least"))
+        .select(F.col("least.key").alias("kept"))
     )
     # The row as one column, so that no name of its columns is taken.
     rows = docs.select(F.struct("*").alias("row"), _row_key().alias("key"))
