@@ -14,6 +14,7 @@ A file holds, in ascending order of documents,
 So a reader needs the end of a file, and the frames of the documents it wants.
 """
 
+import re
 import struct
 from array import array
 from functools import lru_cache
@@ -43,11 +44,20 @@ REMEMBERED = 250_000
 SLICE_CHARS = 2_000_000
 
 
+# New pieces that the library gets as one text.
+TOGETHER = 500
+# Stands for a line feed that begins a piece.
+LINE = "\0"
+_LINE_FEED = re.compile(r"(?<=\S)\n(?=\S)")
+
+
 class ByteBpe:
     """Encodes with the tokenizers library, each piece between single blanks just once.
 
     The pre-tokenizer ends a token before a single blank between two other characters, so
-    a blank and what follows it is encoded alone as within its text. Pieces for which that
+    a blank and what follows it is encoded alone as within its text. It ends one before and
+    after a single line feed as well, so a line feed and what follows it is another piece.
+    Pieces for which that
     does not hold, next to other white space, are encoded together with their neighbours.
     """
 
@@ -55,12 +65,29 @@ class ByteBpe:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        vocabulary = self.library.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        # The byte-level form of a blank.
+        self.begins[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.now, self.last = {}, {}
 
     def _library(self, chunks):
         encoded = self.library.encode_batch_fast(chunks, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in encoded]
 
+    def _new(self, pieces):
+        """The ids of each piece after a blank: of many at once, parted where a blank begins."""
+        out = []
+        groups = [pieces[i : i + TOGETHER] for i in range(0, len(pieces), TOGETHER)]
+        for group, ids in zip(groups, self._library([" " + " ".join(g) for g in groups]), strict=True):
+            starts = np.flatnonzero(self.begins[np.frombuffer(ids, dtype="<u4")]) * 4
+            if len(starts) != len(group):
+                out += self._library([" " + p for p in group])
+                continue
+            ends = [*starts[1:].tolist(), len(ids)]
+            out += [ids[a:b] for a, b in zip(starts.tolist(), ends, strict=True)]
+        return out
+
     def _remember(self, pieces):
         """Has the ids of a blank and each piece in ``self.now``, None where it needs more."""
         if len(self.now) > REMEMBERED:
@@ -73,7 +100,10 @@ class ByteBpe:
                 self.now[p] = None
             else:
                 missing.append(p)
-        self.now.update(zip(missing, self._library([" " + p for p in missing]), strict=True))
+        lines = [p for p in missing if p[0] == LINE]
+        self.now.update(zip(lines, self._library(["\n" + p[1:] for p in lines]), strict=True))
+        blanks = [p for p in missing if p[0] != LINE]
+        self.now.update(zip(blanks, self._new(blanks), strict=True))
 
     def _apart(self, pieces):
         """The ids of a text some of whose pieces belong together."""
@@ -89,17 +119,21 @@ class ByteBpe:
 
     def encode(self, texts):
         """The ids of each text as bytes."""
-        pieces = [t.split(" ") for t in texts]
+        # A text that holds the sign itself is encoded as one whose pieces belong together.
+        pieces = [
+            ["", ""] if LINE in t else _LINE_FEED.sub(" " + LINE, t).split(" ") for t in texts
+        ]
         self._remember(set().union(*pieces))
         known = self.now
         out = []
-        for p, first in zip(pieces, self._library([p[0] for p in pieces]), strict=True):
+        firsts = self._library([p[0] for p in pieces])
+        for text, p, first in zip(texts, pieces, firsts, strict=True):
             try:
                 rest = b"".join(map(known.__getitem__, p[1:]))
                 whole = known[p[0]] is not None or len(p) == 1
             except TypeError:  # a piece is None
                 whole = False
-            out.append(first + rest if whole else self._apart(p))
+            out.append(first + rest if whole else self._apart(text.split(" ")))
         return out
 
 

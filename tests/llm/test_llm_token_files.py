@@ -9,6 +9,7 @@ from pyarrow import BufferReader, BufferOutputStream
 from tokenizers import Tokenizer
 
 from ledgerline.llm.token_files import (
+    ByteBpe,
     FileReader,
     FileWriter,
     read_tokens,
@@ -41,6 +42,25 @@ def test_round_trip(spark):
     assert sorted(map(tuple, out)) == sorted(expected(enumerate(listed)))
 
 
+def test_pieces_of_many_texts_equal_the_library():
+    """Pieces that are new, known and forgotten; line feeds of all kinds; the sign of one."""
+    rng = random.Random(4)
+    library = Tokenizer.from_file(PATH)
+    own = ByteBpe(PATH)
+    own.last = {}
+    breaks = [" ", " ", " ", "\n", "\n", "\n\n", " \n", "\n ", "\t", "  ", "\r\n", "\x1c", "\x85"]
+    for round_ in range(6):
+        listed = ["x\0y z\n\0w", "\0", "a\n", "\na", "a\nb", "a\n\0b c", ""]
+        for _ in range(300):
+            words = ["".join(rng.choice("abcdé1!,'.") for _ in range(rng.randint(1, 7))) for _ in range(30)]
+            listed.append("".join(w + rng.choice(breaks[: rng.choice([3, 5, 13])]) for w in words))
+        got = own.encode(listed)
+        assert got == [
+            struct.pack(f"<{len(e.ids)}I", *e.ids)
+            for e in library.encode_batch(listed, add_special_tokens=False)
+        ]
+
+
 def test_awkward_rows(spark):
     out = sorted(map(tuple, token_index(awkward(spark), PATH).collect()), key=lambda r: r[1])
     want = expected(AWKWARD)
