@@ -1,7 +1,10 @@
 """Near copies for the pipeline: word shingles at an exact Jaccard similarity.
 
-Texts of equal words are one node. Candidates are nodes that agree on all minima of a band
-of MinHash functions; each candidate pair is then checked on its whole sets of shingles. In
+Texts of equal words are one node. Each has a SimHash fingerprint of its shingles; nodes whose
+fingerprints link in the index over positional bytes are the first candidates. What links
+leave apart, since a similarity of 0.8 is far beyond any radius such an index can search,
+meets on all minima of a band of MinHash functions. Each candidate pair, of either kind, is
+checked on its whole sets of shingles. In
 a bucket all members are checked against one of them, and those that this leaves in another
 group against others, as long as that finds copies: a bucket of near copies costs a few rows
 per member, not a pair. What is left meets on its rarest shingles: sets that are alike share
@@ -16,8 +19,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.byte_index import fingerprint_links, majority
 from ledgerline.llm.components import connected_components
-from ledgerline.llm.shared import LOWER, SPACE, UPPER, map_in_arrow, text_of, written
+from ledgerline.llm.shared import (
+    LOWER,
+    SPACE,
+    UPPER,
+    map_in_arrow,
+    text_of,
+    written,
+)
 
 SHINGLE = 5
 # The least similarity of copies, as a fraction so that the check is exact.
@@ -25,6 +36,8 @@ LIKE, OF = 4, 5
 # A pair of similarity s shares a band with 1 - (1 - s ** ROWS) ** BANDS: 0.99994 at 0.8.
 BANDS, ROWS = 32, 6
 SEED = 42
+# The band of fingerprints that link, beside those of MinHash.
+PRINTS = -1
 _STEP = 1024
 _FOLD = str.maketrans(UPPER, LOWER)
 _OTHER_SPACE = str.maketrans({c: " " for c in SPACE})
@@ -88,28 +101,31 @@ def _row_key():
 
 
 def _nodes(docs):
-    """(doc_id, text_hash, key, node, bands) per row."""
+    """(doc_id, text_hash, key, node, fp, bands) per row."""
 
     def each(batches):
         for batch in batches:
-            nodes, bands = [], []
-            for text in batch.column(3).to_pylist():
-                words = words_of(text)
+            nodes, prints, bands = [], [], []
+            for text in batch.column(3):
+                words = words_of(text.as_py())
+                hashes = shingle_hashes(words)
                 nodes.append(_node(words))
-                bands.append(band_keys(shingle_hashes(words)))
+                prints.append(majority(hashes))
+                bands.append(band_keys(hashes))
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:3],
                     pa.array(nodes, pa.binary()),
+                    pa.array(prints, pa.int64()),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_hash", "key", "node", "bands"],
+                ["doc_id", "text_hash", "key", "node", "fp", "bands"],
             )
 
     rows = docs.select(
         F.col("doc_id").cast("long"), F.xxhash64(text_of()), _row_key(), text_of().alias("text")
     )
-    schema = "doc_id long, text_hash long, key binary, node binary, bands array<long>"
+    schema = "doc_id long, text_hash long, key binary, node binary, fp long, bands array<long>"
     return map_in_arrow(rows, each, schema)
 
 
@@ -118,7 +134,7 @@ def _sets(docs, wanted):
 
     def each(batches):
         for batch in batches:
-            sets = [shingle_hashes(words_of(t)) for t in batch.column(1).to_pylist()]
+            sets = [shingle_hashes(words_of(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -230,12 +246,21 @@ def _meeting(grouped, sets):
     )
 
 
+def _linked_prints(nodes):
+    """(node, band, bucket): nodes by the group that the links of their fingerprints make."""
+    reached = connected_components(fingerprint_links(nodes.select("fp").distinct()))
+    return nodes.join(reached.toDF("fp", "least"), "fp", "left").select(
+        "node", F.lit(PRINTS).alias("band"), F.coalesce("least", "fp").alias("bucket")
+    )
+
+
 def copy_links(docs, nodes):
     """Links (u, v) that connect the nodes whatever candidate pairs at the similarity connect."""
     # Copies meet as one node before they are put into buckets.
-    members = nodes.dropDuplicates(["node"]).select(
+    different = nodes.dropDuplicates(["node"])
+    members = different.select(
         "node", F.posexplode("bands").alias("band", "bucket")
-    )
+    ).unionByName(_linked_prints(different.select("node", "fp")))
     shared = members.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1")
     crowded = written(members.join(shared, ["band", "bucket"]), "near-copy-buckets")
     met = crowded.groupBy("node").agg(F.sum("n").alias("met"))
@@ -244,8 +269,10 @@ def copy_links(docs, nodes):
     one = nodes.groupBy("node").agg(F.min("key").alias("key"))
     one = one.join(crowded.select("node").distinct(), "node", "left_semi")
     sets = written(_sets(docs, one), "near-copy-sets")
-    links, turn = [], 0
-    grouped = crowded.withColumn("component", F.col("node"))
+    alone = crowded.withColumn("component", F.col("node"))
+    pairs = written(_stars(alone.where(F.col("band") == PRINTS), 0), "near-copy-stars")
+    links, turn = [written(_alike(pairs, sets), "near-copy-links")], 0
+    grouped = _in_mixed_buckets(crowded, connected_components(links[0]))
     while True:
         pairs = written(_stars(grouped, turn), "near-copy-stars")
         links.append(written(_alike(pairs, sets), "near-copy-links"))

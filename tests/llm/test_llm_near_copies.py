@@ -1,4 +1,5 @@
 import random
+import zlib
 from collections import Counter
 
 from corpus_for_tests import AWKWARD, awkward, empty, texts
@@ -101,6 +102,23 @@ def test_one_bucket_of_all_texts_against_brute_force(spark, monkeypatch):
     assert {r["doc_id"] for r in keep_one(texts(spark, listed)).collect()} == brute_kept(listed)
 
 
+def test_prints_that_link_are_candidates(spark, monkeypatch):
+    """Fingerprints within the radius meet without any band that two texts share."""
+    monkeypatch.setattr(
+        near_copies, "band_keys", lambda h: near_copies.np.array([zlib.crc32(h.tobytes())])
+    )
+    rng, listed, expected = random.Random(4), [], set()
+    for _ in range(8):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(1500)]
+        pair = [" ".join(words), " ".join([*words[1:], "z"])]
+        a, b = (near_copies.majority(near_copies.shingle_hashes(words_of(t))) for t in pair)
+        near = ((a ^ b) & 2**64 - 1).bit_count() <= 2
+        expected |= {len(listed)} if near else {len(listed), len(listed) + 1}
+        listed += pair
+    assert len(expected) < 12
+    assert {r["doc_id"] for r in keep_one(texts(spark, listed)).collect()} == expected
+
+
 def rows_met(spark, listed, monkeypatch):
     """How many pairs of the texts, all in one bucket and none of them linked, are compared."""
     monkeypatch.setattr(near_copies, "band_keys", lambda h: near_copies.np.array([7]))
