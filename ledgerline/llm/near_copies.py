@@ -25,6 +25,7 @@ from ledgerline.llm.shared import (
     LOWER,
     SPACE,
     UPPER,
+    broadcast_if_small,
     map_in_arrow,
     text_of,
     written,
@@ -38,6 +39,8 @@ BANDS, ROWS = 32, 6
 SEED = 42
 # The band of fingerprints that link, beside those of MinHash.
 PRINTS = -1
+# Up to so many texts are told to all tasks that read the table; beyond, the table is shuffled.
+FEW_TEXTS = 250_000
 _STEP = 1024
 _FOLD = str.maketrans(UPPER, LOWER)
 _OTHER_SPACE = str.maketrans({c: " " for c in SPACE})
@@ -146,7 +149,7 @@ def _sets(docs, wanted):
 
     texts = (
         docs.select(_row_key().alias("key"), text_of().alias("text"))
-        .join(wanted, "key")
+        .join(broadcast_if_small(wanted, FEW_TEXTS), "key")
         .dropDuplicates(["key"])
         .select("node", "text")
     )
@@ -206,13 +209,16 @@ def _meeting(grouped, sets):
     Their first shared shingle has, in each, no more before it than that leaves, and no less
     behind it. Sets meet on a shingle if sizes and both places of it allow for this.
     """
-    members = written(grouped.select("node", "component").distinct().join(sets, "node"), "mixed-sets")
-    terms = members.select("node", "component", "size", F.explode("shingles").alias("shingle"))
+    members = grouped.select("node", "component").distinct().join(sets, "node")
+    # A number is half as wide as a node, and there is a row per shingle.
+    members = written(members.withColumn("member", F.monotonically_increasing_id()), "mixed-sets")
+    terms = members.select("member", F.explode("shingles").alias("shingle"))
     held = terms.groupBy("shingle").agg(F.count("*").alias("held"))
     ordered = (
         terms.join(held, "shingle")
-        .groupBy("node", "component", "size")
+        .groupBy("member")
         .agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("ordered"))
+        .join(members.drop("shingles"), "member")
     )
     # The larger of two sets has the longer prefix: its partner may be as small as LIKE / OF.
     longest = F.col("size") - F.ceil(F.col("size") * LIKE / OF) + 1

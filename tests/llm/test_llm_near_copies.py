@@ -119,6 +119,12 @@ def test_prints_that_link_are_candidates(spark, monkeypatch):
     assert {r["doc_id"] for r in keep_one(texts(spark, listed)).collect()} == expected
 
 
+def test_texts_of_few_sets_are_not_shuffled(spark, plan):
+    docs = texts(spark, ["a b c d e f", "a b c d e g"])
+    wanted = near_copies._nodes(docs).select("node", "key")
+    assert "BroadcastHashJoin" in plan(near_copies._sets(docs, wanted))
+
+
 def rows_met(spark, listed, monkeypatch):
     """How many pairs of the texts, all in one bucket and none of them linked, are compared."""
     monkeypatch.setattr(near_copies, "band_keys", lambda h: near_copies.np.array([7]))
