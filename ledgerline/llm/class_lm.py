@@ -1,13 +1,16 @@
 """Brown class-based bigram scores.
 
-The classes come from exchange clustering. What is exchanged are symbols: each of the most
-frequent words alone, and the rarer words in groups of like frequency and like ending, so
-every word has a class. Class transitions and word emissions give a smoothed probability.
-
-The corpus is cut into chunks of a bounded number of tokens. A chunk sends each of its
-distinct words once, is sent back their counts and symbols, and keeps its texts as symbol
-codes from then on. So no vocabulary is ever held in one place, however large it grows; what
-the driver sees are counts between symbols and classes, of a size set by the parameters.
+The classes come from exchange clustering. The most frequent words, the core, are exchanged
+one by one, beside groups of the other words by their ending. Then each other word that
+occurs more than once chooses its class by its own neighbours, and the core is exchanged
+again. Words seen once stand for those never seen: they stay together by their ending. Class
+transitions and word emissions give a smoothed probability.
+
+The corpus is cut into chunks of a bounded number of tokens, a row each. A chunk sends each
+of its distinct words once, with the classes of its neighbours, is sent back their counts
+and classes, and keeps its texts as symbol codes from then on. So no vocabulary is ever held
+in one place, however large it grows; what the driver sees are counts between symbols and
+classes, of a size set by the parameters.
 """
 
 import uuid
@@ -16,8 +19,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.shared import (
@@ -96,111 +99,253 @@ def _new_chunk():
 
 
 CHUNKS = (
-    "chunk long, doc_id long, held_out boolean, ids binary, "
-    "number int, word string, ending int, n long"
+    "chunk long, doc_ids array<long>, held array<boolean>, sizes array<long>, ids binary, "
+    "words binary, endings binary, counts binary"
 )
 
 
 def _chunks(docs):
-    """Rows of two kinds: documents as numbers of words, and the distinct words of a chunk."""
-
-    def rows(columns):
-        n = len(next(c for c in columns if c is not None))
-        kinds = [
-            pa.int64(), pa.int64(), pa.bool_(), pa.binary(),
-            pa.int32(), pa.string(), pa.int32(), pa.int64(),
-        ]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.nulls(n, k) if c is None else pa.array(c, k)
-                for c, k in zip(columns, kinds, strict=True)
-            ],
-            [c.split()[0] for c in CHUNKS.split(", ")],
-        )
+    """A row per chunk: its documents as numbers of words, and its distinct words.
+
+    ``sizes`` has the number of words of each document, ``counts`` those of each word in the
+    training texts of the chunk.
+    """
 
     def each(batches):
-        numbers, trained, chunk, tokens = _Numbers(), [], _new_chunk(), 0
         packer = zstandard.ZstdCompressor(level=1)
 
-        def words():
-            counts = np.zeros(len(numbers), dtype=np.int64)
-            for ids in trained:
-                counts += np.bincount(ids, minlength=len(numbers))
+        def row():
+            each_size = [len(i) for i in ids]
+            both = np.concatenate(ids)
+            trained = both[np.repeat(~np.array(held), each_size)]
             listed = list(numbers)
-            for start in range(0, len(listed), 50_000):
-                some = listed[start : start + 50_000]
-                yield rows(
-                    [
-                        [chunk] * len(some), None, None, None,
-                        range(start, start + len(some)), some, [ending_of(w) for w in some],
-                        counts[start : start + len(some)],
-                    ]
-                )
+            binaries = [
+                both.tobytes(),
+                " ".join(listed).encode("utf-8", "surrogatepass"),
+                bytes(map(ending_of, listed)),
+                np.bincount(trained, minlength=len(listed)).astype("<u4").tobytes(),
+            ]
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([_new_chunk()], pa.int64()),
+                    pa.array([doc_ids], pa.list_(pa.int64())),
+                    pa.array([held], pa.list_(pa.bool_())),
+                    pa.array([each_size], pa.list_(pa.int64())),
+                    *[pa.array([packer.compress(b)], pa.binary()) for b in binaries],
+                ],
+                [c.split()[0] for c in CHUNKS.split(", ")],
+            )
 
+        numbers, doc_ids, held, ids, tokens = _Numbers(), [], [], [], 0
         for batch in batches:
-            out = []
-            for doc_id, held, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = np.array(
-                    list(map(numbers.__getitem__, words_of(text))), dtype=np.uint32
-                )
-                if not held:
-                    trained.append(ids)
-                out.append((chunk, doc_id, held, packer.compress(ids.tobytes())))
-                tokens += len(ids) + 1
+            for doc_id, held_out, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                doc_ids.append(doc_id)
+                held.append(held_out)
+                ids.append(np.array(list(map(numbers.__getitem__, words_of(text))), dtype="<u4"))
+                tokens += len(ids[-1]) + 1
                 if tokens >= CHUNK_TOKENS:
-                    yield rows([*zip(*out, strict=True), None, None, None, None])
-                    yield from words()
-                    numbers, trained, chunk, tokens, out = _Numbers(), [], _new_chunk(), 0, []
-            if out:
-                yield rows([*zip(*out, strict=True), None, None, None, None])
-        if numbers:
-            yield from words()
+                    yield row()
+                    numbers, doc_ids, held, ids, tokens = _Numbers(), [], [], [], 0
+        if ids:
+            yield row()
 
     return map_in_arrow(docs, each, CHUNKS)
 
 
+class _Chunk:
+    """A row of the chunks, unpacked; ``core`` has the numbers of the most frequent words."""
+
+    def __init__(self, row, core):
+        unpack = zstandard.ZstdDecompressor().decompress
+        self.chunk, self.doc_ids = row["chunk"], row["doc_ids"]
+        self.held = np.array(row["held"], dtype=bool)
+        self.sizes = np.array(row["sizes"], dtype=np.int64)
+        self.ids = np.frombuffer(unpack(row["ids"]), dtype="<u4")
+        words = unpack(row["words"]).decode("utf-8", "surrogatepass")
+        self.words = words.split(" ") if words else []
+        self.endings = np.frombuffer(unpack(row["endings"]), dtype=np.uint8).astype(np.int64)
+        self.counts = np.frombuffer(unpack(row["counts"]), dtype="<u4").astype(np.int64)
+        self.core = np.array([core.get(w, -1) for w in self.words], dtype=np.int64)
+
+    def first_symbols(self, s):
+        """By word, before it has a class of its own: words beyond the core by their ending."""
+        return np.where(self.core >= 0, self.core, s.words + self.endings)
+
+    def training(self):
+        """(words of the training texts in order, number of words of each text)."""
+        return self.ids[np.repeat(~self.held, self.sizes)], self.sizes[~self.held]
+
+
+def _chain(values, sizes, end):
+    """The values of texts with ``end`` before, between and behind them, and where they are."""
+    at = np.arange(len(values)) + np.repeat(np.arange(len(sizes)), sizes) + 1
+    chain = np.full(len(values) + len(sizes) + 1, end, dtype=np.int64)
+    chain[at] = values
+    return chain, at
+
+
+def _opened(batches, core):
+    for batch in batches:
+        for row in batch.to_pylist():
+            yield _Chunk(row, core)
+
+
+def _core(chunks, settings):
+    """The most frequent words, counted where a chunk holds them twice, by rank."""
+
+    def each(batches):
+        for c in _opened(batches, {}):
+            twice = np.flatnonzero(c.counts > 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c.words[i] for i in twice], pa.string()), pa.array(c.counts[twice])],
+                ["word", "n"],
+            )
+
+    counted = map_in_arrow(chunks, each, "word string, n long").groupBy("word")
+    rows = (
+        counted.agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(settings.words).collect()
+    )  # settings.words rows
+    return {r["word"]: i for i, r in enumerate(rows)}
+
+
+CONTEXTS = "chunk long, number int, word string, n long, before binary, after binary"
+
+
+def _contexts(chunks, core, classes, settings):
+    """Per chunk and word: its count, and the classes of its neighbours, one per occurrence.
+
+    Words of the core have no neighbours here, since they have been exchanged.
+    """
+    s = settings
+    kind = np.uint8 if s.classes < 256 else np.uint16
+
+    def each(batches):
+        for c in _opened(batches, core):
+            ids, sizes = c.training()
+            chain, at = _chain(classes[c.first_symbols(s)][ids], sizes, s.classes)
+            chain = chain.astype(kind)
+            rest = np.flatnonzero(c.core[ids] < 0)
+            rest = rest[np.argsort(ids[rest], kind="stable")]
+            ends = np.cumsum(np.bincount(ids[rest], minlength=len(c.words)))
+            offsets = np.concatenate([[0], ends]) * chain.itemsize
+            columns = [
+                pa.array(np.full(len(c.words), c.chunk, dtype=np.int64)),
+                pa.array(np.arange(len(c.words), dtype=np.int32)),
+                pa.array(c.words, pa.string()),
+                pa.array(c.counts),
+            ]
+            for near in (chain[at[rest] - 1], chain[at[rest] + 1]):
+                buffers = [None, *map(pa.py_buffer, (offsets.astype(np.int32), near.tobytes()))]
+                columns.append(pa.Array.from_buffers(pa.binary(), len(c.words), buffers))
+            whole = pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in CONTEXTS.split(", ")])
+            for start in range(0, len(c.words), 20_000):
+                yield whole.slice(start, 20_000)
+
+    return map_in_arrow(chunks, each, CONTEXTS)
+
+
+def _neighbours(column, word, words, kind, size):
+    """How often each class occurs in the lists of each word, as a matrix."""
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)
+    offsets = offsets[column.offset : column.offset + len(column) + 1]
+    if offsets[-1] == offsets[0]:
+        return np.zeros((words, size))
+    near = np.frombuffer(column.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]].view(kind)
+    of = np.repeat(word, np.diff(offsets) // near.itemsize)
+    return np.bincount(of * size + near, minlength=words * size).reshape(words, size)
+
+
+PLACED = "chunk long, number int, n long, class int, first boolean"
+
+
+def _placed(contexts, classes, left, settings):
+    """Per chunk and word: its count in all training texts and the class its neighbours choose.
+
+    That is the class to which the likelihood of the class bigrams rises most, with the
+    classes of its neighbours as they are. ``first`` marks one row of each word.
+    """
+    s = settings
+    kind = np.uint8 if s.classes < 256 else np.uint16
+    matrix = _class_matrix(left, classes, s.classes + 1) + 0.5
+    # The slopes of the likelihood: a word is too rare to change a cell by much itself.
+    from_class = (np.log(matrix) - np.log(matrix.sum(axis=0)))[:, :-1]
+    to_class = (np.log(matrix) - np.log(matrix.sum(axis=1, keepdims=True)))[:-1].T
+
+    def whole(rows, starts):
+        first = np.zeros(rows.num_rows, dtype=bool)
+        first[starts] = True
+        word = np.cumsum(first) - 1
+        n = np.add.reduceat(rows.column(3).to_numpy(), starts)
+        before, after = (
+            _neighbours(rows.column(i), word, len(starts), kind, s.classes + 1) for i in (4, 5)
+        )
+        chosen = np.argmax(before @ from_class + after @ to_class, axis=1)
+        return pa.RecordBatch.from_arrays(
+            [
+                rows.column(0),
+                rows.column(1),
+                pa.array(n[word]),
+                pa.array(chosen[word].astype(np.int32)),
+                pa.array(first),
+            ],
+            [x.split()[0] for x in PLACED.split(", ")],
+        )
+
+    def each(batches):
+        rest = None
+        for batch in batches:
+            if rest is not None:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            words = batch.column(2)
+            other = pc.not_equal(words.slice(1), words.slice(0, len(words) - 1))
+            starts = np.flatnonzero(np.concatenate([[True], other.to_numpy(zero_copy_only=False)]))
+            # The last word may go on in the next batch.
+            if len(starts) > 1:
+                yield whole(batch.slice(0, starts[-1]), starts[:-1])
+            rest = batch.slice(starts[-1])
+        if rest is not None:
+            yield whole(rest, np.zeros(1, dtype=np.int64))
+
+    ordered = contexts.repartition("word").sortWithinPartitions("word")
+    return map_in_arrow(ordered, each, PLACED)
+
+
 CODED = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, log_more double, "
     "log_band double, codes binary"
 )
 
 
-def _coded(chunks, words, settings):
+def _coded(chunks, words, core, settings):
     """Documents as symbol codes, a compressed byte pair per token, with sums over counts.
 
     ``log_more`` is the sum of log10(count + 1), ``log_band`` that of log10(count) of the
-    words in frequency groups; the end of the text is in none of the columns but n_tokens.
+    words beyond the core; the end of the text is in none of the columns but n_tokens.
     """
     s = settings
 
-    def each(docs, found):
+    def each(rows, found):
+        (c,) = _opened(rows.to_batches(), core)
         number = found.column("number").to_numpy()
         count = np.zeros(len(number), dtype=np.int64)
-        code = np.zeros(len(number), dtype=np.int64)
-        n = found.column("n").to_numpy()
-        ending = found.column("ending").to_numpy()
-        core = found.column("core").fill_null(-1).to_numpy()
-        band = np.floor(np.log2(np.maximum(n, 1))).astype(np.int64) - 1
-        grouped = s.words + np.minimum(band, BANDS - 1) * ENDINGS + ending
-        count[number] = n
-        code[number] = np.select(
-            [core >= 0, n >= 2, n == 1],
-            [core, grouped, s.once + ending],
-            s.unknown + ending,
+        placed = np.zeros(len(number), dtype=np.int64)
+        count[number] = found.column("n").to_numpy()
+        placed[number] = found.column("class").to_numpy()
+        code = np.select(
+            [c.core >= 0, count >= 2, count == 1],
+            [c.core, s.words + placed, s.once + c.endings],
+            s.unknown + c.endings,
         )
         in_band = (code >= s.words) & (code < s.once)
         log_more = np.log10(count + 1.0)
         log_band = np.where(in_band, np.log10(np.maximum(count, 1)), 0.0)
-        unpacker, packer = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-        ids = [
-            np.frombuffer(unpacker.decompress(b), dtype=np.uint32)
-            for b in docs.column("ids").to_pylist()
-        ]
+        packer = zstandard.ZstdCompressor(level=1)
+        ids = np.split(c.ids, np.cumsum(c.sizes)[:-1])
         return pa.table(
             {
-                "doc_id": docs.column("doc_id"),
-                "held_out": docs.column("held_out"),
-                "n_tokens": pa.array([len(i) + 1 for i in ids], pa.int64()),
+                "doc_id": pa.array(c.doc_ids, pa.int64()),
+                "held_out": pa.array(c.held),
+                "n_tokens": pa.array(c.sizes + 1),
                 "n_known": pa.array([int((count[i] > 0).sum()) for i in ids], pa.int64()),
                 "log_more": pa.array([float(log_more[i].sum()) for i in ids], pa.float64()),
                 "log_band": pa.array([float(log_band[i].sum()) for i in ids], pa.float64()),
@@ -211,12 +356,7 @@ def _coded(chunks, words, settings):
         )
 
     find_package_on_workers(chunks.sparkSession)
-    docs = chunks.where("ids is not null").select("chunk", "doc_id", "held_out", "ids")
-    return (
-        docs.groupBy("chunk")
-        .cogroup(words.groupBy("chunk"))
-        .applyInArrow(each, CODED)
-    )
+    return chunks.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(each, CODED)
 
 
 def _unpacked(packed):
@@ -230,40 +370,58 @@ def _symbols(codes, s):
     return np.where(symbols >= s.unknown, symbols - s.unknown + s.once, symbols)
 
 
+def _pair_counts(chains, s):
+    """Batches of (a, b, n) over all the chains."""
+    pairs = np.zeros(0, dtype=np.int64)
+    counts = np.zeros(0, dtype=np.int64)
+    for chain in chains:
+        new, n = np.unique(chain[:-1] * s.symbols + chain[1:], return_counts=True)
+        both = np.concatenate([pairs, new])
+        pairs, where = np.unique(both, return_inverse=True)
+        counts = np.bincount(where, np.concatenate([counts, n])).astype(np.int64)
+    # At most one row per pair of symbols, whatever the size of the partition.
+    for start in range(0, len(pairs), 100_000):
+        some = pairs[start : start + 100_000]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array((some // s.symbols).astype(np.int32)),
+                pa.array((some % s.symbols).astype(np.int32)),
+                pa.array(counts[start : start + 100_000]),
+            ],
+            ["a", "b", "n"],
+        )
+
+
+def _summed(df, each):
+    return map_in_arrow(df, each, "a int, b int, n long").groupBy("a", "b").agg(
+        F.sum("n").alias("n")
+    )
+
+
+def _first_bigrams(chunks, core, settings):
+    """Bigrams of the training texts, words beyond the core by their ending."""
+    s = settings
+
+    def chains(batches):
+        for c in _opened(batches, core):
+            ids, sizes = c.training()
+            yield _chain(c.first_symbols(s)[ids], sizes, s.end)[0]
+
+    return _summed(chunks, lambda batches: _pair_counts(chains(batches), s))
+
+
 def _bigrams(coded, settings):
     """(a, b, n): how often symbol ``b`` follows ``a`` in the training texts."""
     s = settings
 
-    def each(batches):
-        pairs = np.zeros(0, dtype=np.int64)
-        counts = np.zeros(0, dtype=np.int64)
+    def chains(batches):
         for batch in batches:
-            parts = []
-            for codes in _unpacked(batch.column(0).to_pylist()):
-                parts += [[s.end], _symbols(codes, s)]
-            if not parts:
-                continue
-            chain = np.concatenate([*parts, [s.end]])
-            new, n = np.unique(chain[:-1] * s.symbols + chain[1:], return_counts=True)
-            both = np.concatenate([pairs, new])
-            pairs, where = np.unique(both, return_inverse=True)
-            counts = np.bincount(where, np.concatenate([counts, n])).astype(np.int64)
-        # At most one row per pair of symbols, whatever the size of the partition.
-        for start in range(0, len(pairs), 100_000):
-            some = pairs[start : start + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array((some // s.symbols).astype(np.int32)),
-                    pa.array((some % s.symbols).astype(np.int32)),
-                    pa.array(counts[start : start + 100_000]),
-                ],
-                ["a", "b", "n"],
-            )
+            texts = [_symbols(codes, s) for codes in _unpacked(batch.column(0).to_pylist())]
+            if texts:
+                yield _chain(np.concatenate(texts), [len(t) for t in texts], s.end)[0]
 
     train = coded.where("not held_out").select("codes")
-    return map_in_arrow(train, each, "a int, b int, n long").groupBy("a", "b").agg(
-        F.sum("n").alias("n")
-    )
+    return _summed(train, lambda batches: _pair_counts(chains(batches), s))
 
 
 def _f(x):
@@ -342,14 +500,16 @@ def _moves(left, right, twice, classes, chosen):
     return best
 
 
-def exchange(bigrams, settings):
+def exchange(bigrams, settings, start=None):
     """The class of every symbol; the end has the last class for itself.
 
+    ``start``: the classes to begin with.
+
     In each round a half of the symbols, in turn, move to the class that raises the
     likelihood of all class bigrams most; the best assignment of all rounds counts.
     """
     s = settings
-    classes = np.arange(s.symbols) % s.classes
+    classes = np.arange(s.symbols) % s.classes if start is None else start.copy()
     classes[s.end] = s.classes
     twice = np.zeros(s.symbols)
     for row in bigrams.where("a = b").collect():  # one row per symbol at most
@@ -404,40 +564,34 @@ def score_documents(docs, settings=None):
     words are unknown. An empty table gives no rows. Only ``doc_id`` and ``text`` are read.
     """
     s = settings or Settings()
+    if s.classes > BANDS * ENDINGS:
+        raise ValueError(f"At most {BANDS * ENDINGS} classes, not {s.classes}.")
     rows = docs.select(
         F.col("doc_id").cast("long"),
         is_held_out(F.col("doc_id")).alias("held_out"),
         text_of().alias("text"),
     )
     chunks = written(_chunks(rows), "lm-chunks")
-    by_word = Window.partitionBy("word")
+    core = _core(chunks, s)
+    classes, left = exchange(written(_first_bigrams(chunks, core, s), "lm-bigrams"), s)
     words = written(
-        chunks.where("word is not null")
-        .select("chunk", "number", "word", "ending", "n")
-        .withColumn("first", F.row_number().over(by_word.orderBy("chunk")) == 1)
-        .withColumn("n", F.sum("n").over(by_word)),
-        "lm-words",
+        _placed(_contexts(chunks, core, classes, s), classes, left, s), "lm-words"
     )
-    known = words.where("first and n > 0")
-    sizes = known.agg(
+    sizes = words.where("first and n > 0").agg(
         F.count("*").alias("types"),
         F.sum("n").alias("tokens"),
         F.sum((F.col("n") == 1).cast("long")).alias("n1"),
         F.sum((F.col("n") == 2).cast("long")).alias("n2"),
     ).first()
-    ends = chunks.where("ids is not null and not held_out").count()
-    frequent = (
-        known.where("n > 1").select("word", "n").orderBy(F.desc("n"), "word").limit(s.words).collect()
-    )  # settings.words rows
-    core = docs.sparkSession.createDataFrame(
-        [(r["word"], i) for i, r in enumerate(frequent)], "word string, core int"
-    )
-    numbered = words.join(F.broadcast(core), "word", "left").select(
-        "chunk", "number", "ending", "n", "core"
+    ends = chunks.agg(F.sum(F.size(F.filter("held", lambda h: ~h))).alias("n")).first()["n"] or 0
+    coded = written(
+        _coded(chunks, words.select("chunk", "number", "n", "class"), core, s), "lm-coded"
     )
-    coded = written(_coded(chunks, numbered, s), "lm-coded")
-    bigrams = written(_bigrams(coded, s), "lm-bigrams")
-    classes, left = exchange(bigrams, s)
+    # From here on the symbols beyond the core are the classes that words have chosen.
+    start = classes.copy()
+    start[s.words : s.words + s.classes] = np.arange(s.classes)
+    start[s.once : s.once + ENDINGS] = classes[s.words : s.words + ENDINGS]
+    classes, left = exchange(written(_bigrams(coded, s), "lm-bigrams"), s, start)
     totals = {
         "n1": sizes["n1"] or 0,
         "n2": sizes["n2"] or 0,

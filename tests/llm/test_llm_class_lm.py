@@ -77,6 +77,24 @@ def test_exchange_finds_planted_classes(spark):
     assert left.sum() == sum(r[2] for r in rows)
 
 
+def test_words_beyond_the_core_have_classes_of_their_own(spark):
+    """Rare words of one count and ending differ by their neighbours alone."""
+    rng = np.random.default_rng(7)
+    one, two = [f"r{i}ab" for i in range(30)], [f"s{i}ab" for i in range(30)]
+    rows = []
+    for i in range(400):
+        some = rng.integers(0, 30, (10, 2))
+        if i % 40 < 6 and not held_out(i):  # each rare word, but few times
+            rows.append((i, " ".join(f"x {one[a]} y {two[b]}" for a, b in some)))
+        else:
+            rows.append((i, "x u y v " * 10))
+    held = [i for i in range(400, 500) if held_out(i)]
+    rows += [(held[0], "x r1ab y s1ab " * 5), (held[1], "x s1ab y r1ab " * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = {r["doc_id"]: r["score"] for r in score_documents(docs, Settings(words=4, classes=4)).collect()}
+    assert out[held[0]] > out[held[1]] + 2
+
+
 def test_probabilities_add_up_to_one():
     s = SMALL
     rng = np.random.default_rng(3)
