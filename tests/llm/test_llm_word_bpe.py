@@ -64,3 +64,35 @@ def test_awkward_rows(spark):
         expected.append((i, len(ids), *(hashlib.sha256(s.encode()).hexdigest() for s in shas)))
     assert sorted(map(tuple, out), key=repr) == sorted(expected, key=repr)
     assert encode_decode(empty(spark), PATH).collect() == []
+
+
+def test_words_are_merged_beside_each_other(monkeypatch):
+    """No word of common length is guessed or merged on its own; what comes out is the same."""
+    bpe, library, rng = WordBpe(PATH), Tokenizer.from_file(PATH), random.Random(8)
+
+    def alone(*_):
+        raise AssertionError("a word on its own")
+
+    monkeypatch.setattr(bpe, "_merge", alone)
+    monkeypatch.setattr(bpe, "_greedy", alone)
+    parts = ["tion", "th", "er", "an", "é", "ing", "Ö", "the", "日本", ",", "'s", "7"]
+    texts = [
+        " ".join("".join(rng.choices(parts, k=rng.randint(1, 8))) for _ in range(rng.randint(1, 60)))
+        for _ in range(300)
+    ]
+    for text, ids in zip(texts, bpe.encode(texts), strict=True):
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, dtype="<i4").tolist() == expected, text
+
+
+def test_words_of_any_length_meet(monkeypatch):
+    """Words that go on their own and those that do not stand in their places."""
+    monkeypatch.setattr("ledgerline.llm.word_bpe.BESIDE", 4)
+    monkeypatch.setattr("ledgerline.llm.word_bpe.REMEMBERED", 50)
+    bpe, library = WordBpe(PATH), Tokenizer.from_file(PATH)
+    texts = listed()
+    for start in range(0, len(texts), 40):
+        some = texts[start : start + 40]
+        for text, ids in zip(some, bpe.encode(some), strict=True):
+            expected = library.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, dtype="<i4").tolist() == expected, text[:80]
