@@ -14,6 +14,7 @@ A file holds, in ascending order of documents,
 So a reader needs the end of a file, and the frames of the documents it wants.
 """
 
+import os
 import re
 import struct
 from array import array
@@ -21,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerline.llm.files import file_system, new_name, shared_folder
-from ledgerline.llm.shared import map_in_arrow, text_of, written
+from ledgerline.llm.shared import gathered, map_in_arrow, text_of, text_slices, written
 
 END_ID = 0
 LEVEL = 1
@@ -46,19 +48,22 @@ SLICE_CHARS = 2_000_000
 
 # New pieces that the library gets as one text.
 TOGETHER = 500
-# Stands for a line feed that begins a piece.
-LINE = "\0"
-_LINE_FEED = re.compile(r"(?<=\S)\n(?=\S)")
+# Stands for a line feed that begins a piece, and for the beginning of a text.
+LINE, START = "\0", "\1"
+_LINE_FEED = re.compile(r"\n(?=\S)(?<=\S\n)")
 
 
 class ByteBpe:
     """Encodes with the tokenizers library, each piece between single blanks just once.
 
+    Arrow numbers the pieces of many texts, so Python looks at distinct ones only.
+
     The pre-tokenizer ends a token before a single blank between two other characters, so
     a blank and what follows it is encoded alone as within its text. It ends one before and
     after a single line feed as well, so a line feed and what follows it is another piece.
     Pieces for which that
     does not hold, next to other white space, are encoded together with their neighbours.
+    The first piece of a text has no blank before it and is remembered apart.
     """
 
     def __init__(self, path):
@@ -93,16 +98,18 @@ class ByteBpe:
         if len(self.now) > REMEMBERED:
             self.now, self.last = {}, self.now
         missing = []
-        for p in pieces.difference(self.now):
+        for p in [p for p in pieces if p not in self.now]:
+            core = p[1:] if p.startswith((LINE, START)) else p
             if p in self.last:
                 self.now[p] = self.last[p]
-            elif not p or p[0].isspace() or p[-1].isspace():
+            elif not core or core != core.strip():
                 self.now[p] = None
             else:
                 missing.append(p)
-        lines = [p for p in missing if p[0] == LINE]
-        self.now.update(zip(lines, self._library(["\n" + p[1:] for p in lines]), strict=True))
-        blanks = [p for p in missing if p[0] != LINE]
+        for sign, before in ((LINE, "\n"), (START, "")):
+            some = [p for p in missing if p[0] == sign]
+            self.now.update(zip(some, self._library([before + p[1:] for p in some]), strict=True))
+        blanks = [p for p in missing if p[0] not in (LINE, START)]
         self.now.update(zip(blanks, self._new(blanks), strict=True))
 
     def _apart(self, pieces):
@@ -119,40 +126,37 @@ class ByteBpe:
 
     def encode(self, texts):
         """The ids of each text as bytes."""
-        # A text that holds the sign itself is encoded as one whose pieces belong together.
-        pieces = [
-            ["", ""] if LINE in t else _LINE_FEED.sub(" " + LINE, t).split(" ") for t in texts
+        # A text that holds a sign itself is encoded as one whose pieces belong together.
+        marked = [
+            START if LINE in t or START in t else START + _LINE_FEED.sub(" " + LINE, t)
+            for t in texts
+        ]
+        pieces = pc.split_pattern(pa.array(marked, pa.string()), " ")
+        numbered = pieces.flatten().dictionary_encode()
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._remember(distinct)
+        made = list(map(self.now.__getitem__, distinct))
+        number = numbered.indices.to_numpy()
+        apart = np.array([m is None for m in made])[number]
+        made = [m or b"" for m in made]
+        sizes = np.fromiter(map(len, made), dtype=np.int64, count=len(made)) // 4
+        ids, ends = gathered(np.frombuffer(b"".join(made), dtype="<u4"), sizes, number)
+        places = pieces.offsets.to_numpy()
+        borders = np.concatenate([[0], ends])[places].tolist()
+        apart = np.logical_or.reduceat(apart, places[:-1]).tolist() if len(texts) else []
+        return [
+            self._apart(text.split(" ")) if alone else ids[a:b].tobytes()
+            for text, alone, a, b in zip(texts, apart, borders, borders[1:], strict=False)
         ]
-        self._remember(set().union(*pieces))
-        known = self.now
-        out = []
-        firsts = self._library([p[0] for p in pieces])
-        for text, p, first in zip(texts, pieces, firsts, strict=True):
-            try:
-                rest = b"".join(map(known.__getitem__, p[1:]))
-                whole = known[p[0]] is not None or len(p) == 1
-            except TypeError:  # a piece is None
-                whole = False
-            out.append(first + rest if whole else self._apart(text.split(" ")))
-        return out
 
 
 @lru_cache(maxsize=2)
 def tokenizer(path):
+    # A task has a core of its own; the library would take all of the machine's.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return ByteBpe(path)
 
 
-def _slices(texts):
-    start, size = 0, 0
-    for at, text in enumerate(texts):
-        if size and size + len(text) > SLICE_CHARS:
-            yield start, at
-            start, size = at, 0
-        size += len(text)
-    if len(texts) > start:
-        yield start, len(texts)
-
-
 def _skippable(magic, content):
     return struct.pack("<II", magic, len(content)) + content
 
@@ -235,7 +239,7 @@ def write_tokens(docs, path, folder=None):
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for start, stop in _slices(texts):
+            for start, stop in text_slices(texts, SLICE_CHARS):
                 for doc_id, made in zip(
                     ids[start:stop], bpe.encode(texts[start:stop]), strict=True
                 ):

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerline.llm.shared import map_in_arrow, runs, text_of
+from ledgerline.llm.shared import gathered, map_in_arrow, runs, text_of
 
 # Chunks remembered per Python worker, twice at most: the last and the present generation.
 REMEMBERED = 100_000
@@ -389,7 +389,7 @@ class WordBpe:
         ids = np.concatenate([ids, np.array(specials, dtype=np.int64)]).astype("<i4")
         number = {w: i for i, w in enumerate([*words, *specials, BLANK])}
         order = np.fromiter(map(number.__getitem__, split), dtype=np.int64, count=len(split))
-        made, ends = _gather(ids, sizes, order)
+        made, ends = gathered(ids, sizes, order)
         ends = (ends[order == number[BLANK]] * 4).tolist()
         made = made.tobytes()
         self.now.update(
@@ -405,7 +405,7 @@ class WordBpe:
         self._remember(distinct)
         made = list(map(self.now.__getitem__, distinct))
         sizes = np.fromiter(map(len, made), dtype=np.int64, count=len(made)) // 4
-        ids, ends = _gather(
+        ids, ends = gathered(
             np.frombuffer(b"".join(made), dtype="<i4"), sizes, numbered.indices.to_numpy()
         )
         borders = np.concatenate([[0], ends])
@@ -434,14 +434,6 @@ def _joined(owner, ids, more):
     return owner[order], ids[order]
 
 
-def _gather(ids, sizes, order):
-    """The ids of words, of which there are ``sizes``, in this order; and where each one ends."""
-    first = (np.cumsum(sizes) - sizes)[order]
-    taken = sizes[order]
-    ends = np.cumsum(taken)
-    return ids[np.repeat(first - ends + taken, taken) + np.arange(ends[-1])], ends
-
-
 @lru_cache(maxsize=2)
 def tokenizer(path):
     return WordBpe(path)

@@ -114,3 +114,18 @@ def test_damage_is_noticed():
         reader.document(0)
     with pytest.raises(ValueError, match="not a token file"):
         FileReader(BufferReader(bytes(data[:-1])))
+
+
+def test_known_texts_do_not_go_to_the_library_again(monkeypatch):
+    """The first piece of a text is remembered as well, apart from the same one after a blank."""
+    own, library = ByteBpe(PATH), Tokenizer.from_file(PATH)
+    texts = ["hello hello world\nhello", "world", "\1 a", "hello"]
+    first = own.encode(texts)
+    calls, call = [], own._library
+    monkeypatch.setattr(own, "_library", lambda chunks: calls.extend(chunks) or call(chunks))
+    assert own.encode([texts[0], texts[1], texts[3]]) == [first[0], first[1], first[3]]
+    assert calls == []
+    assert first == [
+        struct.pack(f"<{len(e.ids)}I", *e.ids)
+        for e in library.encode_batch(texts, add_special_tokens=False)
+    ]
