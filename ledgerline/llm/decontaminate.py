@@ -76,6 +76,18 @@ def _anchored(words, widths):
     return F.concat(*found) if len(found) > 1 else found[0]
 
 
+def _places(split, widths):
+    """(text_id, n_words, at, hash) of all shingles of the wanted widths of texts' words.
+
+    The number of words is taken first, or each shingle would be made with a copy of them all.
+    """
+    return (
+        split.select("text_id", "words", F.size("words").alias("n_words"))
+        .select("text_id", "n_words", F.explode(_anchored(F.col("words"), widths)).alias("mark"))
+        .select("text_id", "n_words", F.col("mark.at").alias("at"), F.col("mark.hash").alias("hash"))
+    )
+
+
 def _marks(items, widths):
     """(item, hash, held, weight, total) per distinct shingle of each item.
 
@@ -121,14 +133,7 @@ def _windows(texts, items, similarity, broadcast_rows):
     known = broadcast_if_small(marks.select("hash").distinct(), broadcast_rows)
     split = texts.select("text_id", plain_words(F.col("text")).alias("words"))
     hits = written(
-        split.select(
-            "text_id",
-            F.size("words").alias("n_words"),
-            F.explode(_anchored(F.col("words"), widths)).alias("mark"),
-        )
-        .select("text_id", "n_words", F.col("mark.at").alias("at"), F.col("mark.hash").alias("hash"))
-        .join(known, "hash", "left_semi")
-        .distinct(),
+        _places(split, widths).join(known, "hash", "left_semi").distinct(),
         "benchmark-hits",
     )
     rarest = Window.partitionBy("item").orderBy("held", "hash").rowsBetween(

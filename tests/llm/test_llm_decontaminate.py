@@ -168,3 +168,21 @@ def test_clean_texts_that_share_one_shingle_stay(spark):
     item = " ".join(f"i{k}" for k in range(40))
     docs = texts(spark, ["x y z " + " ".join(f"i{k}" for k in range(5, 12)) + " other end"])
     assert contaminated(docs, spark.createDataFrame([(1, item)], ITEMS)).collect() == []
+
+
+def test_shingles_are_made_without_copies_of_all_words(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.llm.decontaminate import _places
+    from ledgerline.llm.shared import plain_words
+
+    rows = [(1, "A b, c-D é f"), (2, "..."), (3, "")]
+    docs = spark.createDataFrame(rows, "text_id long, text string")
+    places = _places(docs.select("text_id", plain_words(F.col("text")).alias("words")), [5])
+    assert sorted((r.text_id, r.n_words, r["at"]) for r in places.collect()) == [(1, 6, 0), (1, 6, 1)]
+    plan = places._jdf.queryExecution().optimizedPlan().toString()
+    (made,) = [line for line in plan.split("\n") if "Generate explode" in line]
+    # What goes along with each shingle.
+    assert "n_words" in made.split("))), ")[-1]
+    words = docs.select(F.explode(plain_words(F.col("text"))).alias("w")).collect()
+    assert [r["w"] for r in words] == ["a", "b", "c", "d", "é", "f"]
