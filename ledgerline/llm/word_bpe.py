@@ -24,8 +24,8 @@ from tokenizers import Tokenizer
 from ledgerline.llm.shared import gathered, map_in_arrow, runs, text_of
 
 # Chunks remembered per Python worker, twice at most: the last and the present generation.
-REMEMBERED = 100_000
-SLICE_BYTES = 1_000_000
+REMEMBERED = 50_000
+SLICE_BYTES = 500_000
 LONG_WORD = 500
 # Words up to this many bytes go byte by byte beside each other, longer ones one by one.
 BESIDE = 48

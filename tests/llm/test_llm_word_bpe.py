@@ -96,3 +96,11 @@ def test_words_of_any_length_meet(monkeypatch):
         for text, ids in zip(some, bpe.encode(some), strict=True):
             expected = library.encode(text, add_special_tokens=False).ids
             assert np.frombuffer(ids, dtype="<i4").tolist() == expected, text[:80]
+
+
+def test_what_is_remembered_stays_small():
+    """An executor's memory holds two workers beside the JVM, so a worker's share is small."""
+    bpe = WordBpe(PATH)
+    for k in range(6):
+        bpe.encode([" ".join(f"w{n}" for n in range(k * 60_000, (k + 1) * 60_000))])
+    assert len(bpe.now) + len(bpe.last) <= 150_000
