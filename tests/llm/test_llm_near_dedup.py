@@ -6,8 +6,14 @@ import xxhash
 from corpus_for_tests import AWKWARD, awkward, empty, texts
 from pyspark.sql import functions as F
 
-from ledgerline.llm.components import connected_components
+from ledgerline.llm.components import (
+    _large_star,
+    _small_star,
+    _with_least,
+    connected_components,
+)
 from ledgerline.llm.near_dedup import fingerprint_links, keep_one, near_duplicates
+from ledgerline.llm.shared import written
 
 
 def brute_print(text):
@@ -96,6 +102,28 @@ def test_components_of_paths_and_stars(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_a_round_without_hubs_plans_its_edges_once(spark, plan):
+    """Both directions of the edges are two scans; joins with themselves made eight."""
+    edges = written(spark.range(40).selectExpr("id AS u", "id + 1 AS v"), "edges")
+    text = plan(_small_star(_large_star(edges, False), False))
+    assert text.count("FileScan parquet") == 2
+    assert "Join" not in text
+
+
+def test_components_of_hubs(spark):
+    """A node of more edges than HUB, and one that becomes a hub only as rounds go on."""
+    star = [(5000, i) for i in range(1, 1500)]
+    tree = [(10_000 + i, 10_000 + (i - 1) // 3) for i in range(1, 1500)]
+    edges = spark.createDataFrame(star + tree, "u long, v long")
+    out = {r["node"]: r["component"] for r in connected_components(edges).collect()}
+    assert out == {
+        5000: 1, **{i: 1 for i in range(1, 1500)}, **{10_000 + i: 10_000 for i in range(1500)}
+    }
+    names = "u", "v", "m"
+    found = [sorted(_with_least(edges, hubs).select(*names).collect()) for hubs in (False, True)]
+    assert found[0] == found[1]
+
+
 def test_one_document_of_each_group_stays(spark):
     line = " ".join(f"w{i}" for i in range(400))
     docs = texts(spark, [line, "quite another text here", line, line + " end"]).withColumn(
